@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import prep, search, stats, validate
+from ..operators import prep, search, similarity, stats, validate
 from ..session import scratch_path
 from ..sources import files
 from . import params as P
@@ -189,6 +189,29 @@ def search_year_range(spark, sf_dir):
     return prep.item_info(search.by_year_range(Tables(spark, sf_dir).movies, lo, hi))
 
 
+# --- similar items -------------------------------------------------------------
+
+@register("tfidf_vectors")
+def tfidf_vectors(spark, sf_dir):
+    return prep.tfidf_vectors(Tables(spark, sf_dir).movies).select("movie_id", "term", _r("weight", 9))
+
+
+@register("content_neighbors")
+def content_neighbors(spark, sf_dir):
+    return similarity.content_neighbors(Tables(spark, sf_dir).movies, P.NEIGHBORS)
+
+
+@register("cf_neighbors")
+def cf_neighbors(spark, sf_dir):
+    return similarity.cf_neighbors(Tables(spark, sf_dir).latest, P.NEIGHBORS)
+
+
+@register("similar_items")
+def similar_items(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return similarity.similar_items(t.latest, t.movies, P.NEIGHBORS)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -143,5 +143,77 @@ SELECT (SELECT count(*) FROM ratings) AS total_ratings,
        'Not yet updated' AS last_update_time""")
 
 
+# --- similarity -----------------------------------------------------------------
+
+SCALE_CTE = """
+, scale AS (
+  SELECT user_id, s1 / m AS mean,
+         CASE WHEN sqrt(greatest(s2 / m - (s1 / m) * (s1 / m), 0.0)) = 0 THEN 1.0
+              ELSE sqrt(greatest(s2 / m - (s1 / m) * (s1 / m), 0.0)) END AS sd
+  FROM (SELECT user_id, sum(rating) AS s1, sum(rating * rating) AS s2,
+               (SELECT count(DISTINCT movie_id) FROM latest) AS m
+        FROM latest GROUP BY user_id))"""
+
+TFIDF_CTES = """
+, docs AS (SELECT movie_id, title_clean || ' ' || array_to_string(genres, ' ') AS doc FROM movies)
+, toks AS (SELECT movie_id, unnest(regexp_extract_all(lower(doc), '[a-z0-9_]{2,}')) AS term FROM docs)
+, tf AS (SELECT movie_id, term, count(*) AS tf FROM toks GROUP BY movie_id, term)
+, dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
+, wraw AS (SELECT tf.movie_id, tf.term,
+                  tf.tf * (ln((1.0 + (SELECT count(*) FROM movies)) / (1.0 + dfreq.df)) + 1.0) AS w
+           FROM tf JOIN dfreq USING (term))
+, tfidf AS (SELECT movie_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY movie_id)) AS weight FROM wraw)"""
+
+CONTENT_CTES = TFIDF_CTES + f"""
+, csim AS (SELECT a.movie_id, b.movie_id AS neighbor_id, round(sum(a.weight * b.weight), 9) AS similarity
+           FROM tfidf a JOIN tfidf b USING (term) WHERE a.movie_id <> b.movie_id
+           GROUP BY a.movie_id, b.movie_id)
+, content AS (
+  SELECT * FROM (
+    SELECT movie_id, row_number() OVER (PARTITION BY movie_id ORDER BY similarity DESC, neighbor_id) AS rank,
+           neighbor_id, similarity FROM csim WHERE similarity > 0)
+  WHERE rank <= {P.NEIGHBORS})"""
+
+CF_CTES = SCALE_CTE + f"""
+, wv AS (SELECT movie_id, user_id, rating / sd AS w FROM latest JOIN scale USING (user_id))
+, norms AS (SELECT movie_id, sum(w * w) AS n FROM wv GROUP BY movie_id)
+, dots AS (SELECT a.movie_id AS i, b.movie_id AS j, sum(a.w * b.w) AS dot
+           FROM wv a JOIN wv b USING (user_id) WHERE a.movie_id <> b.movie_id GROUP BY a.movie_id, b.movie_id)
+, lownorm AS (SELECT movie_id AS j FROM norms ORDER BY n, movie_id LIMIT {P.NEIGHBORS + 1})
+, cand AS (SELECT i, j, dot FROM dots
+           UNION ALL SELECT n1.movie_id AS i, g.j, 0.0 AS dot FROM norms n1 JOIN lownorm g ON n1.movie_id <> g.j)
+, cagg AS (SELECT i, j, sum(dot) AS dot FROM cand GROUP BY i, j)
+, cdist AS (SELECT i AS movie_id, j AS neighbor_id, round(ni.n + nj.n - 2 * cagg.dot, 6) AS distance
+            FROM cagg JOIN norms ni ON ni.movie_id = cagg.i JOIN norms nj ON nj.movie_id = cagg.j)
+, cf AS (
+  SELECT * FROM (
+    SELECT movie_id, row_number() OVER (PARTITION BY movie_id ORDER BY distance, neighbor_id) AS rank,
+           neighbor_id, distance FROM cdist)
+  WHERE rank <= {P.NEIGHBORS})"""
+
+SIMILAR_CTES = CF_CTES + CONTENT_CTES + f"""
+, hboth AS (SELECT movie_id, neighbor_id, rank AS cf_rank, CAST(NULL AS BIGINT) AS content_rank FROM cf
+            UNION ALL
+            SELECT movie_id, neighbor_id, NULL, rank FROM content
+            WHERE movie_id IN (SELECT movie_id FROM latest))
+, hmerged AS (SELECT movie_id, neighbor_id, min(cf_rank) AS cf_rank, min(content_rank) AS content_rank
+              FROM hboth GROUP BY movie_id, neighbor_id)
+, hyb AS (
+  SELECT * FROM (
+    SELECT movie_id, neighbor_id,
+           row_number() OVER (PARTITION BY movie_id ORDER BY least(cf_rank, content_rank),
+             CASE WHEN cf_rank = least(cf_rank, content_rank) THEN 0 ELSE 1 END, neighbor_id) AS rank
+    FROM hmerged)
+  WHERE rank <= {P.NEIGHBORS})
+, simitems AS (
+  SELECT h.movie_id, h.rank, h.neighbor_id, m.title, array_to_string(m.genres, '|') AS genres, m.year
+  FROM hyb h LEFT JOIN movies m ON m.movie_id = h.neighbor_id)"""
+
+SQL["tfidf_vectors"] = q(TFIDF_CTES + "\nSELECT movie_id, term, round(weight, 9) AS weight FROM tfidf")
+SQL["content_neighbors"] = q(CONTENT_CTES + "\nSELECT movie_id, rank, neighbor_id, similarity FROM content")
+SQL["cf_neighbors"] = q(CF_CTES + "\nSELECT movie_id, rank, neighbor_id, distance FROM cf")
+SQL["similar_items"] = q(SIMILAR_CTES + "\nSELECT * FROM simitems")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
