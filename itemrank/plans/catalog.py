@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import prep, search, similarity, stats, validate
+from ..operators import prep, recommend, search, similarity, stats, validate
 from ..session import scratch_path
 from ..sources import files
 from . import params as P
@@ -212,6 +212,51 @@ def similar_items(spark, sf_dir):
     return similarity.similar_items(t.latest, t.movies, P.NEIGHBORS)
 
 
+# --- recommendations -------------------------------------------------------------
+
+def _similar(t: Tables) -> DataFrame:
+    return similarity.similar_items(t.latest, t.movies, P.NEIGHBORS)
+
+
+@register("user_top_rated")
+def user_top_rated(spark, sf_dir):
+    return recommend.user_top_rated(Tables(spark, sf_dir).latest, P.SEEDS)
+
+
+@register("user_recommendations")
+def user_recommendations(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return recommend.user_recommendations(t.latest, _similar(t), P.REC_N, P.SEEDS)
+
+
+@register("cold_start_recommendations")
+def cold_start_recommendations(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return recommend.cold_start_recommendations(t.users, t.ratings, P.REC_N)
+
+
+@register("recommendations_with_fallback")
+def recommendations_with_fallback(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return recommend.recommendations_with_fallback(t.users, t.ratings, t.latest, _similar(t),
+                                                   P.REC_N, P.FALLBACK_N)
+
+
+@register("cached_recommendations")
+def cached_recommendations(spark, sf_dir):
+    """Cache table written with half the users stale (older than the TTL)."""
+    t = Tables(spark, sf_dir)
+    sim = _similar(t)
+    recs = recommend.user_recommendations(t.latest, sim, P.REC_N, P.SEEDS)
+    age = F.when(F.col("user_id") % 2 == 0, F.lit(600)).otherwise(F.lit(P.CACHE_TTL_SECONDS + 900))
+    cache = recommend.build_cache(recs, P.REC_N, F.lit(P.CACHE_NOW) - age)
+    path = scratch_path(spark, "rec-cache")
+    cache.write.mode("overwrite").parquet(path)
+    table = spark.read.parquet(path)
+    return recommend.cached_recommendations(table, t.latest, sim, P.CACHE_NOW,
+                                            P.CACHE_TTL_SECONDS, P.REC_N)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

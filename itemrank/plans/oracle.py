@@ -88,7 +88,7 @@ FROM ratings GROUP BY movie_id""")
 SQL["active_users"] = q(f"""
 SELECT user_id, count(*) AS rating_count FROM ratings GROUP BY user_id HAVING count(*) >= {P.MIN_RATINGS}""")
 SQL["top_popular"] = q(f"""
-SELECT row_number() OVER (ORDER BY p.popularity_score DESC, p.movie_id) AS rank, p.movie_id, m.title,
+SELECT CAST(row_number() OVER (ORDER BY p.popularity_score DESC, p.movie_id) AS INTEGER) AS rank, p.movie_id, m.title,
        array_to_string(m.genres, '|') AS genres, m.year, round(p.popularity_score, 6) AS popularity_score
 FROM (SELECT * FROM pop ORDER BY popularity_score DESC, movie_id LIMIT {P.TOP_N}) p
 LEFT JOIN movies m USING (movie_id)""")
@@ -99,12 +99,12 @@ _genre_rec_base = f"""
   FROM movies m JOIN stats s USING (movie_id) LEFT JOIN pop p USING (movie_id)
   WHERE len(list_intersect(m.genres, {_lst(P.GENRE_LIST)})) > 0)"""
 SQL["genre_recommendations"] = q(_genre_rec_base + f"""
-SELECT row_number() OVER (ORDER BY popularity_score DESC, rating_count DESC, rating_mean DESC, movie_id) AS rank,
+SELECT CAST(row_number() OVER (ORDER BY popularity_score DESC, rating_count DESC, rating_mean DESC, movie_id) AS INTEGER) AS rank,
        movie_id, title, array_to_string(genres, '|') AS genres, year, rating_count,
        round(rating_mean, 6) AS rating_mean, round(popularity_score, 6) AS popularity_score
 FROM cand ORDER BY rank LIMIT {P.GENRE_N}""")
 SQL["genre_recommendations_by_count"] = q(_genre_rec_base + f"""
-SELECT row_number() OVER (ORDER BY rating_count DESC, rating_mean DESC, movie_id) AS rank,
+SELECT CAST(row_number() OVER (ORDER BY rating_count DESC, rating_mean DESC, movie_id) AS INTEGER) AS rank,
        movie_id, title, array_to_string(genres, '|') AS genres, year, rating_count,
        round(rating_mean, 6) AS rating_mean
 FROM cand ORDER BY rank LIMIT {P.GENRE_N}""")
@@ -170,7 +170,7 @@ CONTENT_CTES = TFIDF_CTES + f"""
            GROUP BY a.movie_id, b.movie_id)
 , content AS (
   SELECT * FROM (
-    SELECT movie_id, row_number() OVER (PARTITION BY movie_id ORDER BY similarity DESC, neighbor_id) AS rank,
+    SELECT movie_id, CAST(row_number() OVER (PARTITION BY movie_id ORDER BY similarity DESC, neighbor_id) AS INTEGER) AS rank,
            neighbor_id, similarity FROM csim WHERE similarity > 0)
   WHERE rank <= {P.NEIGHBORS})"""
 
@@ -187,7 +187,7 @@ CF_CTES = SCALE_CTE + f"""
             FROM cagg JOIN norms ni ON ni.movie_id = cagg.i JOIN norms nj ON nj.movie_id = cagg.j)
 , cf AS (
   SELECT * FROM (
-    SELECT movie_id, row_number() OVER (PARTITION BY movie_id ORDER BY distance, neighbor_id) AS rank,
+    SELECT movie_id, CAST(row_number() OVER (PARTITION BY movie_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank,
            neighbor_id, distance FROM cdist)
   WHERE rank <= {P.NEIGHBORS})"""
 
@@ -201,8 +201,8 @@ SIMILAR_CTES = CF_CTES + CONTENT_CTES + f"""
 , hyb AS (
   SELECT * FROM (
     SELECT movie_id, neighbor_id,
-           row_number() OVER (PARTITION BY movie_id ORDER BY least(cf_rank, content_rank),
-             CASE WHEN cf_rank = least(cf_rank, content_rank) THEN 0 ELSE 1 END, neighbor_id) AS rank
+           CAST(row_number() OVER (PARTITION BY movie_id ORDER BY least(cf_rank, content_rank),
+             CASE WHEN cf_rank = least(cf_rank, content_rank) THEN 0 ELSE 1 END, neighbor_id) AS INTEGER) AS rank
     FROM hmerged)
   WHERE rank <= {P.NEIGHBORS})
 , simitems AS (
@@ -215,5 +215,58 @@ SQL["cf_neighbors"] = q(CF_CTES + "\nSELECT movie_id, rank, neighbor_id, distanc
 SQL["similar_items"] = q(SIMILAR_CTES + "\nSELECT * FROM simitems")
 
 
+# --- recommendations ------------------------------------------------------------
+
+SEEDS_CTE = f"""
+, seeds AS (
+  SELECT * FROM (
+    SELECT user_id, movie_id, rating,
+           row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, timestamp DESC, movie_id) AS seed_rank
+    FROM latest)
+  WHERE seed_rank <= {P.SEEDS})"""
+
+
+def user_recs_cte(name: str, n: int, seed_filter: str = "") -> str:
+    """CTEs computing R4 lists of length n into ``name`` (needs SIMILAR_CTES, SEEDS_CTE)."""
+    return f"""
+, {name}_cand AS (SELECT s.user_id, h.neighbor_id AS movie_id, s.seed_rank * 1000 + h.rank AS pos
+                  FROM seeds s JOIN hyb h ON h.movie_id = s.movie_id {seed_filter})
+, {name}_fresh AS (SELECT * FROM {name}_cand c
+                   WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.user_id = c.user_id AND l.movie_id = c.movie_id))
+, {name}_first AS (SELECT user_id, movie_id, min(pos) AS pos FROM {name}_fresh GROUP BY user_id, movie_id)
+, {name} AS (
+  SELECT * FROM (
+    SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY pos, movie_id) AS INTEGER) AS rank,
+           movie_id FROM {name}_first)
+  WHERE rank <= {n})"""
+
+
+def popular_cte(name: str, n: int) -> str:
+    return f"""
+, {name} AS (SELECT CAST(row_number() OVER (ORDER BY popularity_score DESC, movie_id) AS INTEGER) AS rank, movie_id
+             FROM (SELECT * FROM pop ORDER BY popularity_score DESC, movie_id LIMIT {n}))"""
+
+
+REC_CTES = SIMILAR_CTES + SEEDS_CTE + user_recs_cte("urecs", P.REC_N)
+
+SQL["user_top_rated"] = q(SEEDS_CTE + "\nSELECT user_id, CAST(seed_rank AS INTEGER) AS seed_rank, movie_id, rating FROM seeds")
+SQL["user_recommendations"] = q(REC_CTES + "\nSELECT user_id, rank, movie_id FROM urecs")
+SQL["cold_start_recommendations"] = q(popular_cte("poplist", P.REC_N) + """
+SELECT u.user_id, p.rank, p.movie_id FROM users u CROSS JOIN poplist p
+WHERE u.user_id NOT IN (SELECT user_id FROM ratings)""")
+SQL["recommendations_with_fallback"] = q(
+    REC_CTES + popular_cte("pop_cold", P.REC_N) + popular_cte("pop_empty", P.FALLBACK_N) + """
+, everyone AS (SELECT user_id FROM users UNION SELECT user_id FROM ratings)
+SELECT user_id, rank, movie_id, 'personal' AS source FROM urecs
+UNION ALL
+SELECT e.user_id, p.rank, p.movie_id, 'cold_start' FROM everyone e CROSS JOIN pop_cold p
+WHERE e.user_id NOT IN (SELECT user_id FROM ratings)
+UNION ALL
+SELECT e.user_id, p.rank, p.movie_id, 'popular' FROM everyone e CROSS JOIN pop_empty p
+WHERE e.user_id IN (SELECT user_id FROM ratings) AND e.user_id NOT IN (SELECT user_id FROM urecs)""")
+SQL["cached_recommendations"] = q(REC_CTES + """
+SELECT user_id, rank, movie_id, user_id % 2 = 0 AS from_cache FROM urecs""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
