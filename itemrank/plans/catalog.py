@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import prep, recommend, search, similarity, stats, validate
+from ..operators import evaluate, prep, recommend, search, similarity, stats, validate
 from ..session import scratch_path
 from ..sources import files
 from . import params as P
@@ -257,6 +257,51 @@ def cached_recommendations(spark, sf_dir):
                                             P.CACHE_TTL_SECONDS, P.REC_N)
 
 
+# --- evaluation --------------------------------------------------------------------
+
+def _eval_inputs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    active = stats.active_users(t.ratings, P.MIN_RATINGS).select("user_id")
+    folds = evaluate.assign_folds(active, P.EVAL_FOLDS, P.FOLD_SALT)
+    recs = recommend.user_recommendations(t.latest, _similar(t), P.EVAL_K, P.SEEDS, users=active)
+    return t, folds, recs
+
+
+@register("eval_folds")
+def eval_folds(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    active = stats.active_users(t.ratings, P.MIN_RATINGS).select("user_id")
+    return evaluate.assign_folds(active, P.EVAL_FOLDS, P.FOLD_SALT)
+
+
+@register("eval_coverage")
+def eval_coverage(spark, sf_dir):
+    t, folds, recs = _eval_inputs(spark, sf_dir)
+    return evaluate.fold_coverage(folds, recs, t.movies).select("fold", _r("coverage"))
+
+
+@register("eval_diversity")
+def eval_diversity(spark, sf_dir):
+    t, folds, recs = _eval_inputs(spark, sf_dir)
+    m = evaluate.per_user_metrics(folds, recs, t.movies, t.ratings)
+    return m.select("user_id", "fold", _r("diversity"))
+
+
+@register("eval_novelty")
+def eval_novelty(spark, sf_dir):
+    t, folds, recs = _eval_inputs(spark, sf_dir)
+    m = evaluate.per_user_metrics(folds, recs, t.movies, t.ratings)
+    return m.select("user_id", "fold", _r("novelty"))
+
+
+@register("evaluate")
+def evaluate_query(spark, sf_dir):
+    t, folds, recs = _eval_inputs(spark, sf_dir)
+    per_fold = evaluate.fold_metrics(folds, recs, t.movies, t.ratings)
+    s = evaluate.summarize(per_fold, P.EVAL_FOLDS)
+    return s.select("metric", _r("mean"), _r("std"), _r("ci_lower"), _r("ci_upper"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -268,5 +268,50 @@ SQL["cached_recommendations"] = q(REC_CTES + """
 SELECT user_id, rank, movie_id, user_id % 2 = 0 AS from_cache FROM urecs""")
 
 
+# --- evaluation -------------------------------------------------------------------
+
+FOLD_CTES = f"""
+, active AS (SELECT user_id FROM ratings GROUP BY user_id HAVING count(*) >= {P.MIN_RATINGS})
+, folds AS (SELECT user_id,
+                   CAST(ntile({P.EVAL_FOLDS}) OVER (ORDER BY md5(CAST(user_id AS VARCHAR) || ':{P.FOLD_SALT}'), user_id)
+                        AS INTEGER) AS fold
+            FROM active)"""
+
+EVAL_CTES = FOLD_CTES + SIMILAR_CTES + SEEDS_CTE + user_recs_cte(
+    "erecs", P.EVAL_K, "WHERE s.user_id IN (SELECT user_id FROM active)") + f"""
+, gsets AS (SELECT movie_id, list_distinct(genres) AS gset FROM movies)
+, eitems AS (SELECT r.user_id, r.rank, coalesce(g.gset, CAST([] AS VARCHAR[])) AS gset
+             FROM erecs r LEFT JOIN gsets g USING (movie_id))
+, epairs AS (SELECT a.user_id, len(list_intersect(a.gset, b.gset)) AS inter,
+                    len(list_distinct(list_concat(a.gset, b.gset))) AS uni
+             FROM eitems a JOIN eitems b ON a.user_id = b.user_id AND a.rank < b.rank)
+, udiv AS (SELECT user_id, avg(1.0 - inter / uni) AS diversity FROM epairs WHERE uni > 0 GROUP BY user_id)
+, shares AS (SELECT movie_id, count(*) / (SELECT count(*) FROM ratings) AS share FROM ratings GROUP BY movie_id)
+, unov AS (SELECT r.user_id, avg(CASE WHEN s.share > 0 THEN -log2(s.share) ELSE 0.0 END) AS novelty
+           FROM erecs r LEFT JOIN shares s USING (movie_id) GROUP BY r.user_id)
+, umetrics AS (SELECT f.user_id, f.fold, coalesce(d.diversity, 0.0) AS diversity, coalesce(n.novelty, 0.0) AS novelty
+               FROM folds f LEFT JOIN udiv d USING (user_id) LEFT JOIN unov n USING (user_id))
+, fcov AS (SELECT f.fold, count(DISTINCT r.movie_id) / (SELECT count(*) FROM movies) AS coverage
+           FROM folds f LEFT JOIN erecs r USING (user_id) GROUP BY f.fold)
+, fmetrics AS (SELECT c.fold, c.coverage, m.diversity, m.novelty
+               FROM fcov c JOIN (SELECT fold, avg(diversity) AS diversity, avg(novelty) AS novelty
+                                 FROM umetrics GROUP BY fold) m USING (fold))
+, summary AS (SELECT metric, avg(v) AS mean, stddev_pop(v) AS std
+              FROM (SELECT 'coverage' AS metric, coverage AS v FROM fmetrics
+                    UNION ALL SELECT 'diversity', diversity FROM fmetrics
+                    UNION ALL SELECT 'novelty', novelty FROM fmetrics)
+              GROUP BY metric)"""
+
+SQL["eval_folds"] = q(FOLD_CTES + "\nSELECT user_id, fold FROM folds")
+SQL["eval_coverage"] = q(EVAL_CTES + "\nSELECT fold, round(coverage, 6) AS coverage FROM fcov")
+SQL["eval_diversity"] = q(EVAL_CTES + "\nSELECT user_id, fold, round(diversity, 6) AS diversity FROM umetrics")
+SQL["eval_novelty"] = q(EVAL_CTES + "\nSELECT user_id, fold, round(novelty, 6) AS novelty FROM umetrics")
+SQL["evaluate"] = q(EVAL_CTES + f"""
+SELECT metric, round(mean, 6) AS mean, round(std, 6) AS std,
+       round(mean - 1.96 * std / sqrt({P.EVAL_FOLDS}), 6) AS ci_lower,
+       round(mean + 1.96 * std / sqrt({P.EVAL_FOLDS}), 6) AS ci_upper
+FROM summary""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
