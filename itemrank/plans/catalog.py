@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import evaluate, prep, recommend, search, similarity, stats, validate
+from ..operators import evaluate, merge, prep, recommend, search, similarity, stats, validate
+from ..streaming import ingest
 from ..session import scratch_path
 from ..sources import files
 from . import params as P
@@ -302,6 +303,67 @@ def evaluate_query(spark, sf_dir):
     return s.select("metric", _r("mean"), _r("std"), _r("ci_lower"), _r("ci_upper"))
 
 
+# --- validation, merges, streaming ---------------------------------------------------
+
+@register("validate_ratings")
+def validate_ratings(spark, sf_dir):
+    return validate.valid_ratings(Tables(spark, sf_dir).rating_events)
+
+
+@register("rejected_ratings")
+def rejected_ratings(spark, sf_dir):
+    return validate.rejected_ratings(Tables(spark, sf_dir).rating_events)
+
+
+@register("valid_new_ratings")
+def valid_new_ratings(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return validate.valid_new_ratings(t.rating_events, t.movies)
+
+
+@register("merge_ratings_latest")
+def merge_ratings_latest(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return merge.merge_latest(t.ratings, validate.valid_new_ratings(t.rating_events, t.movies))
+
+
+@register("merge_ratings_sum")
+def merge_ratings_sum(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    out = merge.merge_sum(t.latest, validate.valid_new_ratings(t.rating_events, t.movies))
+    return out.select("movie_id", "user_id", _r("rating"))
+
+
+@register("stream_valid_ratings")
+def stream_valid_ratings(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    res = ingest.run_ingest(spark, sf_dir, t.movies)
+    return res.valid(spark).drop("batch_id")
+
+
+@register("stream_merge_latest")
+def stream_merge_latest(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    res = ingest.run_ingest(spark, sf_dir, t.movies)
+    return ingest.merged_latest(t.ratings, res.valid(spark))
+
+
+@register("stream_refresh_popularity")
+def stream_refresh_popularity(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    path = ingest.run_popularity_state(spark, sf_dir, t.movies)
+    pop = ingest.refreshed_popularity(t.ratings, spark.read.parquet(path))
+    return pop.select("movie_id", "rating_count", _r("rating_mean"), "last_rated",
+                      _r("popularity_score"))
+
+
+@register("stream_progress")
+def stream_progress(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    res = ingest.run_ingest(spark, sf_dir, t.movies)
+    return ingest.progress_table(spark, res.progress)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

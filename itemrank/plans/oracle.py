@@ -313,5 +313,45 @@ SELECT metric, round(mean, 6) AS mean, round(std, 6) AS std,
 FROM summary""")
 
 
+# --- validation, merges, streaming --------------------------------------------------
+
+CHECK_CTES = f"""
+, checked AS (
+  SELECT event_id, user_id, movie_id, rating, timestamp,
+         CASE WHEN user_id IS NULL THEN 'missing user_id'
+              WHEN movie_id IS NULL THEN 'missing movie_id'
+              WHEN rating IS NULL THEN 'missing rating'
+              WHEN timestamp IS NULL THEN 'missing timestamp'
+              WHEN isnan(rating) THEN 'rating must be numeric'
+              WHEN NOT (rating BETWEEN {P.RATING_MIN} AND {P.RATING_MAX}) THEN 'rating out of range' END AS reject_reason
+  FROM rating_events)
+, valid AS (SELECT event_id, user_id, movie_id, rating, timestamp FROM checked WHERE reject_reason IS NULL)
+, valid_new AS (SELECT * FROM valid WHERE movie_id IN (SELECT movie_id FROM movies))
+, merged_facts AS (SELECT user_id, movie_id, rating, timestamp FROM ratings
+                   UNION ALL SELECT user_id, movie_id, rating, timestamp FROM valid_new)
+, merged_latest AS (SELECT movie_id, user_id, max_by(rating, (timestamp, rating)) AS rating, max(timestamp) AS timestamp
+                    FROM merged_facts GROUP BY movie_id, user_id)
+, mstats AS (SELECT movie_id, count(rating) AS rating_count, sum(rating) AS s, max(timestamp) AS last_rated
+             FROM merged_facts GROUP BY movie_id)"""
+
+SQL["validate_ratings"] = q(CHECK_CTES + "\nSELECT * FROM valid")
+SQL["rejected_ratings"] = q(CHECK_CTES + "\nSELECT * FROM checked WHERE reject_reason IS NOT NULL")
+SQL["valid_new_ratings"] = q(CHECK_CTES + "\nSELECT * FROM valid_new")
+SQL["merge_ratings_latest"] = q(CHECK_CTES + "\nSELECT * FROM merged_latest")
+SQL["merge_ratings_sum"] = q(CHECK_CTES + """
+, batch AS (SELECT movie_id, user_id, avg(rating) AS rating FROM valid_new GROUP BY movie_id, user_id)
+SELECT movie_id, user_id, round(sum(rating), 6) AS rating
+FROM (SELECT movie_id, user_id, rating FROM latest UNION ALL SELECT movie_id, user_id, rating FROM batch)
+GROUP BY movie_id, user_id""")
+SQL["stream_valid_ratings"] = SQL["valid_new_ratings"]
+SQL["stream_merge_latest"] = SQL["merge_ratings_latest"]
+SQL["stream_refresh_popularity"] = q(CHECK_CTES + """
+SELECT movie_id, rating_count, round(s / rating_count, 6) AS rating_mean, last_rated,
+       round(rating_count * (s / rating_count)
+             * (1.0 / (1.0 + ln(1.0 + ((SELECT max(last_rated) FROM mstats) - last_rated) / 86400.0))), 6)
+         AS popularity_score
+FROM mstats""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
