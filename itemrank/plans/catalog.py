@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import evaluate, merge, prep, recommend, search, similarity, stats, validate
 from ..streaming import ingest
 from ..session import scratch_path
-from ..sources import files
+from ..sources import files, store
 from . import params as P
 from .tables import Tables
 
@@ -364,6 +364,43 @@ def stream_progress(spark, sf_dir):
     return ingest.progress_table(spark, res.progress)
 
 
+# --- fuzzy title search -------------------------------------------------------------
+
+@register("search_title")
+def search_title(spark, sf_dir):
+    top = search.by_title(Tables(spark, sf_dir).movies, P.TITLE_QUERY, P.TITLE_LIMIT)
+    order = [F.col("score").desc(), F.col("movie_id").asc()]
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order))).select(
+        "rank", "movie_id", "title", "score")
+
+
+@register("search_advanced")
+def search_advanced(spark, sf_dir):
+    years = f"{P.ADVANCED_YEARS[0]}-{P.ADVANCED_YEARS[1]}"
+    out = search.advanced(Tables(spark, sf_dir).movies, P.TITLE_QUERY, P.ADVANCED_GENRE, years,
+                          P.ADVANCED_TITLE_LIMIT)
+    return out.select("movie_id", "title", F.array_join("genres", "|").alias("genres"), "year", "score")
+
+
+# --- persistence -------------------------------------------------------------------
+
+@register("model_roundtrip")
+def model_roundtrip(spark, sf_dir):
+    """S4 + S5: save the model tables, load the newest version, return the matrix cells."""
+    t = Tables(spark, sf_dir)
+    feats = prep.normalized_ratings(t.latest)
+    path = scratch_path(spark, "model")
+    store.save_model(spark, path, {
+        "matrix": t.latest.select("movie_id", "user_id", "rating"),
+        "features": feats.select("movie_id", "user_id", "w"),
+        "movie_ids": t.latest.select("movie_id").distinct(),
+        "popularity": stats.popularity_scores(t.ratings).select("movie_id", "popularity_score"),
+    })
+    model = store.load_model(spark, path)
+    return (model["matrix"].join(model["features"], ["movie_id", "user_id"])
+            .select("movie_id", "user_id", "rating", _r("w")))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

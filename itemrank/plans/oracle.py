@@ -353,5 +353,51 @@ SELECT movie_id, rating_count, round(s / rating_count, 6) AS rating_mean, last_r
 FROM mstats""")
 
 
+# --- fuzzy title search ---------------------------------------------------------------
+
+def _sorted_tokens_sql(expr: str) -> str:
+    return (f"array_to_string(list_sort(list_filter(string_split_regex(trim(regexp_replace(lower({expr}), "
+            f"'[^a-z0-9]', ' ', 'g')), ' +'), lambda t: t <> '')), ' ')")
+
+
+def _lcs_sql(a: str, b: str) -> str:
+    """LCS length by a nested fold: rows over chars of a, cells over chars of b (1-based)."""
+    n = f"length({b})"
+    zeros = f"list_transform(range(0, {n} + 1), lambda x: 0)"
+    inner = (f"list_reduce(range(1, {n} + 1), lambda acc, j: list_append(acc, "
+             f"CASE WHEN ca = substring({b}, j, 1) THEN prev[j] + 1 ELSE greatest(prev[j + 1], acc[j]) END), [0])")
+    return (f"CASE WHEN length({a}) = 0 OR {n} = 0 THEN 0 ELSE "
+            f"list_reduce(string_split({a}, ''), lambda prev, ca: {inner}, {zeros})[{n} + 1] END")
+
+
+def title_scores_cte(query: str) -> str:
+    qs = query.replace("'", "''")
+    return f"""
+, tsort AS (SELECT movie_id, title, genres, year, {_sorted_tokens_sql('title')} AS a,
+                   {_sorted_tokens_sql(f"'{qs}'")} AS b FROM movies)
+, tscore AS (SELECT movie_id, title, genres, year,
+                    CASE WHEN length(a) + length(b) = 0 THEN 0
+                         ELSE CAST(round(200.0 * ({_lcs_sql('a', 'b')}) / (length(a) + length(b))) AS INTEGER) END
+                      AS score
+             FROM tsort)"""
+
+
+SQL["search_title"] = q(title_scores_cte(P.TITLE_QUERY) + f"""
+SELECT CAST(row_number() OVER (ORDER BY score DESC, movie_id) AS INTEGER) AS rank, movie_id, title, score
+FROM (SELECT * FROM tscore ORDER BY score DESC, movie_id LIMIT {P.TITLE_LIMIT})""")
+SQL["search_advanced"] = q(title_scores_cte(P.TITLE_QUERY) + f"""
+, top50 AS (SELECT * FROM tscore ORDER BY score DESC, movie_id LIMIT {P.ADVANCED_TITLE_LIMIT})
+, known AS (SELECT count(*) > 0 AS k FROM movies
+            WHERE len(list_filter(genres, lambda g: lower(g) = lower('{P.ADVANCED_GENRE}'))) > 0)
+SELECT movie_id, title, array_to_string(genres, '|') AS genres, year, score FROM top50
+WHERE (NOT (SELECT k FROM known) OR len(list_filter(genres, lambda g: lower(g) = lower('{P.ADVANCED_GENRE}'))) > 0)
+  AND year BETWEEN {P.ADVANCED_YEARS[0]} AND {P.ADVANCED_YEARS[1]}""")
+
+
+SQL["model_roundtrip"] = q(SCALE_CTE + """
+SELECT l.movie_id, l.user_id, l.rating, round(l.rating / s.sd, 6) AS w
+FROM latest l JOIN scale s USING (user_id)""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
