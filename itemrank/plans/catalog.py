@@ -213,6 +213,11 @@ def similar_items(spark, sf_dir):
     return similarity.similar_items(t.latest, t.movies, P.NEIGHBORS)
 
 
+@register("ann_neighbors")
+def ann_neighbors(spark, sf_dir):
+    return similarity.ann_neighbors(Tables(spark, sf_dir).latest, P.NEIGHBORS)
+
+
 # --- recommendations -------------------------------------------------------------
 
 def _similar(t: Tables) -> DataFrame:
@@ -406,4 +411,4 @@ def queries() -> dict[str, Query]:
 
 
 __all__ = ["queries", "QUERIES", "text"]
-FLAGSHIP = "top_popular"
+FLAGSHIP = "user_recommendations"
