@@ -93,10 +93,49 @@ def lcs_length(a: Column, b: Column) -> Column:
     return F.when((F.length(a) == 0) | (n == 0), F.lit(0)).otherwise(F.element_at(last, -1))
 
 
+def sort_tokens_py(s: str) -> str:
+    """The same normalisation as ``sort_tokens`` for a constant (ASCII rules)."""
+    import re
+
+    return " ".join(sorted(t for t in re.sub("[^a-z0-9]", " ", s.lower()).split(" ") if t))
+
+
+BIT_PARALLEL_MAX = 62  # query length that fits a signed 64-bit word without overflow
+
+
+def lcs_length_const(a: Column, b: str) -> Column:
+    """LCS length of a column against a constant string, bit-parallel.
+
+    Classic bit-vector LCS: one bit per character of ``b``; for each character
+    of ``a``: U = V & match[c]; V = (V + U) | (V - U).  LCS = |b| - popcount(V).
+    One fold step is a handful of 64-bit operations, no arrays are built.
+    Requires ``len(b) <= 62`` so ``V + U`` cannot overflow.
+    """
+    n = len(b)
+    if n == 0:
+        return F.lit(0)
+    masks: dict[str, int] = {}
+    for j, ch in enumerate(b):
+        masks[ch] = masks.get(ch, 0) | (1 << j)
+    match = F.create_map(*[x for ch, bits in masks.items() for x in (F.lit(ch), F.lit(bits))])
+    full = F.lit((1 << n) - 1)
+
+    def step(v: Column, ca: Column) -> Column:
+        u = v.bitwiseAND(F.coalesce(F.try_element_at(match, ca), F.lit(0)))
+        return ((v + u).bitwiseOR(v - u)).bitwiseAND(full)
+
+    last = F.aggregate(F.split(a, ""), full, step)
+    return F.when(F.length(a) == 0, F.lit(0)).otherwise(F.lit(n) - F.bit_count(last))
+
+
 def token_sort_score(title: Column, query: str) -> Column:
     """round(100 * 2*LCS / (|a|+|b|)) over token-sorted strings; 0 if either is empty."""
     a = sort_tokens(title)
-    b = sort_tokens(F.lit(query))
-    total = F.length(a) + F.length(b)
+    b_text = sort_tokens_py(query)
+    if len(b_text) <= BIT_PARALLEL_MAX:
+        lcs = lcs_length_const(a, b_text)
+    else:
+        lcs = lcs_length(a, F.lit(b_text))
+    total = F.length(a) + F.lit(len(b_text))
     return F.when(total == 0, F.lit(0)).otherwise(
-        F.round(F.lit(200.0) * lcs_length(a, b) / total, 0).cast("int"))
+        F.round(F.lit(200.0) * lcs / total, 0).cast("int"))

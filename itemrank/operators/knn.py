@@ -33,12 +33,18 @@ sharing no key); ``cosine`` is the plain dot product of pre-normalised vectors
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The per-block-pair function runs in executor Python workers: ship this
+# module's code with the task (pickle by value) so executors need no install.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUT_SCHEMA = "item_id long, neighbor_id long, score double"
 
 # Block sizing: a task holds two blocks.  The dense distance block is
@@ -160,6 +166,11 @@ def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: in
     """
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
+    if n_blocks is None:
+        # Sizing needs counts; checkpoint the vectors to the shared checkpoint
+        # folder first so the upstream pipeline runs once, lineage is cut and a
+        # lost executor re-reads files instead of recomputing the pipeline.
+        vectors = vectors.checkpoint(eager=True)
     nb = n_blocks or block_count(vectors)
     n_pairs = nb * (nb + 1) // 2
     blk = F.pmod(F.xxhash64("item_id"), F.lit(nb)).cast("int")

@@ -56,3 +56,12 @@ def test_validation_rejects_like_reference(spark):
     assert checked[4] == "missing movie_id"
     assert checked[5] == "rating must be numeric"
     assert [r.event_id for r in validate.valid_ratings(ev).collect()] == [1]
+
+
+def test_bit_parallel_lcs_equals_dp(tables):
+    q = text.sort_tokens_py("widget red 1978!")
+    a = text.sort_tokens(F.col("title"))
+    df = tables.movies.select(text.lcs_length(a, F.lit(q)).alias("dp"),
+                              text.lcs_length_const(a, q).alias("bits"))
+    assert df.where(F.col("dp") != F.col("bits")).count() == 0
+    assert text.sort_tokens_py("Widget, RED 1978!") == "1978 red widget"
