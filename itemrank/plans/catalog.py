@@ -209,7 +209,7 @@ def cf_neighbors(spark, sf_dir):
 
 @register("similar_items")
 def similar_items(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, materialize=True)
     return similarity.similar_items(t.latest, t.movies, P.NEIGHBORS)
 
 
@@ -231,7 +231,7 @@ def user_top_rated(spark, sf_dir):
 
 @register("user_recommendations")
 def user_recommendations(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, materialize=True)
     return recommend.user_recommendations(t.latest, _similar(t), P.REC_N, P.SEEDS)
 
 
@@ -243,7 +243,7 @@ def cold_start_recommendations(spark, sf_dir):
 
 @register("recommendations_with_fallback")
 def recommendations_with_fallback(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, materialize=True)
     return recommend.recommendations_with_fallback(t.users, t.ratings, t.latest, _similar(t),
                                                    P.REC_N, P.FALLBACK_N)
 
@@ -251,7 +251,7 @@ def recommendations_with_fallback(spark, sf_dir):
 @register("cached_recommendations")
 def cached_recommendations(spark, sf_dir):
     """Cache table written with half the users stale (older than the TTL)."""
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, materialize=True)
     sim = _similar(t)
     recs = recommend.user_recommendations(t.latest, sim, P.REC_N, P.SEEDS)
     age = F.when(F.col("user_id") % 2 == 0, F.lit(600)).otherwise(F.lit(P.CACHE_TTL_SECONDS + 900))
@@ -266,7 +266,7 @@ def cached_recommendations(spark, sf_dir):
 # --- evaluation --------------------------------------------------------------------
 
 def _eval_inputs(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, materialize=True)
     active = stats.active_users(t.ratings, P.MIN_RATINGS).select("user_id")
     folds = evaluate.assign_folds(active, P.EVAL_FOLDS, P.FOLD_SALT)
     recs = recommend.user_recommendations(t.latest, _similar(t), P.EVAL_K, P.SEEDS, users=active)

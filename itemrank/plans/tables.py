@@ -13,12 +13,23 @@ from ..sources import fixtures
 
 @dataclass
 class Tables:
+    """Lazy views of one test-data folder.
+
+    ``materialize=True`` is for composite queries that read the ratings and
+    the latest-rating matrix many times (scalar subqueries, anti joins, seed
+    selection): both are then checkpointed once into the shared checkpoint
+    folder, so the orders x lineitem join and the de-duplication run once and
+    every consumer scans files.
+    """
+
     spark: SparkSession
     sf_dir: str
+    materialize: bool = False
 
     @cached_property
     def ratings(self) -> DataFrame:
-        return fixtures.ratings(self.spark, self.sf_dir)
+        r = fixtures.ratings(self.spark, self.sf_dir)
+        return r.checkpoint(eager=True) if self.materialize else r
 
     @cached_property
     def movies_raw(self) -> DataFrame:
@@ -38,4 +49,5 @@ class Tables:
 
     @cached_property
     def latest(self) -> DataFrame:
-        return prep.latest_ratings(self.ratings)
+        latest = prep.latest_ratings(self.ratings)
+        return latest.checkpoint(eager=True) if self.materialize else latest
