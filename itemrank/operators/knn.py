@@ -181,12 +181,15 @@ def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: in
                   .select("item_id", "key", "weight", "blk",
                           F.least("blk", "partner").alias("pair_lo"),
                           F.greatest("blk", "partner").alias("pair_hi")))
-    # Explicit partition count: one block pair per task where possible, and AQE
-    # must not fold the (small but CPU-heavy) groups into a handful of tasks.
+    # One block pair per task where possible: range partitioning on the dense
+    # pair id never splits a pair and, unlike hashing n keys into n buckets,
+    # leaves no empty tasks next to tasks holding several pairs.  The explicit
+    # count also keeps AQE from folding the CPU-heavy groups into few tasks.
     parts = max(1, min(n_pairs, max_partitions))
-    candidates = (replicated
-                  .repartition(parts, "pair_lo", "pair_hi")
-                  .groupBy("pair_lo", "pair_hi")
+    pair_id = F.col("pair_lo") * nb + F.col("pair_hi")
+    candidates = (replicated.withColumn("pair_id", pair_id)
+                  .repartitionByRange(parts, "pair_id")
+                  .groupBy("pair_id")
                   .applyInPandas(_pair_task(k, metric, decimals), OUT_SCHEMA))
     score = F.round("score", decimals)
     order = [score.asc() if metric == "l2" else score.desc(), F.col("neighbor_id").asc()]
