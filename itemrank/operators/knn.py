@@ -132,9 +132,10 @@ def _topk_rows(a: pd.DataFrame, b: pd.DataFrame, k: int, metric: str, decimals:
                          "score": raw[r, c].astype(np.float64)})
 
 
-def _pair_task(k: int, metric: str, decimals: int):
+def _pair_task(k: int, metric: str, decimals: int, n_blocks: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = int(pdf["pair_lo"].iloc[0]), int(pdf["pair_hi"].iloc[0])
+        pair = int(pdf["pair_id"].iloc[0])
+        lo, hi = divmod(pair, n_blocks)
         a = pdf[pdf["blk"] == lo]
         out = []
         if lo == hi:
@@ -177,20 +178,19 @@ def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: in
     rows = vectors.select(F.col("item_id").cast("long").alias("item_id"), "key",
                           F.col("weight").cast("double").alias("weight"), blk.alias("blk"))
     partner = F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("partner")
+    # Unordered block pair (lo, hi) as one dense id lo*nb + hi.
+    pair_id = F.least("blk", "partner") * nb + F.greatest("blk", "partner")
     replicated = (rows.select("*", partner)
-                  .select("item_id", "key", "weight", "blk",
-                          F.least("blk", "partner").alias("pair_lo"),
-                          F.greatest("blk", "partner").alias("pair_hi")))
+                  .select(pair_id.alias("pair_id"), "item_id", "key", "weight", "blk"))
     # One block pair per task where possible: range partitioning on the dense
     # pair id never splits a pair and, unlike hashing n keys into n buckets,
     # leaves no empty tasks next to tasks holding several pairs.  The explicit
     # count also keeps AQE from folding the CPU-heavy groups into few tasks.
     parts = max(1, min(n_pairs, max_partitions))
-    pair_id = F.col("pair_lo") * nb + F.col("pair_hi")
-    candidates = (replicated.withColumn("pair_id", pair_id)
+    candidates = (replicated
                   .repartitionByRange(parts, "pair_id")
                   .groupBy("pair_id")
-                  .applyInPandas(_pair_task(k, metric, decimals), OUT_SCHEMA))
+                  .applyInPandas(_pair_task(k, metric, decimals, nb), OUT_SCHEMA))
     score = F.round("score", decimals)
     order = [score.asc() if metric == "l2" else score.desc(), F.col("neighbor_id").asc()]
     w = Window.partitionBy("item_id").orderBy(*order)

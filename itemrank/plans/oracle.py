@@ -399,5 +399,9 @@ SELECT l.movie_id, l.user_id, l.rating, round(l.rating / s.sd, 6) AS w
 FROM latest l JOIN scale s USING (user_id)""")
 
 
+# One file source, availableNow, no per-trigger cap: every event arrives in batch 0.
+SQL["stream_progress"] = "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS num_input_rows FROM events"
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -62,5 +62,5 @@ def test_entry_contract(spark):
     assert df.count() > 0
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) <= {"ann_neighbors", "stream_progress"}
+    assert set(qs) - set(sql) <= {"ann_neighbors"}
     assert os.path.isdir(SF_SMALL)
