@@ -12,9 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import text
 from ..operators import evaluate, merge, prep, recommend, search, similarity, stats, validate
-from ..streaming import ingest
+from ..streaming import ingest, refresh
 from ..session import scratch_path
 from ..sources import files, store
 from . import params as P
@@ -371,6 +370,15 @@ def stream_progress(spark, sf_dir):
     return ingest.progress_table(spark, res.progress, timings=False)
 
 
+
+@register("stream_model_refresh")
+def stream_model_refresh(spark, sf_dir):
+    """ST3 + ST4: stream, merge, publish a model version; return its CF neighbours."""
+    t = Tables(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    refresh.run_with_refresh(spark, sf_dir, t.ratings, t.movies, path, 1, P.NEIGHBORS)
+    return store.load_model(spark, path)["neighbors"]
+
 # --- fuzzy title search -------------------------------------------------------------
 
 @register("search_title")

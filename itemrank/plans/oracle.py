@@ -174,23 +174,40 @@ CONTENT_CTES = TFIDF_CTES + f"""
            neighbor_id, similarity FROM csim WHERE similarity > 0)
   WHERE rank <= {P.NEIGHBORS})"""
 
-CF_CTES = SCALE_CTE + f"""
-, wv AS (SELECT movie_id, user_id, rating / sd AS w FROM latest JOIN scale USING (user_id))
-, norms AS (SELECT movie_id, sum(w * w) AS n FROM wv GROUP BY movie_id)
-, dots AS (SELECT a.movie_id AS i, b.movie_id AS j, sum(a.w * b.w) AS dot
-           FROM wv a JOIN wv b USING (user_id) WHERE a.movie_id <> b.movie_id GROUP BY a.movie_id, b.movie_id)
-, lownorm AS (SELECT movie_id AS j FROM norms ORDER BY n, movie_id LIMIT {P.NEIGHBORS + 1})
-, cand AS (SELECT i, j, dot FROM dots
-           UNION ALL SELECT n1.movie_id AS i, g.j, 0.0 AS dot FROM norms n1 JOIN lownorm g ON n1.movie_id <> g.j)
-, cagg AS (SELECT i, j, sum(dot) AS dot FROM cand GROUP BY i, j)
-, cdist AS (SELECT i AS movie_id, j AS neighbor_id, round(ni.n + nj.n - 2 * cagg.dot, 6) AS distance
-            FROM cagg JOIN norms ni ON ni.movie_id = cagg.i JOIN norms nj ON nj.movie_id = cagg.j)
-, cf AS (
+def cf_ctes(src: str = "latest", p: str = "") -> str:
+    """Exact CF neighbours over the matrix ``src`` (CTE names prefixed by ``p``).
+
+    Pruned candidates: co-rated pairs plus the k+1 globally smallest norms
+    (a pair sharing no rater has distance n_i + n_j).
+    """
+    return f"""
+, {p}scale AS (
+  SELECT user_id, s1 / m AS mean,
+         CASE WHEN sqrt(greatest(s2 / m - (s1 / m) * (s1 / m), 0.0)) = 0 THEN 1.0
+              ELSE sqrt(greatest(s2 / m - (s1 / m) * (s1 / m), 0.0)) END AS sd
+  FROM (SELECT user_id, sum(rating) AS s1, sum(rating * rating) AS s2,
+               (SELECT count(DISTINCT movie_id) FROM {src}) AS m
+        FROM {src} GROUP BY user_id))
+, {p}wv AS (SELECT movie_id, user_id, rating / sd AS w FROM {src} JOIN {p}scale USING (user_id))
+, {p}norms AS (SELECT movie_id, sum(w * w) AS n FROM {p}wv GROUP BY movie_id)
+, {p}dots AS (SELECT a.movie_id AS i, b.movie_id AS j, sum(a.w * b.w) AS dot
+              FROM {p}wv a JOIN {p}wv b USING (user_id) WHERE a.movie_id <> b.movie_id
+              GROUP BY a.movie_id, b.movie_id)
+, {p}lownorm AS (SELECT movie_id AS j FROM {p}norms ORDER BY n, movie_id LIMIT {P.NEIGHBORS + 1})
+, {p}cand AS (SELECT i, j, dot FROM {p}dots
+              UNION ALL SELECT n1.movie_id AS i, g.j, 0.0 AS dot FROM {p}norms n1 JOIN {p}lownorm g ON n1.movie_id <> g.j)
+, {p}cagg AS (SELECT i, j, sum(dot) AS dot FROM {p}cand GROUP BY i, j)
+, {p}cdist AS (SELECT c.i AS movie_id, c.j AS neighbor_id, round(ni.n + nj.n - 2 * c.dot, 6) AS distance
+               FROM {p}cagg c JOIN {p}norms ni ON ni.movie_id = c.i JOIN {p}norms nj ON nj.movie_id = c.j)
+, {p}cf AS (
   SELECT * FROM (
     SELECT movie_id, CAST(row_number() OVER (PARTITION BY movie_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank,
-           neighbor_id, distance FROM cdist)
+           neighbor_id, distance FROM {p}cdist)
   WHERE rank <= {P.NEIGHBORS})"""
 
+
+CF_CTES = cf_ctes()
+
 SIMILAR_CTES = CF_CTES + CONTENT_CTES + f"""
 , hboth AS (SELECT movie_id, neighbor_id, rank AS cf_rank, CAST(NULL AS BIGINT) AS content_rank FROM cf
             UNION ALL
@@ -403,5 +420,8 @@ FROM latest l JOIN scale s USING (user_id)""")
 SQL["stream_progress"] = "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS num_input_rows FROM events"
 
 
+SQL["stream_model_refresh"] = q(CHECK_CTES + cf_ctes("merged_latest", "m") + "\nSELECT movie_id, rank, neighbor_id, distance FROM mcf")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
