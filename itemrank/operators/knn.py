@@ -47,10 +47,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OUT_SCHEMA = "item_id long, neighbor_id long, score double"
 
-# Block sizing: a task holds two blocks.  The dense distance block is
-# items_per_block² doubles (32 MiB at 2048); non-zeros per block bound the
-# rows shipped to one Python worker.
-ITEMS_PER_BLOCK = 2048
+# Block sizing: a task holds two blocks.  Blocks bound the replication factor
+# (every non-zero is copied once per block) and the rows shipped to one Python
+# worker; tiles bound the dense memory inside the task.
+ITEMS_PER_BLOCK = 8192
+TILE_ITEMS = 2048              # dense tile inside a task: 2048² doubles = 32 MiB
 ENTRIES_PER_BLOCK = 2_000_000
 DENSE_CELLS = 8_000_000        # use dense BLAS when (|I|+|J|)·keys fits this
 MERGE_CHUNK_PAIRS = 20_000_000  # bound on key-matched pairs per merge chunk
@@ -90,46 +91,68 @@ def _block_product(a: pd.DataFrame, b: pd.DataFrame, na: int, nb: int) -> np.nda
     return g.reshape(na, nb)
 
 
+def _best_k(r: np.ndarray, c: np.ndarray, v: np.ndarray, k: int) -> np.ndarray:
+    """Indices of the k best (v, c) per row r; c is in neighbour-id order."""
+    order = np.lexsort((c, v, r))
+    if len(order) == 0:
+        return order
+    rs = r[order]
+    starts = np.flatnonzero(np.r_[True, rs[1:] != rs[:-1]])
+    rank = np.arange(len(rs)) - np.repeat(starts, np.diff(np.r_[starts, len(rs)]))
+    return order[rank < k]
+
+
 def _topk_rows(a: pd.DataFrame, b: pd.DataFrame, k: int, metric: str, decimals: int) -> pd.DataFrame:
-    """Best k columns of every row of the A×B block (self excluded)."""
+    """Best k columns of every row of the A×B block (self excluded).
+
+    The block is processed in tiles of at most ``TILE_ITEMS`` x ``TILE_ITEMS``
+    items, so dense memory stays bounded however large the blocks are; each
+    tile keeps its own top-k per row and the tiles' candidates are merged.
+    """
     ia, items_a = pd.factorize(a["item_id"], sort=True)
     ib, items_b = pd.factorize(b["item_id"], sort=True)  # columns in id order
-    a = a.assign(ia=ia)
-    b = b.assign(ib=ib)
-    na, nbc = len(items_a), len(items_b)
-    g = _block_product(a, b, na, nbc)
     items_a = np.asarray(items_a, dtype=np.int64)
     items_b = np.asarray(items_b, dtype=np.int64)
+    na, nbc = len(items_a), len(items_b)
+    if na == 0 or nbc == 0 or k <= 0:
+        return pd.DataFrame({"item_id": [], "neighbor_id": [], "score": []})
     if metric == "l2":
         wa2 = np.bincount(ia, weights=a["weight"].to_numpy(np.float64) ** 2, minlength=na)
         wb2 = np.bincount(ib, weights=b["weight"].to_numpy(np.float64) ** 2, minlength=nbc)
-        raw = wa2[:, None] + wb2[None, :] - 2.0 * g
-        val = np.round(raw, decimals)
-    else:  # cosine on normalised vectors: larger is better -> negate
-        raw = g
-        val = -np.round(raw, decimals)
-        val[val >= 0] = np.inf
-    val[items_a[:, None] == items_b[None, :]] = np.inf
-    kk = min(k, nbc)
-    if kk == 0:
-        return pd.DataFrame({"item_id": [], "neighbor_id": [], "score": []})
-    if nbc > kk:
-        kth = np.partition(val, kk - 1, axis=1)[:, kk - 1]
-    else:
-        kth = val.max(axis=1)
-    r, c = np.nonzero((val <= kth[:, None]) & np.isfinite(val))
-    v = val[r, c]
-    order = np.lexsort((c, v, r))
-    r, c = r[order], c[order]
-    if len(r):
-        new_row = np.r_[True, r[1:] != r[:-1]]
-        starts = np.flatnonzero(new_row)
-        run = np.diff(np.r_[starts, len(r)])
-        rank = np.arange(len(r)) - np.repeat(starts, run)
-        keep = rank < k
-        r, c = r[keep], c[keep]
-    return pd.DataFrame({"item_id": items_a[r], "neighbor_id": items_b[c],
-                         "score": raw[r, c].astype(np.float64)})
+    a = a.assign(ia=ia, ta=ia // TILE_ITEMS)
+    b = b.assign(ib=ib, tb=ib // TILE_ITEMS)
+    a_tiles = dict(tuple(a.groupby("ta", sort=True)))
+    b_tiles = dict(tuple(b.groupby("tb", sort=True)))
+    rows, cols, raws = [], [], []
+    for ta, at in a_tiles.items():
+        a0 = ta * TILE_ITEMS
+        na_t = min(TILE_ITEMS, na - a0)
+        at = at.assign(ia=at["ia"] - a0)
+        for tb, bt in b_tiles.items():
+            b0 = tb * TILE_ITEMS
+            nb_t = min(TILE_ITEMS, nbc - b0)
+            g = _block_product(at, bt.assign(ib=bt["ib"] - b0), na_t, nb_t)
+            if metric == "l2":
+                raw = wa2[a0:a0 + na_t, None] + wb2[None, b0:b0 + nb_t] - 2.0 * g
+                val = np.round(raw, decimals)
+            else:  # cosine on normalised vectors: larger is better -> negate
+                raw = g
+                val = -np.round(raw, decimals)
+                val[val >= 0] = np.inf
+            val[items_a[a0:a0 + na_t, None] == items_b[None, b0:b0 + nb_t]] = np.inf
+            kk = min(k, nb_t)
+            kth = (np.partition(val, kk - 1, axis=1)[:, kk - 1] if nb_t > kk else val.max(axis=1))
+            r, c = np.nonzero((val <= kth[:, None]) & np.isfinite(val))
+            keep = _best_k(r, c, val[r, c], k)
+            r, c = r[keep], c[keep]
+            rows.append(r + a0)
+            cols.append(c + b0)
+            raws.append(raw[r, c])
+    r, c, raw = np.concatenate(rows), np.concatenate(cols), np.concatenate(raws)
+    val = np.round(raw, decimals) if metric == "l2" else -np.round(raw, decimals)
+    keep = _best_k(r, c, val, k)
+    return pd.DataFrame({"item_id": items_a[r[keep]], "neighbor_id": items_b[c[keep]],
+                         "score": raw[keep].astype(np.float64)})
 
 
 def _pair_task(k: int, metric: str, decimals: int, n_blocks: int):
@@ -151,11 +174,21 @@ def _pair_task(k: int, metric: str, decimals: int, n_blocks: int):
 
 
 def block_count(vectors: DataFrame, items_per_block: int = ITEMS_PER_BLOCK,
-                entries_per_block: int = ENTRIES_PER_BLOCK) -> int:
-    """Number of item blocks, from an approximate item count and the row count."""
+                entries_per_block: int = ENTRIES_PER_BLOCK, min_pairs: int | None = None) -> int:
+    """Number of item blocks from an approximate item count and the row count.
+
+    Enough blocks that no block exceeds the item or non-zero budget, and —
+    when the data allows — enough block pairs to give every core two tasks.
+    """
     row = vectors.agg(F.approx_count_distinct("item_id").alias("n"), F.count("*").alias("nnz")).first()
     n_items, nnz = int(row["n"] or 0), int(row["nnz"] or 0)
-    return max(1, math.ceil(n_items / items_per_block), math.ceil(nnz / entries_per_block))
+    nb = max(1, math.ceil(n_items / items_per_block), math.ceil(nnz / entries_per_block))
+    if min_pairs is None:
+        min_pairs = 2 * vectors.sparkSession.sparkContext.defaultParallelism
+    max_nb = max(1, n_items // 256)  # keep blocks large enough to be worth a task
+    while nb * (nb + 1) // 2 < min_pairs and nb < max_nb:
+        nb += 1
+    return nb
 
 
 def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: int = 6,

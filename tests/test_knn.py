@@ -68,3 +68,20 @@ def test_hot_key_shared_by_every_item(spark):
     for r in got.orderBy("item_id", "rank").collect():
         res.setdefault(r.item_id, []).append(r.neighbor_id)
     assert res == _brute(dense, 3, "l2", 6)
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_small_tiles_match_brute_force(spark, monkeypatch, metric):
+    rng = np.random.default_rng(11)
+    dense = (rng.random((45, 20)) < 0.15) * rng.integers(1, 4, (45, 20)).astype(float)
+    if metric == "cosine":
+        norms = np.linalg.norm(dense, axis=1, keepdims=True)
+        norms[norms == 0] = 1
+        dense = dense / norms
+    monkeypatch.setattr(knn, "TILE_ITEMS", 7)
+    decimals = 6 if metric == "l2" else 9
+    got = knn.top_k_neighbors(_vectors(spark, dense), 5, metric, decimals, n_blocks=2)
+    res = {}
+    for r in got.orderBy("item_id", "rank").collect():
+        res.setdefault(r.item_id, []).append(r.neighbor_id)
+    assert res == {i: v for i, v in _brute(dense, 5, metric, decimals).items() if v}
