@@ -230,3 +230,31 @@ def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: in
     return (candidates.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
             .select("item_id", "rank", "neighbor_id", score.alias("score")))
+
+
+def _group_task(k: int, metric: str, decimals: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        res = _topk_rows(pdf, pdf, k, metric, decimals)
+        return res.astype({"item_id": "int64", "neighbor_id": "int64", "score": "float64"})
+    return run
+
+
+def top_k_within_groups(rows: DataFrame, k: int, metric: str = "l2", decimals: int = 6,
+                        n_groups: int | None = None) -> DataFrame:
+    """Exact top-k among the items of each candidate group, merged per item.
+
+    ``rows(gid, item_id, key, weight)`` carries the sparse vector of every item
+    once per group it belongs to.  Each group (bounded by its builder) is one
+    task running the same block kernel; an item's best k over all its groups
+    is kept after de-duplicating neighbours found in several groups.
+    """
+    parts = max(1, min(n_groups or 1, 20000))
+    cands = (rows.select("gid", "item_id", "key", "weight")
+             .repartitionByRange(parts, "gid").groupBy("gid")
+             .applyInPandas(_group_task(k, metric, decimals), OUT_SCHEMA))
+    best = cands.groupBy("item_id", "neighbor_id").agg(F.min("score").alias("score"))
+    score = F.round("score", decimals)
+    order = [score.asc() if metric == "l2" else score.desc(), F.col("neighbor_id").asc()]
+    w = Window.partitionBy("item_id").orderBy(*order)
+    return (best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .select("item_id", "rank", "neighbor_id", score.alias("score")))

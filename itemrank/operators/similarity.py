@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import knn, prep
@@ -80,7 +81,7 @@ def similar_items(latest: DataFrame, movies: DataFrame, n: int = 5,
         "movie_id", "rank", "neighbor_id", "title", "genres", "year")
 
 
-def projected_vectors(vectors: DataFrame, dims: int = 64, seed: int = 42) -> DataFrame:
+def projected_vectors(vectors: DataFrame, dims: int = 32, seed: int = 42) -> DataFrame:
     """Random sign projection of sparse item vectors to ``dims`` dense coordinates.
 
     Coordinate j of item i is Σ_key w(i,key)·s(key,j)/√dims with s = ±1 from a
@@ -97,17 +98,54 @@ def projected_vectors(vectors: DataFrame, dims: int = 64, seed: int = 42) -> Dat
             .select("item_id", F.col("j").alias("key"), "weight"))
 
 
-def ann_neighbors(latest: DataFrame, k: int = 5, dims: int = 256, seed: int = 42,
-                  n_blocks: int | None = None) -> DataFrame:
-    """Approximate CF neighbours — exact search in a random projection.
+def _dot(arr: Column, vec) -> Column:
+    lit_vec = F.array(*[F.lit(float(x)) for x in vec])
+    return F.aggregate(F.zip_with(arr, lit_vec, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
 
-    The reference's index intent was approximate search; here the z-scored
-    item vectors are projected to ``dims`` dense coordinates and the blocked
-    exact kNN runs there (dense BLAS per block pair, no candidate pairs
-    materialised).  (movie_id, rank, neighbor_id, distance) with the
-    projected squared distance.
+
+def ann_neighbors(latest: DataFrame, k: int = 5, tables: int = 8, bits: int = 1,
+                  window: int = 512, dims: int = 64, seed: int = 42) -> DataFrame:
+    """Approximate CF neighbours with sorted-window random-projection LSH.
+
+    Per hash table t, every item gets a bucket from ``bits`` random hyperplanes
+    and a position along one more random direction (all in a ``dims``-dim
+    random projection of its z-scored vector).  Items are globally ordered by
+    (bucket, position) with a distributed sort and cut into windows of
+    ``window`` items; each pair of adjacent windows is searched exactly on the
+    original sparse vectors (``knn.top_k_within_groups``).  Work per item is
+    O(tables · window), independent of the catalogue size; windows have a fixed
+    size, so a crowded bucket is spread over consecutive windows instead of
+    forming a hot group.  Distances of returned pairs are exact.
+    (movie_id, rank, neighbor_id, distance).
     """
-    proj = projected_vectors(cf_vectors(latest), dims, seed)
-    nn = knn.top_k_neighbors(proj, k, "l2", CF_DECIMALS, n_blocks)
+    from .evaluate import dense_index
+
+    vec = cf_vectors(latest).checkpoint(eager=True)
+    proj = projected_vectors(vec, dims, seed)
+    arr = (proj.groupBy("item_id")
+           .agg(F.array_sort(F.collect_list(F.struct("key", "weight"))).alias("cells"))
+           .select("item_id", F.transform("cells", lambda c: c["weight"]).alias("p")))
+    rng = np.random.default_rng(seed)
+    keys = []
+    for t in range(tables):
+        planes = rng.standard_normal((bits, dims))
+        direction = rng.standard_normal(dims)
+        bucket = F.lit(0)
+        for b in range(bits):
+            bucket = bucket + F.when(_dot(F.col("p"), planes[b]) >= 0, F.lit(1 << b)).otherwise(F.lit(0))
+        keys.append(F.struct(F.lit(t).alias("t"), bucket.alias("bucket"),
+                             _dot(F.col("p"), direction).alias("pos")))
+    per_table = arr.select("item_id", F.explode(F.array(*keys)).alias("h")).select("item_id", "h.*")
+    n_items = arr.count()
+    ordered = dense_index(per_table, [F.col("t"), F.col("bucket"), F.col("pos"), F.col("item_id")])
+    n_windows = max(1, -(-n_items // window))
+    last_group = max(n_windows - 2, 0)
+    local = F.col("idx") - F.col("t") * F.lit(n_items)
+    win = F.floor(local / window).cast("int")
+    groups = (ordered.select("item_id", "t", F.explode(F.array(win - 1, win)).alias("g"))
+              .where((F.col("g") >= 0) & (F.col("g") <= last_group)).distinct()
+              .select("item_id", (F.col("t") * F.lit(last_group + 1) + F.col("g")).alias("gid")))
+    rows = groups.join(vec, "item_id")
+    nn = knn.top_k_within_groups(rows, k, "l2", CF_DECIMALS, tables * (last_group + 1))
     return nn.select(F.col("item_id").alias("movie_id"), "rank", "neighbor_id",
                      F.col("score").alias("distance"))
