@@ -55,6 +55,7 @@ TILE_ITEMS = 2048              # dense tile inside a task: 2048² doubles = 32 M
 ENTRIES_PER_BLOCK = 2_000_000
 DENSE_CELLS = 8_000_000        # use dense BLAS when (|I|+|J|)·keys fits this
 MERGE_CHUNK_PAIRS = 20_000_000  # bound on key-matched pairs per merge chunk
+HOT_ENTRIES = ENTRIES_PER_BLOCK // 8  # items with more non-zeros skip the blocked path
 
 
 def _block_product(a: pd.DataFrame, b: pd.DataFrame, na: int, nb: int) -> np.ndarray:
@@ -173,39 +174,34 @@ def _pair_task(k: int, metric: str, decimals: int, n_blocks: int):
     return run
 
 
-def block_count(vectors: DataFrame, items_per_block: int = ITEMS_PER_BLOCK,
-                entries_per_block: int = ENTRIES_PER_BLOCK, min_pairs: int | None = None) -> int:
-    """Number of item blocks from an approximate item count and the row count.
+def _profile(vectors: DataFrame) -> dict:
+    """Item count, non-zeros, largest item and smallest weight (one aggregate job)."""
+    per_item = vectors.groupBy("item_id").agg(F.count("*").alias("c"), F.min("weight").alias("wmin"))
+    row = per_item.agg(F.count("*").alias("n"), F.sum("c").alias("nnz"), F.max("c").alias("cmax"),
+                       F.min("wmin").alias("wmin")).first()
+    return {"n_items": int(row["n"] or 0), "nnz": int(row["nnz"] or 0),
+            "max_item_nnz": int(row["cmax"] or 0), "min_weight": float(row["wmin"] or 0.0)}
 
-    Enough blocks that no block exceeds the item or non-zero budget, and —
-    when the data allows — enough block pairs to give every core two tasks.
-    """
-    row = vectors.agg(F.approx_count_distinct("item_id").alias("n"), F.count("*").alias("nnz")).first()
-    n_items, nnz = int(row["n"] or 0), int(row["nnz"] or 0)
+
+def _blocks_for(n_items: int, nnz: int, parallelism: int, items_per_block: int = ITEMS_PER_BLOCK,
+                entries_per_block: int = ENTRIES_PER_BLOCK) -> int:
+    """Enough blocks that no block exceeds the item or non-zero budget, and —
+    when the data allows — enough block pairs to give every core two tasks."""
     nb = max(1, math.ceil(n_items / items_per_block), math.ceil(nnz / entries_per_block))
-    if min_pairs is None:
-        min_pairs = 2 * vectors.sparkSession.sparkContext.defaultParallelism
     max_nb = max(1, n_items // 256)  # keep blocks large enough to be worth a task
-    while nb * (nb + 1) // 2 < min_pairs and nb < max_nb:
+    while nb * (nb + 1) // 2 < 2 * parallelism and nb < max_nb:
         nb += 1
     return nb
 
 
-def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: int = 6,
-                    n_blocks: int | None = None, max_partitions: int = 20000) -> DataFrame:
-    """Exact k nearest items for every item in ``vectors(item_id, key, weight)``.
+def block_count(vectors: DataFrame) -> int:
+    prof = _profile(vectors)
+    return _blocks_for(prof["n_items"], prof["nnz"], vectors.sparkSession.sparkContext.defaultParallelism)
 
-    Returns ``(item_id, rank, neighbor_id, score)`` where ``score`` is the
-    rounded squared distance (``l2``) or similarity (``cosine``).
-    """
-    if metric not in ("l2", "cosine"):
-        raise ValueError(f"unknown metric {metric!r}")
-    if n_blocks is None:
-        # Sizing needs counts; checkpoint the vectors to the shared checkpoint
-        # folder first so the upstream pipeline runs once, lineage is cut and a
-        # lost executor re-reads files instead of recomputing the pipeline.
-        vectors = vectors.checkpoint(eager=True)
-    nb = n_blocks or block_count(vectors)
+
+def _blocked_candidates(vectors: DataFrame, k: int, metric: str, decimals: int, nb: int,
+                        max_partitions: int) -> DataFrame:
+    """Per block pair top-k candidates (item_id, neighbor_id, raw score)."""
     n_pairs = nb * (nb + 1) // 2
     blk = F.pmod(F.xxhash64("item_id"), F.lit(nb)).cast("int")
     rows = vectors.select(F.col("item_id").cast("long").alias("item_id"), "key",
@@ -220,10 +216,85 @@ def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: in
     # leaves no empty tasks next to tasks holding several pairs.  The explicit
     # count also keeps AQE from folding the CPU-heavy groups into few tasks.
     parts = max(1, min(n_pairs, max_partitions))
-    candidates = (replicated
-                  .repartitionByRange(parts, "pair_id")
-                  .groupBy("pair_id")
-                  .applyInPandas(_pair_task(k, metric, decimals, nb), OUT_SCHEMA))
+    return (replicated
+            .repartitionByRange(parts, "pair_id")
+            .groupBy("pair_id")
+            .applyInPandas(_pair_task(k, metric, decimals, nb), OUT_SCHEMA))
+
+
+def _hot_candidates(vectors: DataFrame, hot: DataFrame, k: int, metric: str, decimals: int,
+                    nonnegative: bool) -> DataFrame:
+    """Candidates for every pair involving a hot item, without holding it in one task.
+
+    Dot products come from a join on the key with the hot items' entries
+    (partitioned by key, so a hot item's vector is spread over all tasks) and a
+    partial/final aggregate per (hot item, item).  For ``l2``, pairs sharing no
+    key have distance |a|² + |b|²; with non-negative weights only the k+1
+    globally smallest norms can win such a slot (any other item is beaten by k
+    of them), so those few pairs are added explicitly instead of all pairs.
+    """
+    hv = (vectors.join(hot, "item_id", "left_semi")
+          .select(F.col("item_id").alias("h"), "key", F.col("weight").alias("wh")))
+    dots = (vectors.join(hv, "key").where(F.col("item_id") != F.col("h"))
+            .groupBy("h", "item_id").agg(F.sum(F.col("weight") * F.col("wh")).alias("dot")))
+    own = dots.select(F.col("h").alias("item_id"), F.col("item_id").alias("neighbor_id"), "dot")
+    as_neighbor = (dots.join(hot, "item_id", "left_anti")
+                   .select("item_id", F.col("h").alias("neighbor_id"), "dot"))
+    pairs = own.unionByName(as_neighbor)
+    if metric == "cosine":
+        return (pairs.where(F.round("dot", decimals) > 0)
+                .select("item_id", "neighbor_id", F.col("dot").alias("score")))
+    norms = vectors.groupBy("item_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n"))
+    if nonnegative:
+        small = norms.orderBy("n", "item_id").limit(k + 1).select("item_id")
+    else:  # the lemma needs dot >= 0; otherwise every item is a zero-dot candidate
+        small = norms.select("item_id")
+    small_ids = small.select(F.collect_list("item_id")).scalar()
+    hot_small_ids = small.join(hot, "item_id", "left_semi").select(F.collect_list("item_id")).scalar()
+    zero = (hot.select("item_id", F.explode(small_ids).alias("neighbor_id"))
+            .unionByName(norms.join(hot, "item_id", "left_anti")
+                         .select("item_id", F.explode(hot_small_ids).alias("neighbor_id")))
+            .where(F.col("item_id") != F.col("neighbor_id"))
+            .withColumn("dot", F.lit(0.0)))
+    summed = pairs.unionByName(zero).groupBy("item_id", "neighbor_id").agg(F.sum("dot").alias("dot"))
+    ni = norms.select("item_id", F.col("n").alias("ni"))
+    nj = norms.select(F.col("item_id").alias("neighbor_id"), F.col("n").alias("nj"))
+    return (summed.join(ni, "item_id").join(nj, "neighbor_id")
+            .select("item_id", "neighbor_id",
+                    (F.col("ni") + F.col("nj") - F.lit(2.0) * F.col("dot")).alias("score")))
+
+
+def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: int = 6,
+                    n_blocks: int | None = None, max_partitions: int = 20000,
+                    hot_entries: int | None = None) -> DataFrame:
+    """Exact k nearest items for every item in ``vectors(item_id, key, weight)``.
+
+    Returns ``(item_id, rank, neighbor_id, score)`` where ``score`` is the
+    rounded squared distance (``l2``) or similarity (``cosine``).  Items with
+    more than ``hot_entries`` non-zeros (default ``HOT_ENTRIES``) are taken out
+    of the blocked path and handled by ``_hot_candidates``.
+    """
+    if metric not in ("l2", "cosine"):
+        raise ValueError(f"unknown metric {metric!r}")
+    prof = None
+    if n_blocks is None or hot_entries is not None:
+        # Sizing needs counts; checkpoint the vectors to the shared checkpoint
+        # folder first so the upstream pipeline runs once, lineage is cut and a
+        # lost executor re-reads files instead of recomputing the pipeline.
+        vectors = vectors.checkpoint(eager=True)
+        prof = _profile(vectors)
+    hot_limit = HOT_ENTRIES if hot_entries is None else hot_entries
+    nb = n_blocks or _blocks_for(prof["n_items"], prof["nnz"],
+                                 vectors.sparkSession.sparkContext.defaultParallelism)
+    if prof is not None and prof["max_item_nnz"] > hot_limit:
+        hot = (vectors.groupBy("item_id").agg(F.count("*").alias("c"))
+               .where(F.col("c") > hot_limit).select("item_id").checkpoint(eager=True))
+        normal = vectors.join(hot, "item_id", "left_anti")
+        candidates = (_blocked_candidates(normal, k, metric, decimals, nb, max_partitions)
+                      .unionByName(_hot_candidates(vectors, hot, k, metric, decimals,
+                                                   prof["min_weight"] >= 0)))
+    else:
+        candidates = _blocked_candidates(vectors, k, metric, decimals, nb, max_partitions)
     score = F.round("score", decimals)
     order = [score.asc() if metric == "l2" else score.desc(), F.col("neighbor_id").asc()]
     w = Window.partitionBy("item_id").orderBy(*order)

@@ -85,3 +85,23 @@ def test_small_tiles_match_brute_force(spark, monkeypatch, metric):
     for r in got.orderBy("item_id", "rank").collect():
         res.setdefault(r.item_id, []).append(r.neighbor_id)
     assert res == {i: v for i, v in _brute(dense, 5, metric, decimals).items() if v}
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_hot_items_path_matches_brute_force(spark, metric):
+    # a few items rated by almost every key (hot), the rest sparse
+    rng = np.random.default_rng(5)
+    dense = (rng.random((40, 30)) < 0.1) * rng.integers(1, 6, (40, 30)).astype(float)
+    dense[3, :] = rng.integers(1, 6, 30)
+    dense[17, :25] = rng.integers(1, 6, 25)
+    dense[29, rng.random(30) < 0.8] = 2.0
+    if metric == "cosine":
+        norms = np.linalg.norm(dense, axis=1, keepdims=True)
+        norms[norms == 0] = 1
+        dense = dense / norms
+    decimals = 6 if metric == "l2" else 9
+    got = knn.top_k_neighbors(_vectors(spark, dense), 4, metric, decimals, n_blocks=3, hot_entries=15)
+    res = {}
+    for r in got.orderBy("item_id", "rank").collect():
+        res.setdefault(r.item_id, []).append(r.neighbor_id)
+    assert res == {i: v for i, v in _brute(dense, 4, metric, decimals).items() if v}
