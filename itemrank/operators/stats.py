@@ -60,8 +60,8 @@ def top_popular(ratings: DataFrame, movies: DataFrame, n: int = 10) -> DataFrame
     top = (pop.orderBy(F.col("popularity_score").desc(), F.col("movie_id").asc()).limit(n)
            .withColumn("rank", F.row_number().over(
                Window.orderBy(F.col("popularity_score").desc(), F.col("movie_id").asc()))))
-    return prep.enrich(top, movies).select("rank", "movie_id", "title", "genres", "year",
-                                           "popularity_score")
+    return prep.enrich_bounded(top, movies).select("rank", "movie_id", "title", "genres", "year",
+                                                   "popularity_score")
 
 
 def genre_filter(movies: DataFrame, genres: list[str]) -> DataFrame:
