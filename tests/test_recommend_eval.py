@@ -65,3 +65,20 @@ def test_ann_recall(tables):
     ann = similarity.ann_neighbors(tables.latest, 5)
     hit = ann.join(exact, ["movie_id", "neighbor_id"]).count()
     assert hit / exact.count() > 0.3
+
+
+def test_dense_index_is_a_global_permutation(spark):
+    df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("v"), F.col("id").alias("k"))
+    idx = evaluate.dense_index(df, [F.col("v"), F.col("k")], partitions=7)
+    got = sorted((r.v, r.idx) for r in idx.collect())
+    assert [i for _, i in got] == list(range(1000))  # position == rank of the order key
+
+
+def test_ntile_formula_matches_sql(spark):
+    df = spark.range(0, 23).withColumnRenamed("id", "user_id")
+    from pyspark.sql import Window
+
+    sql = df.withColumn("fold", F.ntile(5).over(Window.orderBy("user_id")))
+    ours = evaluate.dense_index(df, [F.col("user_id")], partitions=3).select(
+        "user_id", evaluate.ntile_from_index(F.col("idx"), 23, 5).alias("fold"))
+    assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, ours.collect()))
