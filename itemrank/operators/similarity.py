@@ -71,9 +71,16 @@ def hybrid(cf: DataFrame, content: DataFrame, rated: DataFrame, n: int = 5) -> D
 
 
 def similar_items(latest: DataFrame, movies: DataFrame, n: int = 5,
-                  cf: DataFrame | None = None, content: DataFrame | None = None) -> DataFrame:
-    """Hybrid similar items with item info: (movie_id, rank, neighbor_id, title, genres, year)."""
-    cf = cf if cf is not None else cf_neighbors(latest, n)
+                  cf: DataFrame | None = None, content: DataFrame | None = None,
+                  cf_method: str = "exact") -> DataFrame:
+    """Hybrid similar items with item info: (movie_id, rank, neighbor_id, title, genres, year).
+
+    ``cf_method="approximate"`` takes the collaborative list from
+    ``ann_neighbors`` (work linear in the catalogue) for catalogues where the
+    exact all-pairs search is out of reach.
+    """
+    if cf is None:
+        cf = ann_neighbors(latest, n) if cf_method == "approximate" else cf_neighbors(latest, n)
     content = content if content is not None else content_neighbors(movies, n)
     rated = latest.select("movie_id").distinct()
     h = hybrid(cf, content, rated, n)
@@ -103,8 +110,9 @@ def _dot(arr: Column, vec) -> Column:
     return F.aggregate(F.zip_with(arr, lit_vec, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def ann_neighbors(latest: DataFrame, k: int = 5, tables: int = 8, bits: int = 1,
-                  window: int = 512, dims: int = 64, seed: int = 42) -> DataFrame:
+def ann_neighbors(latest: DataFrame, k: int = 5, tables: int = 2, bits: int = 1,
+                  window: int = 512, dims: int = 64, seed: int = 42,
+                  low_norms: int = 256) -> DataFrame:
     """Approximate CF neighbours with sorted-window random-projection LSH.
 
     Per hash table t, every item gets a bucket from ``bits`` random hyperplanes
@@ -116,6 +124,12 @@ def ann_neighbors(latest: DataFrame, k: int = 5, tables: int = 8, bits: int = 1,
     O(tables · window), independent of the catalogue size; windows have a fixed
     size, so a crowded bucket is spread over consecutive windows instead of
     forming a hot group.  Distances of returned pairs are exact.
+
+    Second candidate source: the ``low_norms`` items of smallest norm join
+    every group.  d² = |a|² + |b|² − 2·a·b and sparse dots are small, so these
+    items are a large share of true neighbours (the same fact behind the exact
+    pruning rule: with non-negative weights, pairs sharing no key can only be
+    won by the globally smallest norms).  The list is bounded by ``low_norms``.
     (movie_id, rank, neighbor_id, distance).
     """
     from .evaluate import dense_index
@@ -142,10 +156,16 @@ def ann_neighbors(latest: DataFrame, k: int = 5, tables: int = 8, bits: int = 1,
     last_group = max(n_windows - 2, 0)
     local = F.col("idx") - F.col("t") * F.lit(n_items)
     win = F.floor(local / window).cast("int")
+    n_groups = tables * (last_group + 1)
     groups = (ordered.select("item_id", "t", F.explode(F.array(win - 1, win)).alias("g"))
-              .where((F.col("g") >= 0) & (F.col("g") <= last_group)).distinct()
+              .where((F.col("g") >= 0) & (F.col("g") <= last_group))
               .select("item_id", (F.col("t") * F.lit(last_group + 1) + F.col("g")).alias("gid")))
-    rows = groups.join(vec, "item_id")
-    nn = knn.top_k_within_groups(rows, k, "l2", CF_DECIMALS, tables * (last_group + 1))
+    if low_norms:
+        norms = vec.groupBy("item_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n"))
+        low = norms.orderBy("n", "item_id").limit(low_norms).select("item_id")
+        everywhere = low.select("item_id", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))).alias("gid"))
+        groups = groups.unionByName(everywhere)
+    rows = groups.distinct().join(vec, "item_id")
+    nn = knn.top_k_within_groups(rows, k, "l2", CF_DECIMALS, n_groups)
     return nn.select(F.col("item_id").alias("movie_id"), "rank", "neighbor_id",
                      F.col("score").alias("distance"))

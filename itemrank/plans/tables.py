@@ -49,5 +49,10 @@ class Tables:
 
     @cached_property
     def latest(self) -> DataFrame:
-        latest = prep.latest_ratings(self.ratings)
-        return latest.checkpoint(eager=True) if self.materialize else latest
+        if self.materialize:
+            # Build from the materialised ratings only if a consumer already
+            # needed them; otherwise one pass over the raw view is enough.
+            src = self.__dict__["ratings"] if "ratings" in self.__dict__ else fixtures.ratings(
+                self.spark, self.sf_dir)
+            return prep.latest_ratings(src).checkpoint(eager=True)
+        return prep.latest_ratings(self.ratings)

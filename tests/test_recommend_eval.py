@@ -64,7 +64,7 @@ def test_ann_recall(tables):
     exact = similarity.cf_neighbors(tables.latest, 5)
     ann = similarity.ann_neighbors(tables.latest, 5)
     hit = ann.join(exact, ["movie_id", "neighbor_id"]).count()
-    assert hit / exact.count() > 0.3
+    assert hit / exact.count() > 0.95
 
 
 def test_dense_index_is_a_global_permutation(spark):
