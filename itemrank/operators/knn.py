@@ -13,15 +13,18 @@ Plan (no item pairs are ever materialised as rows):
 2. Every row is replicated to the ``nb`` unordered block pairs its block takes
    part in and the rows are shuffled by block pair (replication ``nb``, not the
    sum over keys of count², which a self-join on the key would emit).
-3. Inside one task, NumPy forms the block product ``W_I · W_Jᵀ`` (dense BLAS
-   when the key space of the two blocks is small, otherwise a vectorised merge
-   on the key accumulated with ``bincount``), turns it into distances or
-   similarities, and keeps only the best ``k`` per row — so a task emits at most
-   ``k · (|I| + |J|)`` rows.  A key shared by every item in the block (a hot user
-   or a frequent term) costs ``|I|·|J|`` multiply-adds in that task and nothing
-   more.
+3. Inside one task, NumPy forms the block product ``W_I · W_Jᵀ`` tile by tile
+   (at most 2048 x 2048 items per dense tile; dense BLAS when the key space is
+   small, otherwise a chunked, vectorised merge on the key accumulated with
+   ``bincount``), turns it into distances or similarities, and keeps only the
+   best ``k`` per row — so a task emits at most ``k · (|I| + |J|)`` rows.  A key
+   shared by every item in the block (a hot user or a frequent term) costs
+   ``|I|·|J|`` multiply-adds in that task and nothing more.
 4. Spark keeps the global best ``k`` per item with ``row_number() <= k``, which
    the optimizer turns into a partial per-partition limit before the shuffle.
+5. Hot items (more non-zeros than a task should hold) never enter a block: their
+   dot products come from a join on the key, spread over all tasks, plus a
+   partial/final aggregate (``_hot_candidates``).
 
 Scores: ``l2`` is the squared Euclidean distance ``|a|² + |b|² − 2·a·b``
 (ascending, every pair of items is a candidate, so it is exact even for items
