@@ -54,12 +54,13 @@ def hybrid(cf: DataFrame, content: DataFrame, rated: DataFrame, n: int = 5) -> D
     neighbor_id).  Only rated movies (those with a collaborative vector) get a
     list; the union + min is a grouped aggregate, the cut a window top-n.
     """
+    # CF lists exist only for rated movies already; content lists are restricted.
+    content_rated = content.join(rated.select("movie_id"), "movie_id", "left_semi")
     both = (cf.select("movie_id", "neighbor_id", F.col("rank").alias("cf_rank"),
                       F.lit(None).cast("int").alias("content_rank"))
-            .unionByName(content.select("movie_id", "neighbor_id",
-                                        F.lit(None).cast("int").alias("cf_rank"),
-                                        F.col("rank").alias("content_rank")))
-            .join(rated.select("movie_id"), "movie_id", "left_semi"))
+            .unionByName(content_rated.select("movie_id", "neighbor_id",
+                                              F.lit(None).cast("int").alias("cf_rank"),
+                                              F.col("rank").alias("content_rank"))))
     merged = both.groupBy("movie_id", "neighbor_id").agg(
         F.min("cf_rank").alias("cf_rank"), F.min("content_rank").alias("content_rank"))
     best = F.least("cf_rank", "content_rank")
@@ -70,20 +71,25 @@ def hybrid(cf: DataFrame, content: DataFrame, rated: DataFrame, n: int = 5) -> D
                     F.when(src == 0, F.lit("cf")).otherwise(F.lit("content")).alias("source")))
 
 
-def similar_items(latest: DataFrame, movies: DataFrame, n: int = 5,
-                  cf: DataFrame | None = None, content: DataFrame | None = None,
-                  cf_method: str = "exact") -> DataFrame:
-    """Hybrid similar items with item info: (movie_id, rank, neighbor_id, title, genres, year).
+def hybrid_neighbors(latest: DataFrame, movies: DataFrame, n: int = 5,
+                     cf_method: str = "exact") -> DataFrame:
+    """R3 without item info: (movie_id, rank, neighbor_id, best_rank, source).
 
+    What the recommendation operators consume — no catalogue join.
     ``cf_method="approximate"`` takes the collaborative list from
     ``ann_neighbors`` (work linear in the catalogue) for catalogues where the
     exact all-pairs search is out of reach.
     """
-    if cf is None:
-        cf = ann_neighbors(latest, n) if cf_method == "approximate" else cf_neighbors(latest, n)
-    content = content if content is not None else content_neighbors(movies, n)
+    cf = ann_neighbors(latest, n) if cf_method == "approximate" else cf_neighbors(latest, n)
+    content = content_neighbors(movies, n)
     rated = latest.select("movie_id").distinct()
-    h = hybrid(cf, content, rated, n)
+    return hybrid(cf, content, rated, n)
+
+
+def similar_items(latest: DataFrame, movies: DataFrame, n: int = 5,
+                  cf_method: str = "exact") -> DataFrame:
+    """Hybrid similar items with item info: (movie_id, rank, neighbor_id, title, genres, year)."""
+    h = hybrid_neighbors(latest, movies, n, cf_method)
     return prep.enrich(h, movies, "neighbor_id").select(
         "movie_id", "rank", "neighbor_id", "title", "genres", "year")
 

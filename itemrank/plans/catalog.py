@@ -220,7 +220,8 @@ def ann_neighbors(spark, sf_dir):
 # --- recommendations -------------------------------------------------------------
 
 def _similar(t: Tables) -> DataFrame:
-    return similarity.similar_items(t.latest, t.movies, P.NEIGHBORS)
+    """Hybrid neighbour lists as the recommenders consume them (no item info)."""
+    return similarity.hybrid_neighbors(t.latest, t.movies, P.NEIGHBORS)
 
 
 @register("user_top_rated")
