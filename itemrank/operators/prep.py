@@ -74,15 +74,18 @@ def genre_multi_hot(movies: DataFrame) -> DataFrame:
 def latest_ratings(ratings: DataFrame) -> DataFrame:
     """Per (movie, user) the rating with the greatest timestamp.
 
-    A grouped ``max(struct(timestamp, rating))`` instead of a window: it is a
-    hash aggregate with map-side partial aggregation, so duplicates collapse
-    before the shuffle and no per-group sort is needed.  Ties on timestamp go
-    to the larger rating.
+    Two hash aggregates instead of a window or a struct max (which Spark can
+    only run as a sort-based aggregate): first the highest rating per
+    (movie, user, timestamp), then ``max_by(rating, timestamp)`` per
+    (movie, user) — exact, because timestamps are unique within the group
+    after the first step.  Both steps combine map-side before their shuffle,
+    so duplicated or hot (movie, user) keys collapse early.  Ties on timestamp
+    go to the larger rating.
     """
-    best = F.max(F.struct("timestamp", "rating")).alias("best")
-    return (ratings.groupBy("movie_id", "user_id").agg(best)
-            .select("movie_id", "user_id", F.col("best.rating").alias("rating"),
-                    F.col("best.timestamp").alias("timestamp")))
+    per_ts = ratings.groupBy("movie_id", "user_id", "timestamp").agg(F.max("rating").alias("rating"))
+    return (per_ts.groupBy("movie_id", "user_id")
+            .agg(F.max_by("rating", "timestamp").alias("rating"), F.max("timestamp").alias("timestamp"))
+            .select("movie_id", "user_id", "rating", "timestamp"))
 
 
 def user_scale(latest: DataFrame) -> DataFrame:
