@@ -105,3 +105,18 @@ def test_hot_items_path_matches_brute_force(spark, metric):
     for r in got.orderBy("item_id", "rank").collect():
         res.setdefault(r.item_id, []).append(r.neighbor_id)
     assert res == {i: v for i, v in _brute(dense, 4, metric, decimals).items() if v}
+
+
+def test_hot_path_on_fixture_equals_blocked_path(tables):
+    from pyspark.sql import functions as F
+
+    from itemrank.operators import similarity
+
+    vec = similarity.cf_vectors(tables.latest).checkpoint(eager=True)
+    per_item = vec.groupBy("item_id").count()
+    threshold = int(per_item.agg(F.percentile_approx("count", 0.8)).first()[0])
+    assert per_item.where(F.col("count") > threshold).count() > 0  # some items take the hot path
+    plain = knn.top_k_neighbors(vec, 5, "l2", 6, n_blocks=2)
+    hot = knn.top_k_neighbors(vec, 5, "l2", 6, n_blocks=2, hot_entries=threshold)
+    cols = ["item_id", "rank", "neighbor_id", "score"]
+    assert sorted(map(tuple, plain.select(cols).collect())) == sorted(map(tuple, hot.select(cols).collect()))
