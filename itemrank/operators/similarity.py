@@ -175,3 +175,26 @@ def ann_neighbors(latest: DataFrame, k: int = 5, tables: int = 2, bits: int = 1,
     nn = knn.top_k_within_groups(rows, k, "l2", CF_DECIMALS, n_groups)
     return nn.select(F.col("item_id").alias("movie_id"), "rank", "neighbor_id",
                      F.col("score").alias("distance"))
+
+
+def dense_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """Dense array column -> long sparse form (item_id, key=position, weight).
+
+    ``posexplode`` is row-local (no shuffle); exact zeros are dropped.
+    """
+    return (df.select(F.col(id_col).cast("long").alias("item_id"),
+                      F.posexplode(vec_col).alias("key", "weight"))
+            .where(F.col("weight") != 0)
+            .select("item_id", F.col("key").cast("long").alias("key"),
+                    F.col("weight").cast("double").alias("weight")))
+
+
+def vector_neighbors(df: DataFrame, id_col: str, vec_col: str, k: int = 5) -> DataFrame:
+    """Exact L2 (squared) k nearest vectors of a table of dense embeddings.
+
+    The flat-index search of the reference applied to a vector table: the
+    blocked kNN operator on the long form.  (id_col, rank, neighbor_id, distance).
+    """
+    nn = knn.top_k_neighbors(dense_vectors(df, id_col, vec_col), k, "l2", CF_DECIMALS)
+    return nn.select(F.col("item_id").alias(id_col), "rank", "neighbor_id",
+                     F.col("score").alias("distance"))

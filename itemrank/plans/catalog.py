@@ -217,6 +217,15 @@ def ann_neighbors(spark, sf_dir):
     return similarity.ann_neighbors(Tables(spark, sf_dir).latest, P.NEIGHBORS)
 
 
+
+@register("embedding_neighbors")
+def embedding_neighbors(spark, sf_dir):
+    """R1 on a second input: exact L2 neighbours over the `embeddings` table."""
+    from ..sources import fixtures
+
+    emb = fixtures.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return similarity.vector_neighbors(emb, "vec_id", "embedding", P.NEIGHBORS)
+
 # --- recommendations -------------------------------------------------------------
 
 def _similar(t: Tables) -> DataFrame:

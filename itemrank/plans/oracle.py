@@ -423,5 +423,16 @@ SQL["stream_progress"] = "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS num_
 SQL["stream_model_refresh"] = q(CHECK_CTES + cf_ctes("merged_latest", "m") + "\nSELECT movie_id, rank, neighbor_id, distance FROM mcf")
 
 
+SQL["embedding_neighbors"] = q(f"""
+, ev AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(len(embedding))) AS j
+         FROM embeddings)
+, ed AS (SELECT a.vec_id, b.vec_id AS neighbor_id, round(sum((a.v - b.v) * (a.v - b.v)), 6) AS distance
+         FROM ev a JOIN ev b ON a.j = b.j AND a.vec_id <> b.vec_id GROUP BY a.vec_id, b.vec_id)
+SELECT * FROM (
+  SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank,
+         neighbor_id, distance FROM ed)
+WHERE rank <= {P.NEIGHBORS}""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
