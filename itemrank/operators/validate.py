@@ -11,6 +11,19 @@ RATING_MAX = 5.0
 REQUIRED = ("user_id", "movie_id", "rating", "timestamp")
 
 
+def stamp_ratings(df: DataFrame) -> DataFrame:
+    """P10: a directly submitted rating gets rating -> DOUBLE and timestamp = now.
+
+    Submissions without a timestamp column (or with NULL) are stamped with the
+    current epoch second (``unix_timestamp()``, one value per query); event
+    streams that carry their own time keep it.
+    """
+    now = F.unix_timestamp()
+    ts = F.coalesce(F.col("timestamp").try_cast("bigint"), now) if "timestamp" in df.columns else now
+    rest = [c for c in df.columns if c not in ("rating", "timestamp")]
+    return df.select(*rest, F.col("rating").try_cast("double").alias("rating"), ts.alias("timestamp"))
+
+
 def _typed(df: DataFrame) -> DataFrame:
     """Cast untrusted fields with try_cast; keep the raw value to tell
     'missing' from 'wrong type'."""

@@ -65,3 +65,12 @@ def test_bit_parallel_lcs_equals_dp(tables):
                               text.lcs_length_const(a, q).alias("bits"))
     assert df.where(F.col("dp") != F.col("bits")).count() == 0
     assert text.sort_tokens_py("Widget, RED 1978!") == "1978 red widget"
+
+
+def test_stamp_new_ratings(spark):
+    import time
+
+    sub = spark.createDataFrame([(7, 3, "4")], "user_id long, movie_id long, rating string")
+    row = validate.stamp_ratings(sub).first()
+    assert row.rating == 4.0 and abs(row.timestamp - time.time()) < 600
+    assert validate.valid_ratings(validate.stamp_ratings(sub)).count() == 1
