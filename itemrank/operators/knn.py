@@ -267,37 +267,83 @@ def _hot_candidates(vectors: DataFrame, hot: DataFrame, k: int, metric: str, dec
                     (F.col("ni") + F.col("nj") - F.lit(2.0) * F.col("dot")).alias("score")))
 
 
+def _query_task(k: int, metric: str, decimals: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        q = pdf[pdf["side"] == 0]
+        c = pdf[pdf["side"] == 1]
+        res = _topk_rows(q, c, k, metric, decimals)
+        return res.astype({"item_id": "int64", "neighbor_id": "int64", "score": "float64"})
+    return run
+
+
+def _query_candidates(vectors: DataFrame, queries: DataFrame, k: int, metric: str, decimals: int,
+                      nb: int, nqb: int, max_partitions: int) -> DataFrame:
+    """Top-k candidates for the query items only: query blocks x candidate blocks.
+
+    Query rows are replicated to every candidate block and candidate rows to
+    every query block, so the work is |Q|·M instead of M² and a request for a
+    handful of items touches each candidate non-zero once.
+    """
+    q = (vectors.join(queries, "item_id", "left_semi")
+         .select("item_id", "key", "weight", F.lit(0).alias("side"),
+                 F.pmod(F.xxhash64("item_id"), F.lit(nqb)).alias("qb"),
+                 F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("cb")))
+    c = (vectors.select("item_id", "key", "weight", F.lit(1).alias("side"),
+                        F.explode(F.sequence(F.lit(0), F.lit(nqb - 1))).alias("qb"),
+                        F.pmod(F.xxhash64("item_id"), F.lit(nb)).alias("cb")))
+    rows = q.unionByName(c).withColumn("gid", F.col("qb") * nb + F.col("cb"))
+    parts = max(1, min(nqb * nb, max_partitions))
+    return (rows.select("gid", "item_id", "key", "weight", "side")
+            .repartitionByRange(parts, "gid").groupBy("gid")
+            .applyInPandas(_query_task(k, metric, decimals), OUT_SCHEMA))
+
+
 def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: int = 6,
                     n_blocks: int | None = None, max_partitions: int = 20000,
-                    hot_entries: int | None = None) -> DataFrame:
+                    hot_entries: int | None = None, queries: DataFrame | None = None) -> DataFrame:
     """Exact k nearest items for every item in ``vectors(item_id, key, weight)``.
 
     Returns ``(item_id, rank, neighbor_id, score)`` where ``score`` is the
     rounded squared distance (``l2``) or similarity (``cosine``).  Items with
     more than ``hot_entries`` non-zeros (default ``HOT_ENTRIES``) are taken out
-    of the blocked path and handled by ``_hot_candidates``.
+    of the blocked path and handled by ``_hot_candidates``.  With ``queries``
+    (a DataFrame of ``item_id``), only those items get neighbour lists — every
+    item is still a candidate — at a cost proportional to the query count.
     """
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
     prof = None
-    if n_blocks is None or hot_entries is not None:
+    if n_blocks is None or hot_entries is not None or queries is not None:
         # Sizing needs counts; checkpoint the vectors to the shared checkpoint
         # folder first so the upstream pipeline runs once, lineage is cut and a
         # lost executor re-reads files instead of recomputing the pipeline.
         vectors = vectors.checkpoint(eager=True)
         prof = _profile(vectors)
     hot_limit = HOT_ENTRIES if hot_entries is None else hot_entries
-    nb = n_blocks or _blocks_for(prof["n_items"], prof["nnz"],
-                                 vectors.sparkSession.sparkContext.defaultParallelism)
+    parallelism = vectors.sparkSession.sparkContext.defaultParallelism
+    nb = n_blocks or _blocks_for(prof["n_items"], prof["nnz"], parallelism)
+    hot = None
     if prof is not None and prof["max_item_nnz"] > hot_limit:
         hot = (vectors.groupBy("item_id").agg(F.count("*").alias("c"))
                .where(F.col("c") > hot_limit).select("item_id").checkpoint(eager=True))
-        normal = vectors.join(hot, "item_id", "left_anti")
-        candidates = (_blocked_candidates(normal, k, metric, decimals, nb, max_partitions)
-                      .unionByName(_hot_candidates(vectors, hot, k, metric, decimals,
-                                                   prof["min_weight"] >= 0)))
+    normal = vectors if hot is None else vectors.join(hot, "item_id", "left_anti")
+    if queries is None:
+        candidates = _blocked_candidates(normal, k, metric, decimals, nb, max_partitions)
     else:
-        candidates = _blocked_candidates(vectors, k, metric, decimals, nb, max_partitions)
+        queries = queries.select(F.col("item_id").cast("long").alias("item_id")).distinct()
+        queries = queries.checkpoint(eager=True)
+        n_q = queries.count()
+        q_nnz = prof["nnz"] if n_q >= prof["n_items"] else (
+            vectors.join(queries, "item_id", "left_semi").count())
+        nqb = max(1, math.ceil(n_q / ITEMS_PER_BLOCK), math.ceil(q_nnz / ENTRIES_PER_BLOCK))
+        nb_c = n_blocks or _blocks_for(prof["n_items"], prof["nnz"], max(1, parallelism // nqb))
+        candidates = _query_candidates(normal, queries, k, metric, decimals, nb_c, nqb,
+                                       max_partitions)
+    if hot is not None:
+        hot_c = _hot_candidates(vectors, hot, k, metric, decimals, prof["min_weight"] >= 0)
+        if queries is not None:
+            hot_c = hot_c.join(queries, "item_id", "left_semi")
+        candidates = candidates.unionByName(hot_c)
     score = F.round("score", decimals)
     order = [score.asc() if metric == "l2" else score.desc(), F.col("neighbor_id").asc()]
     w = Window.partitionBy("item_id").orderBy(*order)

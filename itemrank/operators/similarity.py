@@ -12,6 +12,10 @@ CF_DECIMALS = 6       # squared distances are ranked after rounding to 1e-6
 CONTENT_DECIMALS = 9  # similarities are ranked after rounding to 1e-9
 
 
+def _as_items(query_items: DataFrame | None) -> DataFrame | None:
+    return None if query_items is None else query_items.select(F.col("movie_id").alias("item_id"))
+
+
 def cf_vectors(latest: DataFrame) -> DataFrame:
     """Sparse collaborative item vectors: (item_id=movie, key=user, weight=r/sd_u)."""
     n = prep.normalized_ratings(latest)
@@ -19,13 +23,15 @@ def cf_vectors(latest: DataFrame) -> DataFrame:
                     F.col("w").alias("weight"))
 
 
-def cf_neighbors(latest: DataFrame, k: int = 5, n_blocks: int | None = None) -> DataFrame:
+def cf_neighbors(latest: DataFrame, k: int = 5, n_blocks: int | None = None,
+                 query_items: DataFrame | None = None) -> DataFrame:
     """K nearest rated movies by squared L2 over per-user z-scored columns.
 
     (movie_id, rank, neighbor_id, distance).  Exact: every rated movie is a
     candidate, including movies that share no rater (distance = |a|² + |b|²).
     """
-    nn = knn.top_k_neighbors(cf_vectors(latest), k, "l2", CF_DECIMALS, n_blocks)
+    nn = knn.top_k_neighbors(cf_vectors(latest), k, "l2", CF_DECIMALS, n_blocks,
+                             queries=_as_items(query_items))
     return nn.select(F.col("item_id").alias("movie_id"), "rank", "neighbor_id",
                      F.col("score").alias("distance"))
 
@@ -36,13 +42,13 @@ def content_vectors(movies: DataFrame, stop_words: bool = True) -> DataFrame:
 
 
 def content_neighbors(movies: DataFrame, k: int = 5, stop_words: bool = True,
-                      n_blocks: int | None = None) -> DataFrame:
+                      n_blocks: int | None = None, query_items: DataFrame | None = None) -> DataFrame:
     """R2: k most TF-IDF-similar movies (cosine > 0), self excluded.
 
     (movie_id, rank, neighbor_id, similarity).
     """
     nn = knn.top_k_neighbors(content_vectors(movies, stop_words), k, "cosine",
-                             CONTENT_DECIMALS, n_blocks)
+                             CONTENT_DECIMALS, n_blocks, queries=_as_items(query_items))
     return nn.select(F.col("item_id").alias("movie_id"), "rank", "neighbor_id",
                      F.col("score").alias("similarity"))
 
@@ -72,24 +78,31 @@ def hybrid(cf: DataFrame, content: DataFrame, rated: DataFrame, n: int = 5) -> D
 
 
 def hybrid_neighbors(latest: DataFrame, movies: DataFrame, n: int = 5,
-                     cf_method: str = "exact") -> DataFrame:
+                     cf_method: str = "exact", query_items: DataFrame | None = None) -> DataFrame:
     """R3 without item info: (movie_id, rank, neighbor_id, best_rank, source).
 
     What the recommendation operators consume — no catalogue join.
     ``cf_method="approximate"`` takes the collaborative list from
     ``ann_neighbors`` (work linear in the catalogue) for catalogues where the
-    exact all-pairs search is out of reach.
+    exact all-pairs search is out of reach.  ``query_items`` (DataFrame with
+    ``movie_id``) restricts the lists to those movies (the reference's
+    per-movie call) at a cost proportional to their number.
     """
-    cf = ann_neighbors(latest, n) if cf_method == "approximate" else cf_neighbors(latest, n)
-    content = content_neighbors(movies, n)
+    if cf_method == "approximate":
+        cf = ann_neighbors(latest, n)
+        if query_items is not None:
+            cf = cf.join(query_items.select("movie_id"), "movie_id", "left_semi")
+    else:
+        cf = cf_neighbors(latest, n, query_items=query_items)
+    content = content_neighbors(movies, n, query_items=query_items)
     rated = latest.select("movie_id").distinct()
     return hybrid(cf, content, rated, n)
 
 
 def similar_items(latest: DataFrame, movies: DataFrame, n: int = 5,
-                  cf_method: str = "exact") -> DataFrame:
+                  cf_method: str = "exact", query_items: DataFrame | None = None) -> DataFrame:
     """Hybrid similar items with item info: (movie_id, rank, neighbor_id, title, genres, year)."""
-    h = hybrid_neighbors(latest, movies, n, cf_method)
+    h = hybrid_neighbors(latest, movies, n, cf_method, query_items)
     return prep.enrich(h, movies, "neighbor_id").select(
         "movie_id", "rank", "neighbor_id", "title", "genres", "year")
 

@@ -268,8 +268,8 @@ def cached_recommendations(spark, sf_dir):
     path = scratch_path(spark, "rec-cache")
     cache.write.mode("overwrite").parquet(path)
     table = spark.read.parquet(path)
-    return recommend.cached_recommendations(table, t.latest, sim, P.CACHE_NOW,
-                                            P.CACHE_TTL_SECONDS, P.REC_N)
+    return recommend.cached_recommendations(table, t.latest, None, P.CACHE_NOW,
+                                            P.CACHE_TTL_SECONDS, P.REC_N, movies=t.movies)
 
 
 # --- evaluation --------------------------------------------------------------------

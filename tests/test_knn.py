@@ -120,3 +120,23 @@ def test_hot_path_on_fixture_equals_blocked_path(tables):
     hot = knn.top_k_neighbors(vec, 5, "l2", 6, n_blocks=2, hot_entries=threshold)
     cols = ["item_id", "rank", "neighbor_id", "score"]
     assert sorted(map(tuple, plain.select(cols).collect())) == sorted(map(tuple, hot.select(cols).collect()))
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_query_items_match_full_result(spark, metric):
+    rng = np.random.default_rng(21)
+    dense = (rng.random((50, 25)) < 0.12) * rng.integers(1, 6, (50, 25)).astype(float)
+    dense[8, :] = 1.0  # one hot item so both paths are exercised
+    if metric == "cosine":
+        norms = np.linalg.norm(dense, axis=1, keepdims=True)
+        norms[norms == 0] = 1
+        dense = dense / norms
+    decimals = 6 if metric == "l2" else 9
+    vec = _vectors(spark, dense)
+    queries = spark.createDataFrame([(i,) for i in (0, 3, 8, 17, 44)], "item_id long")
+    got = knn.top_k_neighbors(vec, 4, metric, decimals, hot_entries=20, queries=queries)
+    res = {}
+    for r in got.orderBy("item_id", "rank").collect():
+        res.setdefault(r.item_id, []).append(r.neighbor_id)
+    brute = _brute(dense, 4, metric, decimals)
+    assert res == {i: brute[i] for i in (0, 3, 8, 17, 44) if brute.get(i)}

@@ -82,3 +82,15 @@ def test_ntile_formula_matches_sql(spark):
     ours = evaluate.dense_index(df, [F.col("user_id")], partitions=3).select(
         "user_id", evaluate.ntile_from_index(F.col("idx"), 23, 5).alias("fold"))
     assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, ours.collect()))
+
+
+def test_per_user_path_equals_batch_rows(spark, tables):
+    users = tables.latest.select("user_id").distinct().orderBy("user_id").limit(3)
+    ids = [r.user_id for r in users.collect()]
+    one = recommend.recommend_for_users(tables.latest, tables.movies, users, 5)
+    sim = similarity.hybrid_neighbors(tables.latest, tables.movies, 5)
+    full = recommend.user_recommendations(tables.latest, sim, 5).where(F.col("user_id").isin(ids))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, full.collect()))
+    one_item = similarity.similar_items(tables.latest, tables.movies, 5,
+                                        query_items=spark.createDataFrame([(ids[0] % 7 + 1,)], "movie_id long"))
+    assert one_item.select("movie_id").distinct().count() <= 1
