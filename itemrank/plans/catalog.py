@@ -366,7 +366,7 @@ def stream_merge_latest(spark, sf_dir):
 def stream_refresh_popularity(spark, sf_dir):
     t = Tables(spark, sf_dir)
     path = ingest.run_popularity_state(spark, sf_dir, t.movies)
-    pop = ingest.refreshed_popularity(t.ratings, spark.read.parquet(path))
+    pop = ingest.refreshed_popularity(t.ratings, ingest.stream_stats(spark.read.parquet(path)))
     return pop.select("movie_id", "rating_count", _r("rating_mean"), "last_rated",
                       _r("popularity_score"))
 

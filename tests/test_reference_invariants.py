@@ -74,3 +74,20 @@ def test_trigger_processes_files_in_micro_batches(spark, tables):
     assert len(batches) == 2
     got = spark.read.parquet(f"{sink}/valid").count()
     assert got == validate.valid_new_ratings(tables.rating_events, tables.movies).count()
+
+
+def test_update_mode_stats_across_micro_batches(spark, tables):
+    src = scratch_path(spark, "events-src2")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ev.where("event_id % 2 = 0").coalesce(1).write.parquet(f"{src}/part=a")
+    ev.where("event_id % 2 = 1").coalesce(1).write.parquet(f"{src}/part=b")
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "1")
+              .option("recursiveFileLookup", "true").parquet(src))
+    path = ingest.run_popularity_state(spark, SF_SMALL, tables.movies, raw_events=stream)
+    changes = spark.read.parquet(path)
+    assert changes.select("batch_id").distinct().count() == 2
+    got = {r.movie_id: (r.n, round(r.s, 9), r.last) for r in ingest.stream_stats(changes).collect()}
+    valid = validate.valid_new_ratings(tables.rating_events, tables.movies)
+    want = {r.movie_id: (r.n, round(r.s, 9), r.last) for r in valid.groupBy("movie_id").agg(
+        F.count("rating").alias("n"), F.sum("rating").alias("s"), F.max("timestamp").alias("last")).collect()}
+    assert got == want
