@@ -32,7 +32,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", driver_memory)
-               .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024)))
+               .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+               # checkpoint files of DataFrames that are garbage-collected are removed
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
