@@ -11,8 +11,9 @@ Plan (no item pairs are ever materialised as rows):
    non-zeros per block are both bounded), so one task never holds more than two
    blocks, however skewed the keys are.
 2. Every row is replicated to the ``nb`` unordered block pairs its block takes
-   part in and the rows are shuffled by block pair (replication ``nb``, not the
-   sum over keys of count², which a self-join on the key would emit).
+   part in and shuffled straight to the partition of its block pair
+   (``repartitionById``; replication ``nb``, not the sum over keys of count²,
+   which a self-join on the key would emit).
 3. Inside one task, NumPy forms the block product ``W_I · W_Jᵀ`` tile by tile
    (at most 2048 x 2048 items per dense tile; dense BLAS when the key space is
    small, otherwise a chunked, vectorised merge on the key accumulated with
@@ -161,7 +162,7 @@ def _topk_rows(a: pd.DataFrame, b: pd.DataFrame, k: int, metric: str, decimals:
 
 def _pair_task(k: int, metric: str, decimals: int, n_blocks: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pair = int(pdf["pair_id"].iloc[0])
+        pair = int(pdf["gid"].iloc[0])
         lo, hi = divmod(pair, n_blocks)
         a = pdf[pdf["blk"] == lo]
         out = []
@@ -177,6 +178,32 @@ def _pair_task(k: int, metric: str, decimals: int, n_blocks: int):
     return run
 
 
+def _run_per_group(rows: DataFrame, n_groups: int, task, max_partitions: int) -> DataFrame:
+    """Run ``task(pdf)`` once per ``gid`` group, one group per task where possible.
+
+    ``repartitionById`` sends group g to partition g mod n directly (no range
+    sampling job, no hash collisions: with n = number of groups every task gets
+    exactly one group); ``mapInPandas`` then consumes the partition, grouping
+    in pandas only when a partition holds several groups.  One exchange, no
+    sort.  An explicit partition count also keeps AQE from folding the
+    CPU-heavy groups into a few tasks.
+    """
+    parts = max(1, min(n_groups, max_partitions))
+
+    def per_partition(batches):
+        frames = [b for b in batches if len(b)]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True)
+        for _, g in pdf.groupby("gid", sort=False):
+            out = task(g)
+            if len(out):
+                yield out.astype({"item_id": "int64", "neighbor_id": "int64", "score": "float64"})
+
+    target = F.pmod(F.col("gid"), F.lit(parts)).cast("int")
+    return rows.repartitionById(parts, target).mapInPandas(per_partition, OUT_SCHEMA)
+
+
 def _profile(vectors: DataFrame) -> dict:
     """Item count, non-zeros, largest item and smallest weight (one aggregate job)."""
     per_item = vectors.groupBy("item_id").agg(F.count("*").alias("c"), F.min("weight").alias("wmin"))
@@ -213,16 +240,8 @@ def _blocked_candidates(vectors: DataFrame, k: int, metric: str, decimals: int,
     # Unordered block pair (lo, hi) as one dense id lo*nb + hi.
     pair_id = F.least("blk", "partner") * nb + F.greatest("blk", "partner")
     replicated = (rows.select("*", partner)
-                  .select(pair_id.alias("pair_id"), "item_id", "key", "weight", "blk"))
-    # One block pair per task where possible: range partitioning on the dense
-    # pair id never splits a pair and, unlike hashing n keys into n buckets,
-    # leaves no empty tasks next to tasks holding several pairs.  The explicit
-    # count also keeps AQE from folding the CPU-heavy groups into few tasks.
-    parts = max(1, min(n_pairs, max_partitions))
-    return (replicated
-            .repartitionByRange(parts, "pair_id")
-            .groupBy("pair_id")
-            .applyInPandas(_pair_task(k, metric, decimals, nb), OUT_SCHEMA))
+                  .select(pair_id.alias("gid"), "item_id", "key", "weight", "blk"))
+    return _run_per_group(replicated, n_pairs, _pair_task(k, metric, decimals, nb), max_partitions)
 
 
 def _hot_candidates(vectors: DataFrame, hot: DataFrame, k: int, metric: str, decimals: int,
@@ -292,10 +311,8 @@ def _query_candidates(vectors: DataFrame, queries: DataFrame, k: int, metric: st
                         F.explode(F.sequence(F.lit(0), F.lit(nqb - 1))).alias("qb"),
                         F.pmod(F.xxhash64("item_id"), F.lit(nb)).alias("cb")))
     rows = q.unionByName(c).withColumn("gid", F.col("qb") * nb + F.col("cb"))
-    parts = max(1, min(nqb * nb, max_partitions))
-    return (rows.select("gid", "item_id", "key", "weight", "side")
-            .repartitionByRange(parts, "gid").groupBy("gid")
-            .applyInPandas(_query_task(k, metric, decimals), OUT_SCHEMA))
+    return _run_per_group(rows.select("gid", "item_id", "key", "weight", "side"), nqb * nb,
+                          _query_task(k, metric, decimals), max_partitions)
 
 
 def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: int = 6,
@@ -368,10 +385,8 @@ def top_k_within_groups(rows: DataFrame, k: int, metric: str = "l2", decimals: i
     task running the same block kernel; an item's best k over all its groups
     is kept after de-duplicating neighbours found in several groups.
     """
-    parts = max(1, min(n_groups or 1, 20000))
-    cands = (rows.select("gid", "item_id", "key", "weight")
-             .repartitionByRange(parts, "gid").groupBy("gid")
-             .applyInPandas(_group_task(k, metric, decimals), OUT_SCHEMA))
+    cands = _run_per_group(rows.select("gid", "item_id", "key", "weight"), n_groups or 1,
+                           _group_task(k, metric, decimals), 20000)
     best = cands.groupBy("item_id", "neighbor_id").agg(F.min("score").alias("score"))
     score = F.round("score", decimals)
     order = [score.asc() if metric == "l2" else score.desc(), F.col("neighbor_id").asc()]
