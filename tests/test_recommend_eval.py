@@ -94,3 +94,20 @@ def test_per_user_path_equals_batch_rows(spark, tables):
     one_item = similarity.similar_items(tables.latest, tables.movies, 5,
                                         query_items=spark.createDataFrame([(ids[0] % 7 + 1,)], "movie_id long"))
     assert one_item.select("movie_id").distinct().count() <= 1
+
+
+def test_ntile_with_fewer_rows_than_buckets(spark):
+    from pyspark.sql import Window
+
+    df = spark.range(0, 3).withColumnRenamed("id", "user_id")
+    sql = df.withColumn("fold", F.ntile(5).over(Window.orderBy("user_id")))
+    ours = evaluate.dense_index(df, [F.col("user_id")], partitions=2).select(
+        "user_id", evaluate.ntile_from_index(F.col("idx"), 3, 5).alias("fold"))
+    assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, ours.collect()))
+
+
+def test_knn_on_empty_input(spark):
+    from itemrank.operators import knn
+
+    empty = spark.createDataFrame([], "item_id long, key long, weight double")
+    assert knn.top_k_neighbors(empty, 5, "l2").count() == 0
