@@ -107,20 +107,35 @@ def _best_k(r: np.ndarray, c: np.ndarray, v: np.ndarray, k: int) -> np.ndarray:
     return order[rank < k]
 
 
-def _topk_rows(a: pd.DataFrame, b: pd.DataFrame, k: int, metric: str, decimals: int) -> pd.DataFrame:
+def _select(val: np.ndarray, raw: np.ndarray, k: int):
+    """Per row of one tile: the k best columns (ties by column = id order)."""
+    n_cols = val.shape[1]
+    kk = min(k, n_cols)
+    kth = np.partition(val, kk - 1, axis=1)[:, kk - 1] if n_cols > kk else val.max(axis=1)
+    r, c = np.nonzero((val <= kth[:, None]) & np.isfinite(val))
+    keep = _best_k(r, c, val[r, c], k)
+    return r[keep], c[keep], raw[r[keep], c[keep]]
+
+
+def _topk_rows(a: pd.DataFrame, b: pd.DataFrame, k: int, metric: str, decimals: int,
+               both: bool = False):
     """Best k columns of every row of the A×B block (self excluded).
 
     The block is processed in tiles of at most ``TILE_ITEMS`` x ``TILE_ITEMS``
     items, so dense memory stays bounded however large the blocks are; each
     tile keeps its own top-k per row and the tiles' candidates are merged.
+    With ``both`` the B rows' best A columns come from the same tile products
+    (transposed), so an off-diagonal block pair multiplies each tile once;
+    then a pair of frames (A rows, B rows) is returned.
     """
+    empty = pd.DataFrame({"item_id": [], "neighbor_id": [], "score": []})
     ia, items_a = pd.factorize(a["item_id"], sort=True)
     ib, items_b = pd.factorize(b["item_id"], sort=True)  # columns in id order
     items_a = np.asarray(items_a, dtype=np.int64)
     items_b = np.asarray(items_b, dtype=np.int64)
     na, nbc = len(items_a), len(items_b)
     if na == 0 or nbc == 0 or k <= 0:
-        return pd.DataFrame({"item_id": [], "neighbor_id": [], "score": []})
+        return (empty, empty) if both else empty
     if metric == "l2":
         wa2 = np.bincount(ia, weights=a["weight"].to_numpy(np.float64) ** 2, minlength=na)
         wb2 = np.bincount(ib, weights=b["weight"].to_numpy(np.float64) ** 2, minlength=nbc)
@@ -128,7 +143,8 @@ def _topk_rows(a: pd.DataFrame, b: pd.DataFrame, k: int, metric: str, decimals:
     b = b.assign(ib=ib, tb=ib // TILE_ITEMS)
     a_tiles = dict(tuple(a.groupby("ta", sort=True)))
     b_tiles = dict(tuple(b.groupby("tb", sort=True)))
-    rows, cols, raws = [], [], []
+    acc_a: list = [[], [], []]
+    acc_b: list = [[], [], []]
     for ta, at in a_tiles.items():
         a0 = ta * TILE_ITEMS
         na_t = min(TILE_ITEMS, na - a0)
@@ -145,19 +161,21 @@ def _topk_rows(a: pd.DataFrame, b: pd.DataFrame, k: int, metric: str, decimals:
                 val = -np.round(raw, decimals)
                 val[val >= 0] = np.inf
             val[items_a[a0:a0 + na_t, None] == items_b[None, b0:b0 + nb_t]] = np.inf
-            kk = min(k, nb_t)
-            kth = (np.partition(val, kk - 1, axis=1)[:, kk - 1] if nb_t > kk else val.max(axis=1))
-            r, c = np.nonzero((val <= kth[:, None]) & np.isfinite(val))
-            keep = _best_k(r, c, val[r, c], k)
-            r, c = r[keep], c[keep]
-            rows.append(r + a0)
-            cols.append(c + b0)
-            raws.append(raw[r, c])
-    r, c, raw = np.concatenate(rows), np.concatenate(cols), np.concatenate(raws)
-    val = np.round(raw, decimals) if metric == "l2" else -np.round(raw, decimals)
-    keep = _best_k(r, c, val, k)
-    return pd.DataFrame({"item_id": items_a[r[keep]], "neighbor_id": items_b[c[keep]],
-                         "score": raw[keep].astype(np.float64)})
+            r, c, x = _select(val, raw, k)
+            acc_a[0].append(r + a0), acc_a[1].append(c + b0), acc_a[2].append(x)
+            if both:
+                r, c, x = _select(np.ascontiguousarray(val.T), raw.T, k)
+                acc_b[0].append(r + b0), acc_b[1].append(c + a0), acc_b[2].append(x)
+
+    def finish(acc, row_ids, col_ids):
+        r, c, raw = (np.concatenate(x) for x in acc)
+        val = np.round(raw, decimals) if metric == "l2" else -np.round(raw, decimals)
+        keep = _best_k(r, c, val, k)
+        return pd.DataFrame({"item_id": row_ids[r[keep]], "neighbor_id": col_ids[c[keep]],
+                             "score": raw[keep].astype(np.float64)})
+
+    res_a = finish(acc_a, items_a, items_b)
+    return (res_a, finish(acc_b, items_b, items_a)) if both else res_a
 
 
 def _pair_task(k: int, metric: str, decimals: int, n_blocks: int):
@@ -170,8 +188,7 @@ def _pair_task(k: int, metric: str, decimals: int, n_blocks: int):
             out.append(_topk_rows(a, a, k, metric, decimals))
         else:
             b = pdf[pdf["blk"] == hi]
-            out.append(_topk_rows(a, b, k, metric, decimals))
-            out.append(_topk_rows(b, a, k, metric, decimals))
+            out.extend(_topk_rows(a, b, k, metric, decimals, both=True))
         res = pd.concat(out, ignore_index=True)
         return res.astype({"item_id": "int64", "neighbor_id": "int64", "score": "float64"})
 
