@@ -241,9 +241,19 @@ def _blocks_for(n_items: int, nnz: int, parallelism: int, items_per_block: int =
     return nb
 
 
+def _parallelism(df: DataFrame) -> int:
+    """Cores available to the session (falls back to conf where no SparkContext is exposed)."""
+    spark = df.sparkSession
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        return int(spark.conf.get("spark.default.parallelism", None)
+                   or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def block_count(vectors: DataFrame) -> int:
     prof = _profile(vectors)
-    return _blocks_for(prof["n_items"], prof["nnz"], vectors.sparkSession.sparkContext.defaultParallelism)
+    return _blocks_for(prof["n_items"], prof["nnz"], _parallelism(vectors))
 
 
 def _blocked_candidates(vectors: DataFrame, k: int, metric: str, decimals: int, nb: int,
@@ -354,7 +364,7 @@ def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: in
         vectors = vectors.checkpoint(eager=True)
         prof = _profile(vectors)
     hot_limit = HOT_ENTRIES if hot_entries is None else hot_entries
-    parallelism = vectors.sparkSession.sparkContext.defaultParallelism
+    parallelism = _parallelism(vectors)
     nb = n_blocks or _blocks_for(prof["n_items"], prof["nnz"], parallelism)
     hot = None
     if prof is not None and prof["max_item_nnz"] > hot_limit:
