@@ -279,7 +279,9 @@ def _eval_inputs(spark, sf_dir):
     active = stats.active_users(t.ratings, P.MIN_RATINGS).select("user_id")
     folds = evaluate.assign_folds(active, P.EVAL_FOLDS, P.FOLD_SALT)
     recs = recommend.user_recommendations(t.latest, _similar(t), P.EVAL_K, P.SEEDS, users=active)
-    return t, folds, recs
+    # read three times by the metrics (coverage, diversity, novelty): written
+    # once (users x k rows) so the similarity search never runs again
+    return t, folds, recs.checkpoint(eager=True)
 
 
 @register("eval_folds")
