@@ -200,25 +200,48 @@ def _run_per_group(rows: DataFrame, n_groups: int, task, max_partitions: int) ->
 
     ``repartitionById`` sends group g to partition g mod n directly (no range
     sampling job, no hash collisions: with n = number of groups every task gets
-    exactly one group); ``mapInPandas`` then consumes the partition, grouping
-    in pandas only when a partition holds several groups.  One exchange, no
-    sort.  An explicit partition count also keeps AQE from folding the
-    CPU-heavy groups into a few tasks.
+    exactly one group); ``mapInPandas`` then consumes the partition.  One
+    exchange, and no sort unless the group count exceeds ``max_partitions``:
+    then partitions are sorted by ``gid`` and groups are streamed one at a time,
+    so a task never holds more than one group.  An explicit partition count
+    also keeps AQE from folding the CPU-heavy groups into a few tasks.
     """
     parts = max(1, min(n_groups, max_partitions))
+    several = n_groups > parts
+    out_types = {"item_id": "int64", "neighbor_id": "int64", "score": "float64"}
+
+    def run(group: pd.DataFrame):
+        out = task(group)
+        if len(out):
+            yield out.astype(out_types)
 
     def per_partition(batches):
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        for _, g in pdf.groupby("gid", sort=False):
-            out = task(g)
-            if len(out):
-                yield out.astype({"item_id": "int64", "neighbor_id": "int64", "score": "float64"})
+        pending, current = [], None
+        for b in batches:
+            if not len(b):
+                continue
+            gids = b["gid"].to_numpy()
+            cuts = np.flatnonzero(gids[1:] != gids[:-1]) + 1 if several else []
+            for piece in np.split(np.arange(len(b)), cuts):
+                gid = gids[piece[0]]
+                if several and current is not None and gid != current:
+                    yield from run(pd.concat(pending, ignore_index=True))
+                    pending = []
+                current = gid
+                pending.append(b.iloc[piece])
+        if pending:
+            whole = pd.concat(pending, ignore_index=True)
+            if several:
+                yield from run(whole)
+            else:  # one group per partition (ids mod n may still collide)
+                for _, g in whole.groupby("gid", sort=False):
+                    yield from run(g)
 
     target = F.pmod(F.col("gid"), F.lit(parts)).cast("int")
-    return rows.repartitionById(parts, target).mapInPandas(per_partition, OUT_SCHEMA)
+    placed = rows.repartitionById(parts, target)
+    if several:
+        placed = placed.sortWithinPartitions("gid")
+    return placed.mapInPandas(per_partition, OUT_SCHEMA)
 
 
 def _profile(vectors: DataFrame) -> dict:

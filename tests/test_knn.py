@@ -140,3 +140,13 @@ def test_query_items_match_full_result(spark, metric):
         res.setdefault(r.item_id, []).append(r.neighbor_id)
     brute = _brute(dense, 4, metric, decimals)
     assert res == {i: brute[i] for i in (0, 3, 8, 17, 44) if brute.get(i)}
+
+
+def test_more_groups_than_partitions_streams_groups(spark):
+    rng = np.random.default_rng(9)
+    dense = (rng.random((60, 20)) < 0.15) * rng.integers(1, 6, (60, 20)).astype(float)
+    got = knn.top_k_neighbors(_vectors(spark, dense), 4, "l2", 6, n_blocks=5, max_partitions=3)
+    res = {}
+    for r in got.orderBy("item_id", "rank").collect():
+        res.setdefault(r.item_id, []).append(r.neighbor_id)
+    assert res == _brute(dense, 4, "l2", 6)
