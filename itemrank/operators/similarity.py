@@ -130,7 +130,7 @@ def _dot(arr: Column, vec) -> Column:
 
 
 def ann_neighbors(latest: DataFrame, k: int = 5, tables: int = 2, bits: int = 1,
-                  window: int = 512, dims: int = 64, seed: int = 42,
+                  window: int = 512, dims: int = 16, seed: int = 42,
                   low_norms: int = 256) -> DataFrame:
     """Approximate CF neighbours with sorted-window random-projection LSH.
 
