@@ -244,6 +244,14 @@ def user_recommendations(spark, sf_dir):
     return recommend.user_recommendations(t.latest, _similar(t), P.REC_N, P.SEEDS)
 
 
+
+@register("user_recommendations_by_seed")
+def user_recommendations_by_seed(spark, sf_dir):
+    """R4 through the per-user path: neighbour searches only for seed movies."""
+    t = Tables(spark, sf_dir, materialize=True)
+    users = t.latest.select("user_id").distinct()
+    return recommend.recommend_for_users(t.latest, t.movies, users, P.REC_N, P.SEEDS, P.NEIGHBORS)
+
 @register("cold_start_recommendations")
 def cold_start_recommendations(spark, sf_dir):
     t = Tables(spark, sf_dir)

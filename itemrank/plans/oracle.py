@@ -268,6 +268,7 @@ REC_CTES = SIMILAR_CTES + SEEDS_CTE + user_recs_cte("urecs", P.REC_N)
 
 SQL["user_top_rated"] = q(SEEDS_CTE + "\nSELECT user_id, CAST(seed_rank AS INTEGER) AS seed_rank, movie_id, rating FROM seeds")
 SQL["user_recommendations"] = q(REC_CTES + "\nSELECT user_id, rank, movie_id FROM urecs")
+SQL["user_recommendations_by_seed"] = SQL["user_recommendations"]
 SQL["cold_start_recommendations"] = q(popular_cte("poplist", P.REC_N) + """
 SELECT u.user_id, p.rank, p.movie_id FROM users u CROSS JOIN poplist p
 WHERE u.user_id NOT IN (SELECT user_id FROM ratings)""")
