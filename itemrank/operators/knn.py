@@ -316,11 +316,10 @@ def _hot_candidates(vectors: DataFrame, hot: DataFrame, k: int, metric: str, dec
     if metric == "cosine":
         return (pairs.where(F.round("dot", decimals) > 0)
                 .select("item_id", "neighbor_id", F.col("dot").alias("score")))
+    if not nonnegative:
+        raise ValueError("the hot-item path for l2 needs non-negative weights")
     norms = vectors.groupBy("item_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n"))
-    if nonnegative:
-        small = norms.orderBy("n", "item_id").limit(k + 1).select("item_id")
-    else:  # the lemma needs dot >= 0; otherwise every item is a zero-dot candidate
-        small = norms.select("item_id")
+    small = norms.orderBy("n", "item_id").limit(k + 1).select("item_id")  # k+1 ids
     small_ids = small.select(F.collect_list("item_id")).scalar()
     hot_small_ids = small.join(hot, "item_id", "left_semi").select(F.collect_list("item_id")).scalar()
     zero = (hot.select("item_id", F.explode(small_ids).alias("neighbor_id"))
@@ -390,7 +389,11 @@ def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: in
     parallelism = _parallelism(vectors)
     nb = n_blocks or _blocks_for(prof["n_items"], prof["nnz"], parallelism)
     hot = None
-    if prof is not None and prof["max_item_nnz"] > hot_limit:
+    # The hot path is exact for cosine, and for l2 when weights are
+    # non-negative (the smallest-norm rule); signed l2 vectors (dense
+    # embeddings, never hot in practice) stay on the blocked path.
+    hot_ok = metric == "cosine" or (prof is not None and prof["min_weight"] >= 0)
+    if prof is not None and prof["max_item_nnz"] > hot_limit and hot_ok:
         hot = (vectors.groupBy("item_id").agg(F.count("*").alias("c"))
                .where(F.col("c") > hot_limit).select("item_id").checkpoint(eager=True))
     normal = vectors if hot is None else vectors.join(hot, "item_id", "left_anti")
