@@ -36,9 +36,9 @@ def _r(c: str, d: int = 6):
 
 # --- S1-S3: `::` scans, round-tripped through files derived from the tables ---
 
-def _round_trip(spark: SparkSession, df: DataFrame, name: str, reader) -> DataFrame:
+def _round_trip(spark: SparkSession, df: DataFrame, name: str, reader, writer=files.write_dat) -> DataFrame:
     path = scratch_path(spark, name)
-    files.write_dat(df, path)
+    writer(df, path)
     return reader(spark, path)
 
 
@@ -49,7 +49,8 @@ def scan_ratings(spark, sf_dir):
 
 @register("scan_movies")
 def scan_movies(spark, sf_dir):
-    return _round_trip(spark, Tables(spark, sf_dir).movies_raw, "movies-dat", files.read_movies)
+    return _round_trip(spark, Tables(spark, sf_dir).movies_raw, "movies-dat", files.read_movies,
+                       files.write_movies_dat)
 
 
 @register("scan_users")

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 
+# Fixed values of the file format: field separator and the movie file's charset.
 SEP = "::"
+MOVIES_ENCODING = "ISO-8859-1"
 
 
 def _read(spark: SparkSession, path: str, schema, encoding: str = "UTF-8") -> DataFrame:
@@ -28,13 +30,19 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_movies(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, schemas.MOVIES_RAW, encoding="ISO-8859-1")
+    return _read(spark, path, schemas.MOVIES_RAW, encoding=MOVIES_ENCODING)
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, schemas.USERS)
 
 
-def write_dat(df: DataFrame, path: str) -> None:
+def write_dat(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """Write a table back in the `::` layout (used to round-trip the readers)."""
-    df.write.mode("overwrite").option("sep", SEP).option("header", "false").csv(path)
+    (df.write.mode("overwrite").option("sep", SEP).option("header", "false")
+     .option("encoding", encoding).csv(path))
+
+
+def write_movies_dat(df: DataFrame, path: str) -> None:
+    """Movies in the `::` layout and the latin-1 encoding the reader expects."""
+    write_dat(df, path, MOVIES_ENCODING)

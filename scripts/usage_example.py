@@ -15,10 +15,9 @@ from itemrank.sources import files, fixtures  # noqa: E402
 
 spark = local_session(8, 8)
 data = scratch_path(spark, "usage")
-for name, df in (("ratings", fixtures.ratings(spark, "/root/testdata/sf0.001")),
-                 ("movies", fixtures.movies_raw(spark, "/root/testdata/sf0.001")),
-                 ("users", fixtures.users(spark, "/root/testdata/sf0.001"))):
-    files.write_dat(df, f"{data}/{name}.dat")
+files.write_dat(fixtures.ratings(spark, "/root/testdata/sf0.001"), f"{data}/ratings.dat")
+files.write_movies_dat(fixtures.movies_raw(spark, "/root/testdata/sf0.001"), f"{data}/movies.dat")
+files.write_dat(fixtures.users(spark, "/root/testdata/sf0.001"), f"{data}/users.dat")
 
 # ---- snippet (paths: replace `data` with the folder holding the .dat files) ----
 from itemrank.operators import evaluate, prep, recommend, search, similarity, stats, validate

@@ -39,9 +39,17 @@ def test_merge_sum_is_literal(spark):
     assert got == {(1, 1): 7.0, (1, 2): 3.0}  # keys are (movie_id, user_id)
 
 
+def test_latin1_movie_titles_round_trip(spark):
+    movies = spark.createDataFrame([(1, "Amélie (2001)", "Comedy|Romance"), (2, "Señor Plain (1990)", "Drama")],
+                                   "movie_id long, title string, genres string")
+    path = scratch_path(spark, "dat-latin1")
+    files.write_movies_dat(movies, path)
+    assert sorted(map(tuple, files.read_movies(spark, path).collect())) == sorted(map(tuple, movies.collect()))
+
+
 def test_dat_readers_round_trip(spark, tables):
     path = scratch_path(spark, "dat")
-    files.write_dat(tables.movies_raw, path)
+    files.write_movies_dat(tables.movies_raw, path)
     back = files.read_movies(spark, path)
     assert _rows(back, ["movie_id", "title", "genres"]) == _rows(tables.movies_raw, ["movie_id", "title", "genres"])
 
