@@ -128,7 +128,7 @@ def rating_matrix_slice(latest: DataFrame, user_ids: list[int]) -> DataFrame:
     return out.select("movie_id", *[F.col(str(u)).cast("double").alias(f"u{u}") for u in cols])
 
 
-def tfidf_vectors(movies: DataFrame, stop_words: bool = True, unicode: bool = False) -> DataFrame:
+def tfidf_vectors(movies: DataFrame, stop_words: bool = True, unicode: bool = True) -> DataFrame:
     """L2-normalised TF-IDF vectors in long form (movie_id, term, weight).
 
     tf = raw count, idf = ln((1+N)/(1+df)) + 1, N = number of documents; each

@@ -74,3 +74,11 @@ def test_fixture_views_have_cold_start_and_unrated(tables):
     cold = tables.users.join(tables.ratings, "user_id", "left_anti").count()
     assert cold > 0
     assert tables.movies.where(F.col("year").isNull()).count() > 0
+
+
+def test_unicode_tokens_keep_accented_words(spark):
+    df = spark.createDataFrame([("Amélie Poulain|Drama a",)], "doc string")
+    got = df.select(text.tokens(F.col("doc"), unicode=True).alias("t")).first().t
+    assert got == ["amélie", "poulain", "drama"]
+    ascii_tokens = df.select(text.tokens(F.col("doc"), unicode=False).alias("t")).first().t
+    assert ascii_tokens == ["am", "lie", "poulain", "drama"]
