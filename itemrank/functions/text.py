@@ -63,9 +63,12 @@ def time_decay(now_ts: Column, last_ts: Column) -> Column:
 
 # --- fuzzy title score (token-sort ratio) -----------------------------------
 
+NON_ALNUM = r"[^\p{L}\p{N}]"  # anything but a Unicode letter or digit
+
+
 def sort_tokens(s: Column) -> Column:
-    """Lower-case, non-alphanumerics to space, split, sort, re-join."""
-    cleaned = F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]", " "))
+    """Lower-case, non-alphanumerics (Unicode-aware) to space, split, sort, re-join."""
+    cleaned = F.trim(F.regexp_replace(F.lower(s), NON_ALNUM, " "))
     parts = F.filter(F.split(cleaned, " +"), lambda t: t != "")
     return F.array_join(F.array_sort(parts), " ")
 
@@ -94,10 +97,10 @@ def lcs_length(a: Column, b: Column) -> Column:
 
 
 def sort_tokens_py(s: str) -> str:
-    """The same normalisation as ``sort_tokens`` for a constant (ASCII rules)."""
-    import re
+    """The same normalisation as ``sort_tokens`` for a constant query string."""
+    import regex
 
-    return " ".join(sorted(t for t in re.sub("[^a-z0-9]", " ", s.lower()).split(" ") if t))
+    return " ".join(sorted(t for t in regex.sub(NON_ALNUM, " ", s.lower()).split(" ") if t))
 
 
 BIT_PARALLEL_MAX = 62  # query length that fits a signed 64-bit word without overflow

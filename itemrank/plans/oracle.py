@@ -375,7 +375,7 @@ FROM mstats""")
 
 def _sorted_tokens_sql(expr: str) -> str:
     return (f"array_to_string(list_sort(list_filter(string_split_regex(trim(regexp_replace(lower({expr}), "
-            f"'[^a-z0-9]', ' ', 'g')), ' +'), lambda t: t <> '')), ' ')")
+            f"'[^\\p{{L}}\\p{{N}}]', ' ', 'g')), ' +'), lambda t: t <> '')), ' ')")
 
 
 def _lcs_sql(a: str, b: str) -> str:

@@ -74,3 +74,9 @@ def test_stamp_new_ratings(spark):
     row = validate.stamp_ratings(sub).first()
     assert row.rating == 4.0 and abs(row.timestamp - time.time()) < 600
     assert validate.valid_ratings(validate.stamp_ratings(sub)).count() == 1
+
+
+def test_fuzzy_score_keeps_accented_letters(spark):
+    movies = spark.createDataFrame([(1, "Amélie (2001)"), (2, "Amelie (2001)")], "movie_id long, title string")
+    scores = {r.movie_id: r.score for r in search.title_scores(movies, "amélie 2001").collect()}
+    assert scores[1] == 100 and scores[2] < 100
