@@ -37,6 +37,8 @@ def by_title(movies: DataFrame, query: str, limit: int = 10) -> DataFrame:
     computed in parallel and only ``limit`` rows per partition move.
     """
     scored = title_scores(movies, query)
+    if not query.strip():  # an empty query finds nothing (as in the reference)
+        return scored.where(F.lit(False))
     return scored.orderBy(F.col("score").desc(), F.col("movie_id").asc()).limit(limit)
 
 

@@ -80,3 +80,7 @@ def test_fuzzy_score_keeps_accented_letters(spark):
     movies = spark.createDataFrame([(1, "Amélie (2001)"), (2, "Amelie (2001)")], "movie_id long, title string")
     scores = {r.movie_id: r.score for r in search.title_scores(movies, "amélie 2001").collect()}
     assert scores[1] == 100 and scores[2] < 100
+
+
+def test_empty_title_query_finds_nothing(spark):
+    assert search.by_title(_movies(spark), "   ", 10).count() == 0
