@@ -58,7 +58,7 @@ ITEMS_PER_BLOCK = 8192
 TILE_ITEMS = 2048              # dense tile inside a task: 2048² doubles = 32 MiB
 ENTRIES_PER_BLOCK = 2_000_000
 DENSE_CELLS = 8_000_000        # use dense BLAS when (|I|+|J|)·keys fits this
-MERGE_CHUNK_PAIRS = 20_000_000  # bound on key-matched pairs per merge chunk
+MERGE_CHUNK_PAIRS = 4_000_000  # key-matched pairs per merge chunk (~160 MB of columns)
 HOT_ENTRIES = ENTRIES_PER_BLOCK // 8  # items with more non-zeros skip the blocked path
 
 
