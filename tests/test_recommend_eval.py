@@ -111,3 +111,40 @@ def test_knn_on_empty_input(spark):
 
     empty = spark.createDataFrame([], "item_id long, key long, weight double")
     assert knn.top_k_neighbors(empty, 5, "l2").count() == 0
+
+
+def test_diversity_hand_computed(spark):
+    movies = spark.createDataFrame(
+        [(1, ["A", "B"]), (2, ["B", "C", "C"]), (3, []), (4, []), (5, ["A"])],
+        "movie_id long, genres array<string>")
+    recs = spark.createDataFrame(
+        [(1, 1, 1), (1, 2, 2), (1, 3, 5),      # pairs: 1-1/3, 1-1/2, 1-0/3
+         (2, 1, 3), (2, 2, 4), (2, 3, 1),      # 3-4 both empty: skipped; 3-1, 4-1: distance 1
+         (3, 1, 3), (3, 2, 4),                 # only an empty pair: no counted pair
+         (4, 1, 99), (4, 2, 1),                # 99 not in the catalogue: empty set
+         (5, 1, 2)],                           # one item: no pair
+        "user_id long, rank int, movie_id long")
+    got = {r.user_id: r.diversity for r in evaluate.user_diversity(recs, movies).collect()}
+    assert set(got) == {1, 2, 4}
+    assert abs(got[1] - ((1 - 1 / 3) + (1 - 1 / 2) + 1.0) / 3) < 1e-12
+    assert got[2] == 1.0 and got[4] == 1.0
+
+
+def test_fallback_sources_match_plain_split(tables):
+    sim = similarity.similar_items(tables.latest, tables.movies, 5)
+    personal = recommend.user_recommendations(tables.latest, sim, 5)
+    out = recommend.recommendations_with_fallback(tables.users, tables.ratings, tables.latest, sim,
+                                                  5, 10, personal=personal)
+    per = {r.user_id: (r.s, r.c) for r in out.groupBy("user_id").agg(
+        F.collect_set("source").alias("s"), F.count("*").alias("c")).collect()}
+    with_personal = {r.user_id: r.c for r in personal.groupBy("user_id").agg(F.count("*").alias("c")).collect()}
+    rated = {r.user_id for r in tables.ratings.select("user_id").distinct().collect()}
+    everyone = rated | {r.user_id for r in tables.users.select("user_id").collect()}
+    assert set(per) == everyone
+    for u, (sources, c) in per.items():
+        if u in with_personal:
+            assert sources == ["personal"] and c == with_personal[u]
+        elif u in rated:
+            assert sources == ["popular"] and c == 10
+        else:
+            assert sources == ["cold_start"] and c == 5
