@@ -16,8 +16,9 @@ Plan (no item pairs are ever materialised as rows):
    which a self-join on the key would emit).
 3. Inside one task, NumPy forms the block product ``W_I · W_Jᵀ`` tile by tile
    (at most 2048 x 2048 items per dense tile; dense BLAS when the key space is
-   small, otherwise a chunked, vectorised merge on the key accumulated with
-   ``bincount``), turns it into distances or similarities, and keeps only the
+   small, otherwise BLAS for the costliest keys and a chunked, vectorised merge
+   on the key accumulated with ``bincount`` for the rest), turns it into
+   distances or similarities, and keeps only the
    best ``k`` per row — so a task emits at most ``k · (|I| + |J|)`` rows.  A key
    shared by every item in the block (a hot user or a frequent term) costs
    ``|I|·|J|`` multiply-adds in that task and nothing more.
@@ -59,30 +60,23 @@ TILE_ITEMS = 2048              # dense tile inside a task: 2048² doubles = 32 M
 ENTRIES_PER_BLOCK = 2_000_000
 DENSE_CELLS = 8_000_000        # use dense BLAS when (|I|+|J|)·keys fits this
 MERGE_CHUNK_PAIRS = 4_000_000  # key-matched pairs per merge chunk (~160 MB of columns)
+DENSE_SHARE = 64               # keys with c_a·c_b > na·nb / 64 go through BLAS
 HOT_ENTRIES = ENTRIES_PER_BLOCK // 8  # items with more non-zeros skip the blocked path
 
 
-def _block_product(a: pd.DataFrame, b: pd.DataFrame, na: int, nb: int) -> np.ndarray:
-    """G[i, j] = Σ_key a[i,key]·b[j,key] for local row codes ia/ib."""
-    keys_a = a["key"].to_numpy()
-    keys_b = b["key"].to_numpy()
-    codes, uniq = pd.factorize(np.concatenate([keys_a, keys_b]))
-    ka, kb = codes[: len(keys_a)], codes[len(keys_a):]
-    nkeys = len(uniq)
-    ia, ib = a["ia"].to_numpy(), b["ib"].to_numpy()
-    wa, wb = a["weight"].to_numpy(np.float64), b["weight"].to_numpy(np.float64)
-    if (na + nb) * max(nkeys, 1) <= DENSE_CELLS:
-        da = np.zeros((na, nkeys))
-        db = np.zeros((nb, nkeys))
-        np.add.at(da, (ia, ka), wa)
-        np.add.at(db, (ib, kb), wb)
-        return da @ db.T
-    # Sparse path: merge on the key in chunks of A-rows so the matched pairs
-    # held at once stay bounded, accumulate straight into the dense block.
-    g = np.zeros(na * nb)
+def _dense_part(ia, ka, w, n_rows: int, n_keys: int) -> np.ndarray:
+    d = np.zeros((n_rows, n_keys))
+    np.add.at(d, (ia, ka), w)
+    return d
+
+
+def _merge_into(g: np.ndarray, ka, ia, wa, kb, ib, wb, nb: int, nkeys: int) -> None:
+    """g[ia*nb + ib] += Σ wa·wb over key-matched pairs, merged in bounded chunks."""
+    if len(ka) == 0 or len(kb) == 0:
+        return
     pairs_per_row = np.bincount(kb, minlength=nkeys)[ka]
     cum = np.cumsum(pairs_per_row)
-    total = int(cum[-1]) if len(cum) else 0
+    total = int(cum[-1])
     edges = np.searchsorted(cum, np.arange(1, total // MERGE_CHUNK_PAIRS + 1) * MERGE_CHUNK_PAIRS)
     right = pd.DataFrame({"k": kb, "ib": ib, "wb": wb})
     for sel in np.split(np.arange(len(ka)), edges):
@@ -92,7 +86,44 @@ def _block_product(a: pd.DataFrame, b: pd.DataFrame, na: int, nb: int) -> np.nda
         m = left.merge(right, on="k", how="inner", sort=False)
         if len(m):
             g += np.bincount(m["ia"].to_numpy() * nb + m["ib"].to_numpy(),
-                             weights=m["wa"].to_numpy() * m["wb"].to_numpy(), minlength=na * nb)
+                             weights=m["wa"].to_numpy() * m["wb"].to_numpy(), minlength=len(g))
+
+
+def _block_product(a: pd.DataFrame, b: pd.DataFrame, na: int, nb: int) -> np.ndarray:
+    """G[i, j] = Σ_key a[i,key]·b[j,key] for local row codes ia/ib.
+
+    Small key spaces: one dense product.  Otherwise keys are split by cost:
+    a key shared by c_a rows of A and c_b rows of B costs c_a·c_b matched
+    pairs in the merge but only na·nb multiply-adds in BLAS, so the costliest
+    keys (c_a·c_b above na·nb/64, within the dense-cell budget) go through a
+    dense product and the rest through the chunked key merge.  The key sets
+    are disjoint, so the sum is exact.
+    """
+    keys_a = a["key"].to_numpy()
+    keys_b = b["key"].to_numpy()
+    codes, uniq = pd.factorize(np.concatenate([keys_a, keys_b]))
+    ka, kb = codes[: len(keys_a)], codes[len(keys_a):]
+    nkeys = len(uniq)
+    ia, ib = a["ia"].to_numpy(), b["ib"].to_numpy()
+    wa, wb = a["weight"].to_numpy(np.float64), b["weight"].to_numpy(np.float64)
+    if (na + nb) * max(nkeys, 1) <= DENSE_CELLS:
+        return _dense_part(ia, ka, wa, na, nkeys) @ _dense_part(ib, kb, wb, nb, nkeys).T
+    work = np.bincount(ka, minlength=nkeys).astype(np.float64) * np.bincount(kb, minlength=nkeys)
+    budget = DENSE_CELLS // (na + nb)
+    by_cost = np.argsort(-work, kind="stable")[:budget]
+    heavy = by_cost[work[by_cost] * DENSE_SHARE > float(na) * nb]
+    if len(heavy):
+        slot = np.full(nkeys, -1)
+        slot[heavy] = np.arange(len(heavy))
+        sa, sb = slot[ka], slot[kb]
+        ha, hb = sa >= 0, sb >= 0
+        g = (_dense_part(ia[ha], sa[ha], wa[ha], na, len(heavy))
+             @ _dense_part(ib[hb], sb[hb], wb[hb], nb, len(heavy)).T).ravel()
+        la, lb = ~ha, ~hb
+        _merge_into(g, ka[la], ia[la], wa[la], kb[lb], ib[lb], wb[lb], nb, nkeys)
+    else:
+        g = np.zeros(na * nb)
+        _merge_into(g, ka, ia, wa, kb, ib, wb, nb, nkeys)
     return g.reshape(na, nb)
 
 

@@ -58,6 +58,23 @@ def test_sparse_merge_path_matches_dense(spark, monkeypatch):
     assert res == _brute(dense, 3, "l2", 6)
 
 
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_heavy_keys_dense_rest_merged(spark, monkeypatch, metric):
+    # a key budget of a few dense columns: hot keys go through BLAS, the rest
+    # through the chunked merge, and the sum must equal the brute force
+    rng = np.random.default_rng(11)
+    dense = (rng.random((40, 60)) < 0.08) * rng.integers(1, 6, (40, 60)).astype(float)
+    dense[rng.random(40) < 0.7, 0] = 2.0   # a key in most items
+    dense[rng.random(40) < 0.4, 1] = 1.0
+    monkeypatch.setattr(knn, "DENSE_CELLS", 150)
+    monkeypatch.setattr(knn, "MERGE_CHUNK_PAIRS", 11)
+    got = knn.top_k_neighbors(_vectors(spark, dense), 3, metric, 6, n_blocks=2)
+    res = {}
+    for r in got.orderBy("item_id", "rank").collect():
+        res.setdefault(r.item_id, []).append(r.neighbor_id)
+    assert res == _brute(dense, 3, metric, 6)
+
+
 def test_hot_key_shared_by_every_item(spark):
     # one key (a hot user / frequent term) present in every item vector
     dense = np.zeros((25, 5))
