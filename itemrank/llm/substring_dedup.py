@@ -194,7 +194,8 @@ class RepeatedWindows:
             F.coalesce(F.hash("text"), F.lit(0)).alias("th"), "text")
         runs = written(rows.where("text is not null").select("did", "th", "text").mapInArrow(
             lambda it: _runs(it, size, gram), "key long, seg long, did long, th int, start int, n int"), "runs")
-        shared = runs.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+        # (written, so that a hot key's runs meet it in a join that Spark can split)
+        shared = written(runs.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "keys")
         kept = written(runs.join(shared, "key", "left_semi"), "kept-runs")
         segments = kept.groupBy("key", "seg", "n").agg(
             F.count(F.lit(1)).alias("weight"), F.min(F.struct("did", "th", "start")).alias("at"))
