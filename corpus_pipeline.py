@@ -2,7 +2,12 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and returns a DataFrame, which is written as Parquet into the shared folder
-and read back as the next stage's ``docs``.
+and read back as the next stage's ``docs``.  All stages but the last return
+the columns of ``documents``; the last one adds the shard's columns.
+
+A row with a null ``doc_id`` can't be joined to its verdict and is kept by
+the two stages that drop documents only if it is not judged: quality rules
+and decontamination keep it, near-duplicates drop it (it has no id to stay by).
 """
 
 from __future__ import annotations
@@ -10,18 +15,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemrank.llm import minhash_dedup
+from itemrank.llm import decontaminate, minhash_dedup, mixing, quality_rules, sharding
 from itemrank.llm.common import table, written
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rule or the learned decision list rejects go."""
+    judged = quality_rules.quality(docs, table(spark, sf_dir, "labels"))
+    rejected = judged.where("not kept").select("doc_id").distinct()
+    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
-    kept = minhash_dedup.near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(docs.columns)
+    kept = minhash_dedup.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth or more lies in benchmark windows go."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    dirty = found.where("contaminated").select("doc_id").distinct()
+    return docs.join(dirty, "doc_id", "left_anti").select(docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: not at all, once or twice."""
+    copies = mixing.mix(docs).groupBy(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source")).agg(
+        F.max("copies").alias("m_copies")).where("m_copies > 0")
+    both = docs.join(copies, docs["doc_id"].eqNullSafe(copies["m_id"]) & docs["source"].eqNullSafe(copies["m_source"]))
+    return both.withColumn("m_copy", F.explode(F.sequence(F.lit(1), F.col("m_copies").cast("int")))).select(
+        *[docs[c] for c in docs.columns])
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their shard."""
+    return sharding.assign_shards(docs)
 
 
 STAGES = [
+    ("quality_rules", quality),
     ("minhash_near_dedup", near_dedup),
+    ("decontamination", decontaminated),
+    ("mixing", mixed),
+    ("sharding", sharded),
 ]
 
 #: The stages learn, solve and hash in ways that SQL can't express; tests compare run() with a brute-force version.

@@ -12,7 +12,8 @@ multipliers and the Hessian holds the tokens of every pair of groups.
 Rates are rounded into whole copies: everybody gets ``floor(rate)``, and the
 fractions are settled by priority sampling.  A document's priority is its
 hash divided by its fraction, and the cut on priorities is placed, per
-source, where the taken tokens come nearest to the target; the cut is found
+source, where the taken tokens reach the target; what is then still wanted is
+filled, in two more rounds, from the documents that fit into it.  Cuts are found
 by refining a histogram of priorities, never by sorting a source.  The hash
 depends on the id alone, so reruns agree.
 
@@ -36,8 +37,8 @@ from .common import written
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2.0
-LEVEL_BITS = 10
-HASH_BITS = 50
+LEVEL_BITS = 12
+HASH_BITS = 48
 
 
 def word_count(text: str = "text") -> Column:
@@ -126,30 +127,70 @@ def balance(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, Mapp
     return {m: {g: float(lam[place[(m, g)]]) for g in targets[m]} for m in margins}
 
 
-def _cut(fractions: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Per source the priority up to which an extra copy is taken: (source, cut).
+def _same(left: str, right: str) -> Column:
+    return F.col(left).eqNullSafe(F.col(right))
 
-    ``fractions(source, size, priority)``, ``wanted(source, want)`` tokens.  A
-    histogram of ``2**LEVEL_BITS`` priority cells per source is summed; the
-    cell in which the running total passes the wish is refined until it has one priority.
+
+def _cut(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Where the running tokens by priority pass the wish: (source, want, lo, hi, below, upto).
+
+    ``rows(source, size, priority)``, ``wanted(source, want)``.  Everything
+    below priority ``lo`` adds up to ``below``; the rows in [lo, hi) -- one row, or
+    rows of one priority -- bring it to ``upto``, at or above ``want``.  A
+    histogram of ``2**LEVEL_BITS`` cells per source is summed, and the cell that
+    passes the wish is refined.  Sources whose rows do not reach the wish have no row.
     """
-    state = wanted.select("source", "want", F.lit(0).cast("long").alias("cell"), F.lit(0.0).alias("below"))
+    state = wanted.select(F.col("source").alias("s"), "want", F.lit(0).cast("long").alias("cell"),
+                          F.lit(0.0).alias("below"))
     bits = 0
-    while bits < HASH_BITS:
+    while True:
         deeper = min(bits + LEVEL_BITS, HASH_BITS)
-        inside = fractions.join(state.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).where(
-            f"shiftright(priority, {HASH_BITS - bits}) = cell")
-        cells = inside.groupBy("source", F.shiftright("priority", HASH_BITS - deeper).alias("c")).agg(
-            F.sum("size").cast("double").alias("tokens"), F.first("want").alias("want"), F.first("below").alias("below"))
+        cells = rows.join(state, _same("source", "s")).where(
+            f"shiftright(priority, {HASH_BITS - bits}) = cell").groupBy(
+            "source", F.shiftright("priority", HASH_BITS - deeper).alias("c")).agg(
+            F.sum("size").cast("double").alias("tokens"), F.count(F.lit(1)).alias("n"),
+            F.first("want").alias("want"), F.first("below").alias("below"))
         run = Window.partitionBy("source").orderBy("c")
-        upto = cells.withColumn("upto", F.col("below") + F.sum("tokens").over(run))
-        passing = upto.where("upto >= want").groupBy("source").agg(
-            F.min_by(F.struct("want", F.col("c").alias("cell"), (F.col("upto") - F.col("tokens")).alias("below"),
-                              F.col("upto")), "c").alias("x")).select("source", "x.*")
-        state, bits = written(passing, "cut"), deeper
-    # the last cell is one priority: take it if that is nearer than leaving it
-    return state.select("source", F.when(F.col("upto") - F.col("want") <= F.col("want") - F.col("below"),
-                                         F.col("cell")).otherwise(F.col("cell") - 1).alias("cut"))
+        passing = cells.withColumn("upto", F.col("below") + F.sum("tokens").over(run)).where("upto >= want").groupBy(
+            "source").agg(F.min_by(F.struct("want", F.col("c").alias("cell"), (F.col("upto") - F.col("tokens")).alias(
+                "below"), "upto", "n"), "c").alias("x"))
+        state, bits = written(passing.select(F.col("source").alias("s"), "x.*"), "cut"), deeper
+        if bits == HASH_BITS or not state.where("n > 1").limit(1).count():
+            break
+    span = 1 << (HASH_BITS - bits)
+    return state.select("s", "want", (F.col("cell") * span).alias("lo"), ((F.col("cell") + 1) * span).alias("hi"),
+                        "below", "upto")
+
+
+def _fill(rows: DataFrame, wanted: DataFrame, rounds: int = 3) -> DataFrame:
+    """(s, lows, rests): which rows get an extra copy so that a source's tokens come near the wish.
+
+    Round k takes, of the rows not taken that fit into what is still wanted,
+    those below its cut; the last round also takes the rows at the cut if that is nearer.
+    """
+    plan = wanted.select(F.col("source").alias("s"), F.array().cast("array<bigint>").alias("lows"),
+                         F.array().cast("array<double>").alias("rests"), F.col("want").alias("rest"))
+    top = 1 << HASH_BITS
+    for k in range(rounds):
+        left = rows.join(plan, _same("source", "s")).where(~taken_extra() & (F.col("size") <= F.col("rest")) if k
+                                                           else F.lit(True))
+        cut = _cut(left.select("source", "size", "priority"), plan.select(F.col("s").alias("source"), F.col("rest").alias("want")))
+        sums = left.groupBy(F.col("source").alias("s2")).agg(F.sum("size").cast("double").alias("all"))
+        near = (F.col("upto") - F.col("rest") < F.col("rest") - F.col("below")) if k == rounds - 1 else F.lit(False)
+        joined = plan.join(cut.withColumnRenamed("s", "c").drop("want"), _same("s", "c"), "left").join(
+            sums, _same("s", "s2"), "left")
+        low = F.when(F.col("lo").isNull(), F.lit(top)).when(near, F.col("hi")).otherwise(F.col("lo"))
+        got = F.when(F.col("lo").isNull(), F.coalesce("all", F.lit(0.0))).when(near, F.col("upto")).otherwise(F.col("below"))
+        plan = written(joined.select("s", F.concat("lows", F.array(low)).alias("lows"),
+                                     F.concat("rests", F.array("rest")).alias("rests"),
+                                     (F.col("rest") - got).alias("rest")), "plan")
+    return plan.select("s", "lows", "rests")
+
+
+def taken_extra() -> Column:
+    """Whether a row (size, priority) is taken by the cuts of its source (lows, rests)."""
+    return F.coalesce(F.expr(
+        "exists(transform(lows, (low, k) -> priority < low and (k = 0 or size <= rests[k])), x -> x)"), F.lit(False))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -171,14 +212,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     parted = parted.withColumn("priority", F.when((F.col("part") > 1e-6) & (F.col("size") > 0), priority))
     base = parted.groupBy("source").agg(F.sum(F.col("whole") * F.col("size")).alias("base"),
                                         F.max("priority").alias("any"))
-    want = base.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).where(
-        "any is not null").select("source", F.greatest(F.lit(0.0), F.col("target") - F.col("base")).alias("want"))
-    cut = _cut(parted.where("priority is not null").select("source", "size", "priority"), want)
-    cuts = cut.withColumnRenamed("source", "s")
-    extra = F.coalesce(F.col("priority") <= F.coalesce(F.col("cut"), F.lit((1 << HASH_BITS))), F.lit(False))
+    want = written(base.join(targets.withColumnRenamed("source", "s"), _same("source", "s")).where(
+        "any is not null").select("source", F.greatest(F.lit(0.0), F.col("target") - F.col("base")).alias("want")), "want")
+    cuts = _fill(parted.where("priority is not null").select("source", "size", "priority"), want)
     figures = targets.withColumnRenamed("source", "t")
-    return parted.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").join(
-        figures, F.col("source").eqNullSafe(F.col("t"))).withColumn(
-        "copies", F.col("whole") + extra.cast("int")).select(
+    return parted.join(cuts, _same("source", "s"), "left").join(figures, _same("source", "t")).withColumn(
+        "copies", F.col("whole") + taken_extra().cast("int")).select(
         "doc_id", "size", "source", "source_size", "target", "rate", "copies",
         (F.col("copies") * F.col("size")).cast("long").alias("taken"))
