@@ -3,9 +3,9 @@
 Each source gets a token target.  Entropy balancing finds the document rates
 closest to 1 (in relative entropy, weighted by size) that meet the targets.
 Its convex dual has one multiplier per source, the rates are the exponential
-tilt ``min(cap, exp(lambda))``, and each Newton iteration needs two sums per
-source, which one aggregate over all documents gives (added up on the map
-side, so a hot source is no hot group).  With several ``margins`` (for example
+tilt ``min(cap, exp(lambda))``, and each Newton iteration needs the tokens of
+every source, one aggregate over all documents (added up on the map side, so a
+hot source is no hot group).  With several ``margins`` (for example
 source and language) the rate is ``exp`` of the sum of a document's
 multipliers and the Hessian holds the tokens of every pair of groups.
 
@@ -77,8 +77,8 @@ def balance(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, Mapp
     """Multipliers per margin and group, by Newton's method on the dual.
 
     ``cells`` has the margin columns and ``size``; ``targets[margin][group]``
-    are tokens.  Each iteration is one aggregate of ``cells`` by the margins;
-    the driver sees one row per combination of groups.
+    are tokens.  Each iteration evaluates rates, slopes and areas of every
+    combination of groups in Spark; the driver sees one row per combination.
     """
     names = [(m, g) for m in margins for g in targets[m]]
     place = {k: i for i, k in enumerate(names)}
@@ -95,6 +95,9 @@ def balance(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, Mapp
             value += tokens * area
         return value, grad, hess
 
+    # whole tokens per combination of groups, summed over all documents: exact in any order, so reruns agree
+    summed = written(cells.groupBy(*margins).agg(F.sum(size).alias("tokens")), "cells")
+
     def sums():
         score = F.lit(0.0)
         for m in margins:
@@ -103,12 +106,10 @@ def balance(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, Mapp
         e = F.exp(F.col("score"))
         # rate is exp(score) up to the cap; its integral is the dual's contribution
         area = F.when(e < cap, e).otherwise(cap + cap * (F.col("score") - math.log(cap)))
-        rows = cells.withColumn("score", score).groupBy(*margins).agg(
-            F.sum(size).cast("double").alias("tokens"), F.sum(F.col(size) * F.least(e, F.lit(cap))).alias("rate"),
-            F.sum(F.col(size) * F.when(e < cap, e).otherwise(0.0)).alias("slope"),
-            F.sum(F.col(size) * area).alias("area")).collect()
-        return [([r[m] for m in margins], r["tokens"] or 0.0, *[(r[k] / r["tokens"]) if r["tokens"] else 0.0
-                                                                for k in ("rate", "slope", "area")]) for r in rows]
+        rows = summed.withColumn("score", score).select(
+            *margins, F.col("tokens").cast("double").alias("tokens"), F.least(e, F.lit(float(cap))).alias("rate"),
+            F.when(e < cap, e).otherwise(0.0).alias("slope"), area.alias("area")).orderBy(*margins).collect()
+        return [([r[m] for m in margins], r["tokens"] or 0.0, r["rate"], r["slope"], r["area"]) for r in rows]
 
     value, grad, hess = objective(sums())
     scale = max(1.0, float(np.abs(goal).max(initial=0.0)))
@@ -202,7 +203,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     goal = {r["source"]: r["target"] for r in targets.collect()}
     lam = balance(sized, ["source"], {"source": goal}, cap=cap)["source"]
     tilt = docs.sparkSession.createDataFrame(
-        [(s, float(min(cap, math.exp(x)))) for s, x in lam.items()], "s string, rate double")
+        [(s, round(float(min(cap, math.exp(x))), 9)) for s, x in lam.items()], "s string, rate double")
     rated = sized.join(tilt, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumn(
         "rate", F.coalesce("rate", F.lit(0.0)))
     # a rate within rounding of a whole number is that number
