@@ -28,7 +28,7 @@ from .common import written
 ADDED = ("shard", "depth", "doc_bytes", "shard_bytes", "shard_docs", "oversized")
 BITS = 60
 STEP = 10
-LIMIT = 4 << 20
+LIMIT = 64 << 20
 
 
 def address(key: str = "doc_id") -> Column:
