@@ -18,9 +18,13 @@ at or above ``MATCHES`` go on, and each is confirmed on the full shingle sets.
 Hot lists.  No list is expanded into all pairs.  Each class is first compared
 with one partner, the list head that it meets most often; this joins a large
 group of near copies into one component through few heads.  Only classes in
-different components can still add a link, so the second round pairs list
-members across components, block by block inside tasks, and emits only pairs
-that reach ``MATCHES``.
+different components can still add a link.  For these, lists with one head
+are merged into a group (a family of near copies fills many lists with the
+same members), and groups that hold more than one component are compared in
+blocks inside tasks: signatures first, which marks the classes with a partner
+across components, then the marked ones by their full sets.  A task emits
+marks and a spanning set of links, so what leaves it grows with its members,
+not with their pairs.
 
 Nulls, empty texts: empty set, linked with nothing.  Fewer than ``width``
 words: one shingle, the whole sequence.  Repeated rows of one id and text fold
@@ -42,7 +46,8 @@ WIDTH = 5
 PERCENT = 75
 COORDINATES = 64
 MATCHES = 28
-BLOCK = 256
+BLOCK = 2048
+TEXT_BLOCK = 256
 
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH):
@@ -153,45 +158,91 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width, pe
         lambda it: _confirm(it, width, percent), "a long, b long")
 
 
-def _cross_pairs(batches, coordinates, matches):
-    """Rows (token, i, j, side, rep, comp, sig) of one block pair each; emits pairs across components."""
-    import pandas as pd
-
+def _by_block_pair(batches):
+    """Regroup rows sorted by (head, i, j) into one table per block pair, one at a time."""
     held: list[pa.RecordBatch] = []
-
-    def solve(table):
-        frame = table.to_pandas()
-        sig = np.frombuffer(b"".join(frame["sig"]), np.uint32).reshape(-1, coordinates)
-        out_a, out_b = [], []
-        rep, comp = frame["rep"].to_numpy(), frame["comp"].to_numpy()
-        for (_, i, j), rows in frame.groupby(["token", "i", "j"], sort=False).indices.items():
-            side = frame["side"].to_numpy()[rows]
-            left = rows[side == 0]
-            right = rows[side == 1] if i != j else left
-            for x in left:
-                ys = right[(comp[right] != comp[x]) & ((rep[right] > rep[x]) | (i != j))]
-                if len(ys):
-                    ys = ys[(sig[ys] == sig[x]).sum(axis=1) >= matches]
-                    out_a += [min(rep[x], r) for r in rep[ys]]
-                    out_b += [max(rep[x], r) for r in rep[ys]]
-        pairs = pd.DataFrame({"a": out_a, "b": out_b}, dtype="int64").drop_duplicates()
-        return pa.RecordBatch.from_pandas(pairs, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]),
-                                          preserve_index=False)
-
-    # sorted by block pair: carry the last, possibly unfinished block pair over to the next batch
     for batch in batches:
         if not batch.num_rows:
             continue
         keys = np.stack([batch.column(c).to_numpy() for c in range(3)])
-        last = np.flatnonzero((keys != keys[:, -1:]).any(axis=0))
-        cut = int(last[-1]) + 1 if len(last) else 0
-        if cut or not held:
-            if cut:
-                yield solve(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-                held = []
-        held.append(batch.slice(cut))
+        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        if held and tuple(keys[:, 0]) != tuple(held[-1].column(c)[-1].as_py() for c in range(3)):
+            yield pa.Table.from_batches(held)
+            held = []
+        start = 0
+        for cut in cuts:
+            yield pa.Table.from_batches([*held, batch.slice(start, cut - start)])
+            held, start = [], cut
+        held.append(batch.slice(start))
     if held:
-        yield solve(pa.Table.from_batches(held))
+        yield pa.Table.from_batches(held)
+
+
+def _sides(table):
+    """(rep, comp, places on the left, places on the right) of one block pair."""
+    rep, comp, side = (table.column(c).to_numpy() for c in ("rep", "comp", "side"))
+    every = np.arange(len(rep))
+    return rep, comp, every[side == 0], (every[side == 1] if side.any() else every)
+
+
+def _mark(batches, coordinates, matches, percent):
+    """Classes with a partner across components whose signature agrees often enough."""
+    for table in _by_block_pair(batches):
+        rep, comp, left, right = _sides(table)
+        if len(rep) < 2 or (comp == comp[0]).all():
+            continue
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, coordinates)
+        size = table.column("n_shingles").to_numpy()
+        marked = np.zeros(len(rep), bool)
+        for x in left:
+            ys = right[(comp[right] != comp[x]) & (100 * np.minimum(size[right], size[x]) >= percent * np.maximum(size[right], size[x]))]
+            ys = ys[(sig[ys] == sig[x]).sum(axis=1) >= matches]
+            if len(ys):
+                marked[x] = True
+                marked[ys] = True
+        keep = pa.array(marked)
+        yield pa.RecordBatch.from_arrays([table.column(c).combine_chunks().filter(keep) for c in ("head", "rep", "comp")],
+                                         names=["head", "rep", "comp"])
+
+
+def _link(batches, width, percent):
+    """A spanning set of the exact links across components within each block pair."""
+    for table in _by_block_pair(batches):
+        rep, comp, left, right = _sides(table)
+        comp = comp.copy()
+        sets = [u[at[i]:at[i + 1]] for _, u, at in shingle_sets(table.column("text"), width) for i in range(len(at) - 1)]
+        size = np.array([len(x) for x in sets])
+        left, right = left[size[left] > 0], right[size[right] > 0]
+        if not len(left) or not len(right):
+            continue
+        _, code = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum(size) - size
+        found = []
+        right_codes = np.concatenate([code[starts[y]:starts[y] + size[y]] for y in right])
+        right_starts = np.cumsum(size[right]) - size[right]
+        mark = np.zeros(int(code.max()) + 1, np.int64)
+        for x in left:
+            own = code[starts[x]:starts[x] + size[x]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[right_codes], right_starts)
+            mark[own] = 0
+            for k in np.flatnonzero((100 * both >= percent * (size[x] + size[right] - both)) & (comp[right] != comp[x])):
+                y = right[k]
+                if comp[y] != comp[x]:
+                    found.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+                    comp[comp == comp[y]] = comp[x]
+        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+
+def _in_blocks(members: DataFrame, block: int) -> DataFrame:
+    """(head, i, j, side, rep, comp): every pair of ``block``-sized parts of each group meets once."""
+    counts = members.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"),
+                                         F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    dealt = members.join(counts.select("head", "blocks"), "head").withColumn(
+        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "head", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "comp")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
@@ -225,23 +276,18 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     linked = written(_confirmed(first, classes, texts, width, percent, coordinates, matches), "linked")
     comps = components(linked)
 
-    # across components: only lists that still hold more than one
-    placed = prefix.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "token", "rep", F.coalesce("component", "rep").alias("comp"))
-    placed = written(placed, "placed")
-    open_lists = placed.groupBy("token").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    members = placed.join(open_lists.select("token", blocks.alias("blocks")), "token").withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    spread = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "comp")
-    crossing = spread.join(classes.select("rep", "sig"), "rep").select(
-        "token", "i", "j", "side", "rep", "comp", "sig") \
-        .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j") \
-        .mapInArrow(lambda it: _cross_pairs(it, coordinates, matches), "a long, b long").distinct()
-    more = _confirmed(crossing, classes, texts, width, percent, coordinates, matches)
+    # across components: groups of lists with one head that still hold more than one
+    lists = prefix.join(heads.select("token", F.col("a").alias("head")), "token").select("head", "rep").distinct()
+    placed = written(lists.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "head", "rep", F.coalesce("component", "rep").alias("comp")), "placed")
+    marked = written(_in_blocks(placed, BLOCK).join(classes.select("rep", "sig", "n_shingles"), "rep").select(
+        "head", "i", "j", "side", "rep", "comp", "sig", "n_shingles")
+        .repartition("head", "i", "j").sortWithinPartitions("head", "i", "j")
+        .mapInArrow(lambda it: _mark(it, coordinates, matches, percent), "head long, rep long, comp long")
+        .distinct(), "marked")
+    more = _in_blocks(marked, TEXT_BLOCK).join(texts, "rep").select(
+        "head", "i", "j", "side", "rep", "comp", "text").repartition("head", "i", "j").sortWithinPartitions(
+        "head", "i", "j").mapInArrow(lambda it: _link(it, width, percent), "a long, b long")
     merged = components(linked.unionAll(more))
 
     by_class = classes.select("d1", "d2", "n_shingles", "rep").join(
