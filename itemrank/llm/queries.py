@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, license_scan, lm_score, minhash_dedup, mixing, quality_rules, sharding, substring_dedup,
-               token_counts, warc_revisits)
+from . import (decontaminate, license_scan, lm_score, minhash_dedup, mixing, oracle, quality_rules, sharding,
+               substring_dedup, token_counts, warc_revisits)
 from .common import table
 
 
@@ -65,4 +65,4 @@ QUERIES = {
     "op10_warc_revisits": op10_warc_revisits,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(oracle.SQL)
