@@ -7,6 +7,7 @@ expression evaluator on the JVM — no Python UDFs.
 
 from __future__ import annotations
 
+import unicodedata
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -76,7 +77,8 @@ def sort_tokens(s: Column) -> Column:
 def lcs_length(a: Column, b: Column) -> Column:
     """Length of the longest common subsequence of two strings.
 
-    Classic dynamic programme expressed with nested ``aggregate``: the outer
+    For two columns (a constant goes through ``lcs_length_const``).  Classic
+    dynamic programme expressed with nested ``aggregate``: the outer
     fold walks the characters of ``a`` carrying the previous DP row; the inner
     fold builds the next row left to right over ``b``.
     """
@@ -98,47 +100,61 @@ def lcs_length(a: Column, b: Column) -> Column:
 
 def sort_tokens_py(s: str) -> str:
     """The same normalisation as ``sort_tokens`` for a constant query string."""
-    import regex
+    kept = "".join(c if unicodedata.category(c)[0] in "LN" else " " for c in s.lower())
+    return " ".join(sorted(t for t in kept.split(" ") if t))
 
-    return " ".join(sorted(t for t in regex.sub(NON_ALNUM, " ", s.lower()).split(" ") if t))
 
-
-BIT_PARALLEL_MAX = 62  # query length that fits a signed 64-bit word without overflow
+WORD_BITS = 62  # bits of a signed 64-bit word that leave room for a sum's carry
 
 
 def lcs_length_const(a: Column, b: str) -> Column:
-    """LCS length of a column against a constant string, bit-parallel.
+    """LCS length of a column against a constant string of any length, bit-parallel.
 
-    Classic bit-vector LCS: one bit per character of ``b``; for each character
-    of ``a``: U = V & match[c]; V = (V + U) | (V - U).  LCS = |b| - popcount(V).
-    One fold step is a handful of 64-bit operations, no arrays are built.
-    Requires ``len(b) <= 62`` so ``V + U`` cannot overflow.
+    Classic bit-vector LCS: one bit per character of ``b``, in words of
+    ``WORD_BITS``; for each character of ``a``, from the lowest word up:
+    U = V & match[c]; sum = V + U + carry; V = sum | (V - U).  LCS is the
+    number of cleared bits.  One fold step is a handful of 64-bit operations a word.
     """
     n = len(b)
     if n == 0:
         return F.lit(0)
-    masks: dict[str, int] = {}
-    for j, ch in enumerate(b):
-        masks[ch] = masks.get(ch, 0) | (1 << j)
-    match = F.create_map(*[x for ch, bits in masks.items() for x in (F.lit(ch), F.lit(bits))])
-    full = F.lit((1 << n) - 1)
+    words = [b[i:i + WORD_BITS] for i in range(0, n, WORD_BITS)]
+    full = [(1 << len(w)) - 1 for w in words]
+    masks: dict[str, list[int]] = {}
+    for i, w in enumerate(words):
+        for j, ch in enumerate(w):
+            masks.setdefault(ch, [0] * len(words))[i] |= 1 << j
+    match = F.create_map(*[x for ch, bits in masks.items() for x in (F.lit(ch), F.array(*[F.lit(m) for m in bits]))])
+    none = F.array(*[F.lit(0).cast("long") for _ in words])
 
     def step(v: Column, ca: Column) -> Column:
-        u = v.bitwiseAND(F.coalesce(F.try_element_at(match, ca), F.lit(0)))
-        return ((v + u).bitwiseOR(v - u)).bitwiseAND(full)
+        row = F.coalesce(F.try_element_at(match, ca), none)
+
+        def word(acc: Column, i: Column) -> Column:
+            # acc: new words so far and the carry into the next one
+            old, top = v[i], F.array(*[F.lit(f) for f in full])[i]
+            u = old.bitwiseAND(row[i])
+            total = old + u + acc["carry"]
+            new = total.bitwiseOR(old - u).bitwiseAND(top)
+            carry = F.when(total > top, F.lit(1)).otherwise(F.lit(0)).cast("long")
+            return F.struct(F.concat(acc["words"], F.array(new)).alias("words"), carry.alias("carry"))
+
+        if len(words) == 1:  # the same step without the inner fold
+            u = v[0].bitwiseAND(row[0])
+            return F.array((v[0] + u).bitwiseOR(v[0] - u).bitwiseAND(F.lit(full[0])))
+        start = F.struct(F.array().cast("array<bigint>").alias("words"), F.lit(0).cast("long").alias("carry"))
+        return F.aggregate(F.array(*[F.lit(i) for i in range(len(words))]), start, word, lambda acc: acc["words"])
 
-    last = F.aggregate(F.split(a, ""), full, step)
-    return F.when(F.length(a) == 0, F.lit(0)).otherwise(F.lit(n) - F.bit_count(last))
+    last = F.aggregate(F.split(a, ""), F.array(*[F.lit(f).cast("long") for f in full]), step)
+    left = F.aggregate(last, F.lit(0), lambda acc, x: acc + F.bit_count(x))
+    return F.when(F.length(a) == 0, F.lit(0)).otherwise(F.lit(n) - left)
 
 
 def token_sort_score(title: Column, query: str) -> Column:
     """round(100 * 2*LCS / (|a|+|b|)) over token-sorted strings; 0 if either is empty."""
     a = sort_tokens(title)
     b_text = sort_tokens_py(query)
-    if len(b_text) <= BIT_PARALLEL_MAX:
-        lcs = lcs_length_const(a, b_text)
-    else:
-        lcs = lcs_length(a, F.lit(b_text))
+    lcs = lcs_length_const(a, b_text)
     total = F.length(a) + F.lit(len(b_text))
     return F.when(total == 0, F.lit(0)).otherwise(
         F.round(F.lit(200.0) * lcs / total, 0).cast("int"))

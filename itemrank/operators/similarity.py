@@ -193,11 +193,13 @@ def ann_neighbors(latest: DataFrame, k: int = 5, tables: int = 2, bits: int = 1,
 def dense_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """Dense array column -> long sparse form (item_id, key=position, weight).
 
-    ``posexplode`` is row-local (no shuffle); exact zeros are dropped.
+    ``posexplode`` is row-local (no shuffle); exact zeros are dropped, except at
+    the first position, where the cell marks the item's presence: an all-zero
+    vector is a query and a candidate like any other.
     """
     return (df.select(F.col(id_col).cast("long").alias("item_id"),
                       F.posexplode(vec_col).alias("key", "weight"))
-            .where(F.col("weight") != 0)
+            .where((F.col("weight") != 0) | (F.col("key") == 0))
             .select("item_id", F.col("key").cast("long").alias("key"),
                     F.col("weight").cast("double").alias("weight")))
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate, merge, prep, recommend, search, similarity, stats, validate
 from ..streaming import ingest, refresh
 from ..session import scratch_path
-from ..sources import files, store
+from ..sources import files, fixtures, store
 from . import params as P
 from .tables import Tables
 
@@ -97,7 +97,7 @@ def rating_matrix_slice(spark, sf_dir):
 
 @register("normalized_ratings")
 def normalized_ratings(spark, sf_dir):
-    n = prep.normalized_ratings(Tables(spark, sf_dir).latest)
+    n = prep.normalized_ratings(Tables(spark, sf_dir, materialize=True).latest)
     return n.select("movie_id", "user_id", "rating", _r("z"), _r("w"))
 
 
@@ -169,7 +169,11 @@ def genre_recommendations_by_count(spark, sf_dir):
 def system_status(spark, sf_dir):
     t = Tables(spark, sf_dir)
     pending = validate.valid_new_ratings(t.rating_events, t.movies)
-    return stats.system_status(t.ratings, t.movies, queue=pending)
+    # lists of the active users stand in the cache; the last update was at the fixed clock
+    active = stats.active_users(t.ratings, P.MIN_RATINGS)
+    cache = recommend.build_cache(recommend.user_top_rated(t.latest, P.SEEDS).join(active, "user_id", "left_semi")
+                                  .withColumnRenamed("seed_rank", "rank"), P.SEEDS, F.lit(P.CACHE_NOW))
+    return stats.system_status(t.ratings, t.movies, cache=cache, queue=pending, last_update=str(P.CACHE_NOW))
 
 
 # --- search --------------------------------------------------------------------
@@ -204,7 +208,7 @@ def content_neighbors(spark, sf_dir):
 
 @register("cf_neighbors")
 def cf_neighbors(spark, sf_dir):
-    return similarity.cf_neighbors(Tables(spark, sf_dir).latest, P.NEIGHBORS)
+    return similarity.cf_neighbors(Tables(spark, sf_dir, materialize=True).latest, P.NEIGHBORS)
 
 
 @register("similar_items")
@@ -296,7 +300,7 @@ def _eval_inputs(spark, sf_dir):
 @register("eval_folds")
 def eval_folds(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    active = stats.active_users(t.ratings, P.MIN_RATINGS).select("user_id")
+    active = stats.active_users(t.ratings, P.MIN_RATINGS).select("user_id").checkpoint(eager=True)
     return evaluate.assign_folds(active, P.EVAL_FOLDS, P.FOLD_SALT)
 
 
@@ -386,11 +390,86 @@ def stream_refresh_popularity(spark, sf_dir):
 def stream_progress(spark, sf_dir):
     t = Tables(spark, sf_dir)
     res = ingest.run_ingest(spark, sf_dir, t.movies)
-    # durations are wall-clock, so the registered query keeps the
+    # times are wall-clock, so the registered query keeps the
     # deterministic part: which batch read how many events
-    return ingest.progress_table(spark, res.progress, timings=False)
+    return res.progress(spark).select("batch_id", "num_input_rows")
+
+
+
+def _split_events(spark, sf_dir):
+    """The event table as ``P.STREAM_FILES`` files, so that a stream of one file a trigger runs as many batches."""
+    path = scratch_path(spark, "split-events")
+    fixtures.table(spark, sf_dir, "events").repartition(P.STREAM_FILES, "event_id").write.option(
+        "maxRecordsPerFile", 0).parquet(path)
+    return ingest.event_stream(spark, path, max_files=1, pattern="*.parquet")
+
+
+@register("stream_batches")
+def stream_batches(spark, sf_dir):
+    """ST2 + ST5 over several micro-batches: how many ran, what they read and accepted."""
+    res = ingest.run_ingest(spark, sf_dir, Tables(spark, sf_dir).movies, raw_events=_split_events(spark, sf_dir))
+    return res.progress(spark).agg(F.count(F.lit(1)).alias("batches"), F.sum("num_input_rows").alias("input_rows"),
+                                   F.sum("num_valid_rows").alias("valid_rows"))
+
+
+@register("stream_merge_batches")
+def stream_merge_batches(spark, sf_dir):
+    """ST3 over several micro-batches: the latest matrix of base ratings and log."""
+    t = Tables(spark, sf_dir)
+    res = ingest.run_ingest(spark, sf_dir, t.movies, raw_events=_split_events(spark, sf_dir))
+    return ingest.merged_latest(t.ratings, res.valid(spark))
+
+
+@register("stream_popularity_batches")
+def stream_popularity_batches(spark, sf_dir):
+    """ST4 over several micro-batches: running statistics in the state store."""
+    t = Tables(spark, sf_dir)
+    path = ingest.run_popularity_state(spark, sf_dir, t.movies, raw_events=_split_events(spark, sf_dir))
+    pop = ingest.refreshed_popularity(t.ratings, ingest.stream_stats(spark.read.parquet(path)))
+    return pop.select("movie_id", "rating_count", _r("rating_mean"), "last_rated", _r("popularity_score"))
 
 
+@register("stream_model_tail")
+def stream_model_tail(spark, sf_dir):
+    """ST4: a model published every third batch and at the end holds the batches after the last third."""
+    t = Tables(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    refresh.run_with_refresh(spark, sf_dir, t.ratings, t.movies, path, 3, None, raw_events=_split_events(spark, sf_dir))
+    return store.load_model(spark, path)["matrix"].select("movie_id", "user_id", "rating")
+
+
+@register("stamp_new_ratings")
+def stamp_new_ratings(spark, sf_dir):
+    """P10: events submitted without a time (odd ids) are stamped with the fixed clock."""
+    e = Tables(spark, sf_dir).rating_events
+    sent = e.withColumn("timestamp", F.when(F.col("event_id") % 2 == 0, F.col("timestamp"))).withColumn(
+        "rating", F.col("rating").cast("string"))
+    return validate.stamp_ratings(sent, P.CACHE_NOW).select("event_id", "user_id", "movie_id", _r("rating"), "timestamp")
+
+
+@register("cache_second_call")
+def cache_second_call(spark, sf_dir):
+    """The first call fills the stored cache, the second one, a minute later, is served from it."""
+    t = Tables(spark, sf_dir, materialize=True)
+    sim, path = _similar(t).checkpoint(eager=True), scratch_path(spark, "rec-cache")
+    popular = recommend.popular_list(t.ratings, P.REC_N)
+    for now in (P.CACHE_NOW, P.CACHE_NOW + 60):
+        out = recommend.recommend_through_cache(spark, path, t.latest, sim, t.users, popular, now,
+                                                P.CACHE_TTL_SECONDS, P.REC_N, model_version="1")
+    return out
+
+
+@register("model_recommendations")
+def model_recommendations(spark, sf_dir):
+    """S4 + S5 + R4: lists served from the saved tables alone."""
+    t = Tables(spark, sf_dir, materialize=True)
+    path = scratch_path(spark, "model")
+    store.save_model(spark, path, {
+        "matrix": t.latest, "similar": _similar(t),
+        "popularity": stats.popularity_scores(t.ratings).select("movie_id", "popularity_score")})
+    model = store.load_model(spark, path)
+    return recommend.user_recommendations(model["matrix"], model["similar"], P.REC_N, P.SEEDS)
+
 
 @register("stream_model_refresh")
 def stream_model_refresh(spark, sf_dir):
@@ -423,7 +502,7 @@ def search_advanced(spark, sf_dir):
 @register("model_roundtrip")
 def model_roundtrip(spark, sf_dir):
     """S4 + S5: save the model tables, load the newest version, return the matrix cells."""
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, materialize=True)
     feats = prep.normalized_ratings(t.latest)
     path = scratch_path(spark, "model")
     store.save_model(spark, path, {

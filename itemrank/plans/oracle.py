@@ -14,8 +14,7 @@ ratings AS (
   SELECT o_custkey AS user_id, l_partkey AS movie_id,
          CAST((CAST(l_quantity AS INT) - 1) % 10 + 1 AS DOUBLE) * CAST(0.5 AS DOUBLE) AS rating,
          CAST(epoch(l_shipdate) AS BIGINT) AS timestamp
-  FROM orders JOIN lineitem ON o_orderkey = l_orderkey
-  WHERE l_partkey % 40 <> 7 AND o_custkey % 50 <> 3),
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
 movies_raw AS (
   SELECT p_partkey AS movie_id,
          CASE WHEN p_partkey % 50 = 0 THEN p_name
@@ -23,7 +22,9 @@ movies_raw AS (
          CASE WHEN p_partkey % 3 = 0 THEN concat(p_type, '|', replace(p_brand, '#', ''), '|', split_part(p_name, ' ', 1))
               WHEN p_partkey % 3 = 1 THEN concat(p_type, '|', replace(p_brand, '#', ''))
               ELSE p_type END AS genres
-  FROM part),
+  FROM part
+  UNION ALL
+  SELECT 1000000000000 + s_suppkey, concat(s_name, ' (1999)'), 'SUPPLIED' FROM supplier),
 movies AS (
   SELECT movie_id, title, string_split(genres, '|') AS genres,
          CAST(nullif(regexp_extract(title, '\((\d{4})\)', 1), '') AS DOUBLE) AS year,
@@ -33,7 +34,8 @@ users AS (
   SELECT c_custkey AS user_id, CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
          CAST(18 + c_custkey % 50 AS INT) AS age, CAST(c_nationkey % 21 AS INT) AS occupation,
          CAST(10000 + c_custkey % 90000 AS VARCHAR) AS zip_code
-  FROM customer),
+  FROM (SELECT c_custkey, c_nationkey FROM customer
+        UNION ALL SELECT 1000000000000 + s_suppkey, s_nationkey FROM supplier)),
 rating_events AS (
   SELECT event_id, user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) * 25 AS movie_id,
          value / 10 AS rating, CAST(floor(epoch(ts)) AS BIGINT) AS timestamp
@@ -140,7 +142,8 @@ SELECT (SELECT count(*) FROM ratings) AS total_ratings,
            AND e.timestamp IS NOT NULL AND NOT isnan(e.rating)
            AND e.rating BETWEEN {P.RATING_MIN} AND {P.RATING_MAX}
            AND e.movie_id IN (SELECT movie_id FROM movies)) AS batch_queue_size,
-       'Not yet updated' AS last_update_time""")
+       (SELECT count(*) FROM (SELECT user_id FROM ratings GROUP BY user_id HAVING count(*) >= {P.MIN_RATINGS})) AS cache_size,
+       false AS is_updating, '{P.CACHE_NOW}' AS last_update_time""")
 
 
 # --- similarity -----------------------------------------------------------------
@@ -336,12 +339,12 @@ FROM summary""")
 CHECK_CTES = f"""
 , checked AS (
   SELECT event_id, user_id, movie_id, rating, timestamp,
-         CASE WHEN user_id IS NULL THEN 'missing user_id'
-              WHEN movie_id IS NULL THEN 'missing movie_id'
-              WHEN rating IS NULL THEN 'missing rating'
-              WHEN timestamp IS NULL THEN 'missing timestamp'
-              WHEN isnan(rating) THEN 'rating must be numeric'
-              WHEN NOT (rating BETWEEN {P.RATING_MIN} AND {P.RATING_MAX}) THEN 'rating out of range' END AS reject_reason
+         CASE WHEN user_id IS NULL THEN 'no_user_id'
+              WHEN movie_id IS NULL THEN 'no_movie_id'
+              WHEN rating IS NULL THEN 'no_rating'
+              WHEN timestamp IS NULL THEN 'no_timestamp'
+              WHEN isnan(rating) THEN 'rating_not_a_number'
+              WHEN NOT (rating BETWEEN {P.RATING_MIN} AND {P.RATING_MAX}) THEN 'rating_outside_scale' END AS reject_reason
   FROM rating_events)
 , valid AS (SELECT event_id, user_id, movie_id, rating, timestamp FROM checked WHERE reject_reason IS NULL)
 , valid_new AS (SELECT * FROM valid WHERE movie_id IN (SELECT movie_id FROM movies))
@@ -417,6 +420,24 @@ SELECT l.movie_id, l.user_id, l.rating, round(l.rating / s.sd, 6) AS w
 FROM latest l JOIN scale s USING (user_id)""")
 
 
+SQL["stream_batches"] = q(CHECK_CTES + f"""
+SELECT {P.STREAM_FILES}::BIGINT AS batches, (SELECT count(*) FROM events) AS input_rows,
+       (SELECT count(*) FROM valid_new) AS valid_rows""")
+SQL["stream_merge_batches"] = SQL["merge_ratings_latest"]
+SQL["stream_popularity_batches"] = SQL["stream_refresh_popularity"]
+SQL["stream_model_tail"] = q(CHECK_CTES + "\nSELECT movie_id, user_id, rating FROM merged_latest")
+SQL["stamp_new_ratings"] = q(f"""
+SELECT event_id, user_id, movie_id, round(rating, 6) AS rating,
+       CASE WHEN event_id % 2 = 0 THEN timestamp ELSE {P.CACHE_NOW} END AS timestamp
+FROM rating_events""")
+SQL["model_recommendations"] = SQL["user_recommendations"]
+SQL["cache_second_call"] = q(REC_CTES + popular_cte("poplist", P.REC_N) + """
+SELECT user_id, rank, movie_id, true AS from_cache FROM urecs
+UNION ALL
+SELECT u.user_id, p.rank, p.movie_id, true FROM users u CROSS JOIN poplist p
+WHERE u.user_id NOT IN (SELECT user_id FROM ratings)""")
+
+
 # One file source, availableNow, no per-trigger cap: every event arrives in batch 0.
 SQL["stream_progress"] = "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS num_input_rows FROM events"
 

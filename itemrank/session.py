@@ -9,6 +9,7 @@ cut with ``DataFrame.checkpoint()`` into the shared folder the cluster names in
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -68,8 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Unset: this is a local run (tests / bench).  Never reached on a cluster
-        # that names its shared checkpoint folder.
+        # Unset is only right for a local run (tests, bench): elsewhere a folder
+        # of one machine would be lost to the others.
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="itemrank-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

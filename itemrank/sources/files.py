@@ -2,12 +2,16 @@
 
 The CSV reader splits lines in parallel across file splits and accepts a
 multi-character separator; schemas are explicit so nothing is inferred.  The
-movie file is latin-1 encoded.
+format knows no quoting: quotes are part of the text.  The movie file is
+latin-1 encoded.  A line whose typed fields don't parse is no row of the
+table; ``corrupt_lines`` returns such lines.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 
@@ -16,15 +20,30 @@ SEP = "::"
 MOVIES_ENCODING = "ISO-8859-1"
 
 
-def _read(spark: SparkSession, path: str, schema, encoding: str = "UTF-8") -> DataFrame:
-    return (spark.read.schema(schema)
-            .option("sep", SEP)
-            .option("header", "false")
-            .option("encoding", encoding)
-            .option("mode", "PERMISSIVE")
+_CORRUPT = "_corrupt_line"
+
+
+def _lines(spark: SparkSession, path: str, schema, encoding: str) -> DataFrame:
+    """All lines; ``_corrupt_line`` is null for those that parse (whole lines are parsed, whatever is selected)."""
+    full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    return (spark.read.schema(full)
+            .option("sep", SEP).option("header", "false").option("encoding", encoding)
+            .option("quote", "").option("escape", "")
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
+            .option("columnPruning", "false")
             .csv(path))
 
 
+def _read(spark: SparkSession, path: str, schema, encoding: str = "UTF-8") -> DataFrame:
+    return _lines(spark, path, schema, encoding).where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+
+
+def corrupt_lines(spark: SparkSession, path: str, schema, encoding: str = "UTF-8") -> DataFrame:
+    """(line): what the reader of ``schema`` leaves out."""
+    found = _lines(spark, path, schema, encoding).where(F.col(_CORRUPT).isNotNull())
+    return found.select(F.col(_CORRUPT).alias("line"), F.col(schema.fieldNames()[0]).alias("_first")).drop("_first")
+
+
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, schemas.RATINGS)
 
@@ -40,6 +59,8 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
 def write_dat(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """Write a table back in the `::` layout (used to round-trip the readers)."""
     (df.write.mode("overwrite").option("sep", SEP).option("header", "false")
+     .option("quote", "").option("escape", "").option("escapeQuotes", "false")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .option("encoding", encoding).csv(path))
 
 

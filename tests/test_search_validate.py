@@ -51,10 +51,10 @@ def test_validation_rejects_like_reference(spark):
         "event_id long, user_id string, movie_id string, rating string, timestamp string")
     checked = {r.event_id: r.reject_reason for r in validate.with_reject_reason(ev).collect()}
     assert checked[1] is None
-    assert checked[2] == "rating out of range"
-    assert checked[3] == "rating must be numeric"
-    assert checked[4] == "missing movie_id"
-    assert checked[5] == "rating must be numeric"
+    assert checked[2] == "rating_outside_scale"
+    assert checked[3] == "rating_not_a_number"
+    assert checked[4] == "no_movie_id"
+    assert checked[5] == "rating_not_a_number"
     assert [r.event_id for r in validate.valid_ratings(ev).collect()] == [1]
 
 
