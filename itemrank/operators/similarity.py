@@ -37,8 +37,10 @@ def cf_neighbors(latest: DataFrame, k: int = 5, n_blocks: int | None = None,
 
 
 def content_vectors(movies: DataFrame, stop_words: bool = True) -> DataFrame:
+    """TF-IDF item vectors keyed by a 64-bit hash of the term: the kernel replicates every
+    non-zero, and a long is a fraction of the term's text."""
     tf = prep.tfidf_vectors(movies, stop_words)
-    return tf.select(F.col("movie_id").alias("item_id"), F.col("term").alias("key"), "weight")
+    return tf.select(F.col("movie_id").alias("item_id"), F.xxhash64("term").alias("key"), "weight")
 
 
 def content_neighbors(movies: DataFrame, k: int = 5, stop_words: bool = True,
