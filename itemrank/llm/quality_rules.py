@@ -168,6 +168,8 @@ def learn(labelled: DataFrame, bins: int = 64, max_rules: int = 8, max_condition
     rows = written(with_ratios(labelled).select(
         "bad", (F.pmod(F.xxhash64("doc_id"), F.lit(3)) < 2).alias("grow"), *[f"r_{s}" for s in RATIOS]), "labelled")
     cuts = _thresholds(rows, bins)
+    if not any(cuts.values()):  # no labelled rows
+        return DecisionList(())
     rules: list[tuple[Condition, ...]] = []
     left = rows
     for _ in range(max_rules):
@@ -175,8 +177,7 @@ def learn(labelled: DataFrame, bins: int = 64, max_rules: int = 8, max_condition
         rule: list[Condition] = []
         for _ in range(max_conditions):
             hist = _histogram(grow.where(_where(rule)), cuts)
-            totals = [sum(x[i] for x in next(iter(hist.values()), {}).values()) for i in (0, 1)]
-            totals = max(([sum(x[i] for x in h.values()) for i in (0, 1)] for h in hist.values()), default=totals)
+            totals = max([sum(x[i] for x in h.values()) for i in (0, 1)] for h in hist.values())
             if totals[0] < min_cover or not totals[1]:
                 break
             _, condition = _best_condition(hist, cuts, *totals)
