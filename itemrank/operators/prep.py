@@ -118,6 +118,16 @@ def normalized_ratings(latest: DataFrame) -> DataFrame:
                     (F.col("rating") / F.col("sd")).alias("w")))
 
 
+def rating_matrix_blocks(latest: DataFrame, block: int = 256) -> DataFrame:
+    """A6 for all users: (movie_id, user_block, cells), the rated cells of ``block`` user columns a row.
+
+    A row of the wide matrix is cut into blocks of user ids, so no row or group
+    grows with the number of users; cells that are not listed are 0.
+    """
+    return latest.groupBy("movie_id", F.expr(f"user_id div {block}").alias("user_block")).agg(
+        F.array_sort(F.collect_list(F.struct("user_id", "rating"))).alias("cells"))
+
+
 def rating_matrix_slice(latest: DataFrame, user_ids: list[int]) -> DataFrame:
     """A6 for a bounded list of user columns: movies x users, 0 fill."""
     cols = [int(u) for u in user_ids]

@@ -95,6 +95,14 @@ def rating_matrix_slice(spark, sf_dir):
     return prep.rating_matrix_slice(Tables(spark, sf_dir).latest, P.SLICE_USERS)
 
 
+@register("rating_matrix")
+def rating_matrix(spark, sf_dir):
+    """A6, whole: every user's cells, in blocks of user columns."""
+    blocks = prep.rating_matrix_blocks(Tables(spark, sf_dir).latest, P.MATRIX_BLOCK)
+    return blocks.withColumn("cells", F.array_join(F.transform("cells", lambda c: F.concat(
+        c["user_id"].cast("string"), F.lit(":"), c["rating"].cast("string"))), ","))
+
+
 @register("normalized_ratings")
 def normalized_ratings(spark, sf_dir):
     n = prep.normalized_ratings(Tables(spark, sf_dir, materialize=True).latest)

@@ -114,6 +114,10 @@ SQL["rating_matrix_slice"] = q(
     "SELECT movie_id, " + ", ".join(
         f"CAST(coalesce(max(CASE WHEN user_id = {u} THEN rating END), 0) AS DOUBLE) AS u{u}"
         for u in P.SLICE_USERS) + " FROM latest GROUP BY movie_id")
+SQL["rating_matrix"] = q(f"""
+SELECT movie_id, user_id // {P.MATRIX_BLOCK} AS user_block,
+       string_agg(user_id || ':' || rating, ',' ORDER BY user_id) AS cells
+FROM latest GROUP BY ALL""")
 SQL["normalized_ratings"] = q("""
 , scale AS (
   SELECT user_id, s1 / m AS mean,

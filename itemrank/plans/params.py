@@ -22,6 +22,7 @@ FOLD_SALT = "42"
 SLICE_USERS = [0, 1, 2, 4, 5]
 RATING_MIN, RATING_MAX = 0.5, 5.0
 CACHE_TTL_SECONDS = 30 * 60
+MATRIX_BLOCK = 256
 STREAM_FILES = 4
 # Fixed clock for the cache query: 2024-06-01T00:00:00Z.
 CACHE_NOW = 1717200000
