@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from .textops import alphanumeric, ngram_hashes, text_chunks
 
 BITS = 16
-SAMPLE = 3000
+SAMPLE = 2000
+SAMPLE_WORDS = 60
 CONFIRM = 0.8
 UNKNOWN = "unknown"
 
@@ -141,7 +142,7 @@ def _training_rows(corpus: list[str], classes: list[str], rng) -> tuple[list[str
     return texts, np.array(labels)
 
 
-def train(corpus: list[str], seed: int = 7, rounds: int = 200, l1: float = 2e-5) -> LicenseModel:
+def train(corpus: list[str], seed: int = 7, rounds: int = 120, l1: float = 2e-5) -> LicenseModel:
     """Fit on template variants and corpus paragraphs (those that hold a whole template's pairs are left out)."""
     rng = np.random.default_rng(seed)
     classes = [UNKNOWN, *sorted(TEMPLATES)]
@@ -194,11 +195,14 @@ def train(corpus: list[str], seed: int = 7, rounds: int = 200, l1: float = 2e-5)
 
 
 def sample_paragraphs(docs: DataFrame, sample: int = SAMPLE) -> list[str]:
-    """At most ``sample`` corpus paragraphs, one a document, from documents in hash order of their id."""
+    """At most ``sample`` corpus paragraphs of at most ``SAMPLE_WORDS`` words, one a document, in hash order of the id.
+
+    Only training reads this sample; scoring reads every paragraph whole.
+    """
     rows = docs.where("length(text) > 0").select("doc_id", F.element_at(F.filter(
         F.split("text", "\n"), lambda x: F.length(F.trim(x)) > 0), -1).alias("p"))
     some = rows.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "p").limit(sample).collect()
-    return sorted(r["p"][:2000] for r in some if r["p"])
+    return sorted(" ".join(r["p"].split()[:SAMPLE_WORDS]) for r in some if r["p"])
 
 
 def _scan(batches, shared, confirm):
