@@ -43,9 +43,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice."""
     copies = mixing.mix(docs).groupBy(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source")).agg(
         F.max("copies").alias("m_copies")).where("m_copies > 0")
-    both = docs.join(copies, docs["doc_id"].eqNullSafe(copies["m_id"]) & docs["source"].eqNullSafe(copies["m_source"]))
-    return both.withColumn("m_copy", F.explode(F.sequence(F.lit(1), F.col("m_copies").cast("int")))).select(
-        *[docs[c] for c in docs.columns])
+    rows = docs.select(F.struct(*docs.columns).alias("row"))  # whatever other columns are called
+    both = rows.join(copies, F.col("row.doc_id").eqNullSafe(F.col("m_id")) &
+                     F.col("row.source").eqNullSafe(F.col("m_source")))
+    return both.select("row", F.explode(F.sequence(F.lit(1), F.col("m_copies").cast("int")))).select("row.*")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

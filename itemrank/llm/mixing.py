@@ -3,7 +3,7 @@
 Each source gets a token target.  Entropy balancing finds the document rates
 closest to 1 (in relative entropy, weighted by size) that meet the targets.
 Its convex dual has one multiplier per source, the rates are the exponential
-tilt ``min(cap, exp(lambda))``, and each Newton iteration needs the tokens of
+tilt ``min(cap, exp(lambda))``, and Newton's iterations need the tokens of
 every source, one aggregate over all documents (added up on the map side, so a
 hot source is no hot group).  With several ``margins`` (for example
 source and language) the rate is ``exp`` of the sum of a document's
@@ -72,13 +72,37 @@ def source_targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, share:
         .otherwise(F.col("limit")).alias("target"))
 
 
+def rates(targets: DataFrame, cap: float = CAP, tolerance: float = 1e-9, rounds: int = 60) -> DataFrame:
+    """(source, source_size, target, rate): Newton's method on the dual, all sources at once as one table.
+
+    The dual of one margin falls apart into one multiplier per source:
+    gradient ``size * rate - target``, second derivative ``size * rate``.  Each
+    iteration writes the table of multipliers; only whether a source is still
+    off its target reaches the driver, so the number of sources is not bounded by it.
+    """
+    state = targets.select("source", "source_size", "target", F.lit(0.0).alias("lam"))
+    rate = F.least(F.exp("lam"), F.lit(float(cap)))
+    gradient = F.col("source_size") * rate - F.col("target")
+    off = F.abs(gradient) > tolerance * F.greatest(F.col("target"), F.lit(1.0))
+    # at the cap a source that still lacks tokens can get no more
+    off = off & ~((rate >= cap) & (gradient < 0))
+    step = F.greatest(F.lit(-2.0), F.least(F.lit(2.0), -gradient / (F.col("source_size") * rate)))
+    for _ in range(rounds):
+        if not state.where(off).limit(1).count():
+            break
+        state = written(state.withColumn("lam", F.when(
+            off, F.least(F.col("lam") + step, F.lit(math.log(cap)))).otherwise(F.col("lam"))), "multipliers")
+    return state.select("source", "source_size", "target", F.round(rate, 9).alias("rate"))
+
+
 def balance(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, Mapping], size: str = "size",
             cap: float = CAP, tolerance: float = 1e-9, rounds: int = 60) -> dict[str, dict]:
-    """Multipliers per margin and group, by Newton's method on the dual.
+    """Multipliers per margin and group, by Newton's method on the dual, for several margins at once.
 
     ``cells`` has the margin columns and ``size``; ``targets[margin][group]``
     are tokens.  Each iteration evaluates rates, slopes and areas of every
-    combination of groups in Spark; the driver sees one row per combination.
+    combination of groups in Spark; the driver sees one row per combination
+    and solves the step, so the margins together must have few groups (thousands).
     """
     names = [(m, g) for m in margins for g in targets[m]]
     place = {k: i for i, k in enumerate(names)}
@@ -120,7 +144,7 @@ def balance(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, Mapp
         step = np.clip(-np.linalg.lstsq(hess + flat, grad, rcond=None)[0], -2.0, 2.0)
         start, at = lam.copy(), value
         for _ in range(8):  # halve until the convex dual does not rise
-            lam = np.minimum(start + step, math.log(cap)) if len(margins) == 1 else start + step
+            lam = start + step
             value, grad, hess = objective(sums())
             if value <= at + 1e-9 * scale:
                 break
@@ -200,12 +224,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     sized = written(docs.select("doc_id", "source", word_count().alias("size"), key.alias("hash")), "sizes")
     targets = written(source_targets(
         sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap), "targets")
-    goal = {r["source"]: r["target"] for r in targets.collect()}
-    lam = balance(sized, ["source"], {"source": goal}, cap=cap)["source"]
-    tilt = docs.sparkSession.createDataFrame(
-        [(s, round(float(min(cap, math.exp(x))), 9)) for s, x in lam.items()], "s string, rate double")
-    rated = sized.join(tilt, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumn(
-        "rate", F.coalesce("rate", F.lit(0.0)))
+    targets = written(rates(targets, cap), "rates")
+    rated = sized.join(targets.select(F.col("source").alias("s"), "rate"), _same("source", "s")).drop("s")
     # a rate within rounding of a whole number is that number
     whole = F.when(F.abs(F.col("rate") - F.round("rate")) < 1e-6, F.round("rate")).otherwise(F.floor("rate"))
     parted = rated.withColumn("whole", whole.cast("int")).withColumn("part", F.col("rate") - F.col("whole"))
@@ -216,7 +236,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     want = written(base.join(targets.withColumnRenamed("source", "s"), _same("source", "s")).where(
         "any is not null").select("source", F.greatest(F.lit(0.0), F.col("target") - F.col("base")).alias("want")), "want")
     cuts = _fill(parted.where("priority is not null").select("source", "size", "priority"), want)
-    figures = targets.withColumnRenamed("source", "t")
+    figures = targets.withColumnRenamed("source", "t").drop("rate")
     return parted.join(cuts, _same("source", "s"), "left").join(figures, _same("source", "t")).withColumn(
         "copies", F.col("whole") + taken_extra().cast("int")).select(
         "doc_id", "size", "source", "source_size", "target", "rate", "copies",

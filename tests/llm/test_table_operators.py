@@ -224,3 +224,23 @@ def test_pipeline_stages(spark):
         texts = {r.doc_id: r.text for r in docs.collect()}
         assert all(texts[r.doc_id] == r.text for r in out.collect())
         docs = out
+
+
+def test_pipeline_stages_on_awkward_rows(spark, tmp_path):
+    """Null, empty, repeated and clashing input goes through every stage; an empty table stays empty."""
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept string, m_copies int, row int, cut long"
+    long = " ".join(f"w{i % 97}x{i}" for i in range(3000))
+    rows = [(1, long, "en", "a", 1, "k", 2, 3, 4), (1, long, "en", "a", 1, "k", 2, 3, 4), (2, None, None, None, None, None, None, None, None),
+            (3, "", "en", "b", 0, "k", 2, 3, 4), (None, " ".join(f"q{i}" for i in range(40)), "en", None, 9, "k", 2, 3, 4)]
+    rows += [(10 + i, " ".join(f"u{i}v{j}" for j in range(30 + i)), "en", "ab"[i % 2], 9, "k", 2, 3, 4) for i in range(20)]
+    for name, columns in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    for given in (rows, []):
+        docs = spark.createDataFrame(given, schema)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = common.written(stage(spark, docs, str(tmp_path)), name)
+            assert docs.columns == [c.split()[0] for c in schema.split(", ")]
+        last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+        assert (last.count() > 0) == bool(given)
