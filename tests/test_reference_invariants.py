@@ -29,7 +29,7 @@ def test_item_info_keys_and_unknown_id(tables):
 def test_status_keys_and_queue_size(tables):
     pending = validate.valid_new_ratings(tables.rating_events, tables.movies)
     row = stats.system_status(tables.ratings, tables.movies, queue=pending).first().asDict()
-    assert set(row) == {"total_ratings", "total_users", "total_movies", "batch_queue_size",
+    assert set(row) == {"total_ratings", "total_users", "total_movies", "batch_queue_size", "is_updating",
                         "last_update_time"}
     assert row["batch_queue_size"] == pending.count()
     assert row["total_movies"] == tables.movies.count()
