@@ -101,9 +101,10 @@ def resolve_revisits(records: DataFrame, buckets: int = BUCKETS, permitted=PERMI
     full = rows.where("type = 'response' and status between 200 and 299")
     found = last_response_before(revisits.select("url", "ts"), full.select("url", "ts", F.col("record_id").alias("id")),
                                  buckets)
-    stored = full.dropDuplicates(["record_id"]).select(
+    # written, so that a response that very many revisits refer to is a join side that Spark can split
+    stored = written(full.dropDuplicates(["record_id"]).select(
         F.col("record_id").alias("response_id"), F.col("status").alias("s_status"), F.col("headers").alias("s_headers"),
-        F.col("payload_digest").alias("s_digest"), F.col("payload_bytes").alias("s_bytes"))
+        F.col("payload_digest").alias("s_digest"), F.col("payload_bytes").alias("s_bytes")), "responses")
     both = revisits.join(found, ["url", "ts"], "left").join(stored, "response_id", "left")
     modified = [F.element_at(F.col(h), "last-modified") for h in ("headers", "s_headers")]
     agree = F.coalesce(_tag("headers") == _tag("s_headers"), modified[0] == modified[1],
