@@ -46,7 +46,7 @@ WIDTH = 5
 PERCENT = 75
 COORDINATES = 64
 MATCHES = 28
-BLOCK = 2048
+BLOCK = 512
 TEXT_BLOCK = 256
 
 
@@ -236,9 +236,10 @@ def _link(batches, width, percent):
 
 def _in_blocks(members: DataFrame, block: int) -> DataFrame:
     """(head, i, j, side, rep, comp): every pair of ``block``-sized parts of each group meets once."""
-    counts = members.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"),
-                                         F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    dealt = members.join(counts.select("head", "blocks"), "head").withColumn(
+    counts = written(members.groupBy("head").agg(
+        F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.min("comp").alias("lo"),
+        F.max("comp").alias("hi")).where("lo <> hi").select("head", "blocks"), "groups")
+    dealt = members.join(counts, "head").withColumn(
         "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "head", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
@@ -260,14 +261,16 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
 
     postings = classes.select("rep", "sig").mapInArrow(
         lambda it: _postings(it, coordinates), "token long, rep long")
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # (counts are written before they are joined back: Spark splits a hot list only where both sides are plain shuffles)
+    shared = written(postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     per_class = postings.join(shared, "token").groupBy("rep").agg(
         F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own")).where(F.size("own") >= matches)
     prefix = written(per_class.select("rep", F.explode(
         F.slice("own", 1, F.size("own") - (matches - 1))).alias("o")).select("rep", "o.token"), "prefix")
 
     # one partner per class: the list head met in most lists
-    heads = prefix.groupBy("token").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    heads = written(prefix.groupBy("token").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1"),
+                    "heads")
     met = prefix.withColumnRenamed("rep", "b").join(heads, "token").where("a < b").groupBy("a", "b").count()
     first = met.groupBy("b").agg(F.max_by("a", F.struct("count", -F.col("a"))).alias("a")).select("a", "b")
     candidates = prefix.select("rep").distinct()
