@@ -20,28 +20,30 @@ SEP = "::"
 MOVIES_ENCODING = "ISO-8859-1"
 
 
-_CORRUPT = "_corrupt_line"
 
-
-def _lines(spark: SparkSession, path: str, schema, encoding: str) -> DataFrame:
-    """All lines; ``_corrupt_line`` is null for those that parse (whole lines are parsed, whatever is selected)."""
-    full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    return (spark.read.schema(full)
-            .option("sep", SEP).option("header", "false").option("encoding", encoding)
-            .option("quote", "").option("escape", "")
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
-            .option("columnPruning", "false")
-            .csv(path))
+def _fields(spark: SparkSession, path: str, schema, encoding: str) -> DataFrame:
+    """All lines with their fields as text; ``_bad`` if the key is missing or a typed field doesn't parse."""
+    plain = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    raw = (spark.read.schema(plain)
+           .option("sep", SEP).option("header", "false").option("encoding", encoding)
+           .option("quote", "").option("escape", "")
+           .csv(path))
+    bad = F.col(schema.fieldNames()[0]).isNull()
+    for f in schema.fields:
+        if not isinstance(f.dataType, T.StringType):
+            bad = bad | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+    return raw.withColumn("_bad", bad)
 
 
 def _read(spark: SparkSession, path: str, schema, encoding: str = "UTF-8") -> DataFrame:
-    return _lines(spark, path, schema, encoding).where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+    rows = _fields(spark, path, schema, encoding).where("not _bad")
+    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def corrupt_lines(spark: SparkSession, path: str, schema, encoding: str = "UTF-8") -> DataFrame:
-    """(line): what the reader of ``schema`` leaves out."""
-    found = _lines(spark, path, schema, encoding).where(F.col(_CORRUPT).isNotNull())
-    return found.select(F.col(_CORRUPT).alias("line"), F.col(schema.fieldNames()[0]).alias("_first")).drop("_first")
+    """(line): what the reader of ``schema`` leaves out, its fields joined again."""
+    rows = _fields(spark, path, schema, encoding).where("_bad")
+    return rows.select(F.concat_ws(SEP, *schema.fieldNames()).alias("line"))
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
