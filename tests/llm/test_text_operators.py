@@ -251,6 +251,26 @@ def test_lm_scores(docs, rows, empty):
     assert lm_score.score_texts(empty).count() == 0
 
 
+def test_lm_trains_on_every_segment(spark, monkeypatch):
+    """More than two million words: the share of the training text must not shrink with the corpus."""
+    class Seen(Exception):
+        pass
+
+    def train(segments, n_texts, *_):
+        found = segments.selectExpr("count(*)", "sum(cast(last as int))", "sum(size(ids))").first()
+        raise Seen(*found, n_texts, sum(lm_score.subword_counts(segments).values()))
+
+    monkeypatch.setattr(lm_score, "train", train)
+    texts = {i: "the " * (1500 + i % 50) for i in range(2000)}
+    big = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    learn = [t.split() for i, t in texts.items() if zlib.crc32(str(i).encode()) % 5 != 1]
+    assert sum(map(len, learn)) > 2_000_000
+    with pytest.raises(Seen) as seen:
+        lm_score.score_texts(big)
+    n = sum(map(len, learn))
+    assert seen.value.args == (sum(-(-len(w) // 32) for w in learn), len(learn), n, len(learn), n)
+
+
 def test_licenses(spark, empty):
     texts = ["Some words here.\nReleased under the MIT License.\nMore words.", "Licensed under CC BY-NC 4.0.",
              "This work is licensed under the GNU General Public License, version 3.", "We released the license plate.",
