@@ -1,19 +1,28 @@
 """License scans: a trained paragraph classifier with template confirmation.
 
-Paragraphs are the non-empty lines of a text; words are lower-cased runs of
-letters and digits.  A softmax regression over hashed word 1-, 2- and 3-grams
+Paragraphs (``n_paragraphs``) are the non-empty lines of a text; words are
+lower-cased runs of letters and digits.  Judged are the lines of at most
+``2 * STEPS[-1]`` words and, so that wrapped notices and those inside long lines
+are found, the blocks of lines between blank lines: windows of ``2 * step``
+words every ``step`` words, for each of ``STEPS``, which cover every word and
+hold any run of ``step`` words whole (the longest template has fewer than the last
+step).  Below, both are called passages.  A softmax regression over hashed word 1-, 2- and 3-grams
 tells licence families from ``unknown``.  It is trained here, by proximal
 gradient descent with an L1 penalty (so most weights are exactly 0), on
-variants of the templates (words dropped, corpus words around them) and, for
+variants of the templates (words dropped, a few corpus words or those that fill
+a window around them) and, for
 ``unknown``, on a bounded sample of corpus paragraphs (``sample`` of them, in
 hash order) plus shuffled template words.  A temperature and the least
 probability for a family are then fitted on held-out variants, so that
 ``unknown`` is calibrated.  A predicted family is confirmed by comparison with
-its templates: the share of a template's word pairs that the paragraph holds,
-in order, must reach ``confirm``; unconfirmed paragraphs are ``unknown``.
+its templates: the share of a template's word pairs that the passage holds,
+in order, must reach ``confirm``; unconfirmed passages are ``unknown``.  A notice
+is a confirmed line, or a run of overlapping confirmed windows of one family that
+touches no confirmed line of that family.
 
-Scoring streams over every paragraph of every text in whole; words are hashed
-a batch at a time and only features with a weight are looked at.
+Scoring streams over every text in whole; words are hashed a batch at a time.
+A passage with fewer template pairs than any template needs to be confirmed
+would be ``unknown`` whatever the classifier says, and is not classified.
 
 Nulls and empty texts have no paragraphs and no licence.  Repeated rows each
 get their result; empty tables give empty results (the model is then trained
@@ -30,12 +39,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import alphanumeric, ngram_hashes, text_chunks
+from .textops import alphanumeric, ngram_hashes, ragged, text_chunks
 
 BITS = 16
 SAMPLE = 2000
 SAMPLE_WORDS = 60
 CONFIRM = 0.8
+STEPS = (8, 16, 32)
 UNKNOWN = "unknown"
 
 #: Notices of the licence families (fixed values).
@@ -117,6 +127,13 @@ class LicenseModel:
         own = ngram_hashes(h, 2)
         return max((float(np.isin(p, own).mean()) for k, p in self.pairs if k == klass and len(p)), default=0.0)
 
+    def fewest(self, confirm: float) -> int:
+        """The least number of different template pairs with which a passage can be confirmed."""
+        def needed(p):
+            share = np.cumsum(np.sort(np.unique(p, return_counts=True)[1])[::-1]) / len(p)
+            return int((share < confirm - 1e-9).sum()) + 1
+        return min((needed(p) for _, p in self.pairs if len(p)), default=1)
+
 
 def _training_rows(corpus: list[str], classes: list[str], rng) -> tuple[list[str], np.ndarray]:
     filler = [w for p in corpus for w in p.split()] or ["text"]
@@ -128,11 +145,18 @@ def _training_rows(corpus: list[str], classes: list[str], rng) -> tuple[list[str
     texts, labels = [], []
     for family, notices in TEMPLATES.items():
         for notice in notices:
-            words = notice.split()
+            words, size = notice.split(), len(_word_hashes([notice])[0])
             for _ in range(40):
                 kept = [w for w in words if rng.random() > 0.05]
                 texts.append(around(kept, 4))
                 labels.append(classes.index(family))
+            room = 2 * next(s for s in STEPS if s >= size) - size
+            for _ in range(40):  # as they stand in a window
+                kept = [w for w in words if rng.random() > 0.05]
+                more = list(rng.choice(filler, rng.integers(0, room + 1)))
+                at = int(rng.integers(0, len(more) + 1))
+                texts.append(" ".join([*more[:at], *kept, *more[at:]]))
+                labels.append(classes.index(family))
     every = [w for ts in TEMPLATES.values() for t in ts for w in t.split()]
     for _ in range(400):  # licence words without a licence
         texts.append(around(list(rng.choice(every, rng.integers(1, 6))), 12))
@@ -205,46 +229,76 @@ def sample_paragraphs(docs: DataFrame, sample: int = SAMPLE) -> list[str]:
     return sorted(" ".join(r["p"].split()[:SAMPLE_WORDS]) for r in some if r["p"])
 
 
+def _runs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each run of equal ids, and the place after it."""
+    lo = np.flatnonzero(np.diff(ids, prepend=-1))
+    return lo, np.append(lo[1:], len(ids)) if len(lo) else lo
+
+
+def _passages(line: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, place after the last, whether a line) of all passages, from each word's line and block."""
+    lo, hi = _runs(line)
+    short = hi - lo <= 2 * STEPS[-1]
+    parts = [(lo[short], hi[short])]
+    lo, hi = _runs(block)
+    for step in STEPS:
+        n, at = ragged(np.zeros(len(lo), np.int64), np.maximum(1, -(-(hi - lo) // step) - 1))
+        first = lo[n] + at * step
+        parts.append((first, np.minimum(first + 2 * step, hi[n])))
+    return (*map(np.concatenate, zip(*parts, strict=True)), np.arange(sum(len(x) for x, _ in parts)) < len(parts[0][0]))
+
+
+def _notices(spans: list[tuple[int, int, bool]]) -> int:
+    """Notices of one family in the passages (first, after, whether a line)."""
+    lines = [(lo, hi) for lo, hi, is_line in spans if is_line]
+    runs: list[list[int]] = []
+    for lo, hi, _ in sorted(x for x in spans if not x[2]):
+        if runs and lo < runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], hi)
+        else:
+            runs.append([lo, hi])
+    return len(lines) + sum(not any(lo < b and a < hi for a, b in lines) for lo, hi in runs)
+
+
 def _scan(batches, shared, confirm):
     model: LicenseModel = shared.value
-    active = (model.weights != 0).any(axis=1)
-    mask = np.uint64((1 << BITS) - 1)
+    known, fewest = np.unique(np.concatenate([p for _, p in model.pairs])), model.fewest(confirm)
     for batch in batches:
         texts = pc.fill_null(batch.column(1), "")
         n = len(texts)
         lines = pc.split_pattern(texts, "\n")
-        flat, parent = lines.flatten(), pc.list_parent_indices(lines)
-        paragraphs = np.zeros(n, np.int64)
+        flat, owner = lines.flatten(), pc.list_parent_indices(lines).to_numpy()
+        # non-empty lines, whatever their characters
+        filled = pc.greater(pc.binary_length(pc.utf8_trim_whitespace(flat)), 0).to_numpy(zero_copy_only=False)
+        paragraphs = np.bincount(owner[filled], minlength=n)
+        block_of = np.cumsum(~filled | (np.diff(owner, prepend=-1) > 0))
+        first_line = np.searchsorted(owner, np.arange(n))
         families: list[set] = [set() for _ in range(n)]
         notices, top = np.zeros(n, np.int64), np.zeros(n)
-        owner = parent.to_numpy()
-        for w in text_chunks(flat, alphanumeric(), lower=True):
-            counts = w.counts()
-            mine = owner[w.first:w.first + w.n]
+        for w in text_chunks(texts, alphanumeric(), lower=True):
             h = w.hashes()
-            para = np.repeat(np.arange(w.n), counts)
-            # non-empty lines, whatever their characters
-            filled = pc.greater(pc.binary_length(pc.utf8_trim_whitespace(flat.slice(w.first, w.n))), 0)
-            paragraphs += np.bincount(mine[filled.to_numpy(zero_copy_only=False)], minlength=n)
-            hit = np.zeros(w.n, bool)
-            for g in (1, 2, 3):
-                grams = ngram_hashes(h, g)
-                inside = para[:len(grams)] == para[g - 1:] if g > 1 else np.ones(len(grams), bool)
-                f = ((grams ^ np.uint64(g)) & mask).astype(np.int64)
-                on = inside & active[f]
-                hit[para[:len(grams)][on]] = True
-            todo = np.flatnonzero(hit)
+            if len(h) < 2:
+                continue
+            text = np.repeat(np.arange(w.n), w.counts())
+            line = first_line[w.first] + np.searchsorted(np.flatnonzero(w.data == 10), w.start) + text
+            lo, hi, is_line = _passages(line, block_of[line])
+            pairs = np.concatenate([[0], np.cumsum(np.isin(ngram_hashes(h, 2), known))])
+            todo = np.flatnonzero(pairs[hi - 1] - pairs[lo] >= fewest)
             if not len(todo):
                 continue
-            z = model.logits([_features(h[w.offsets[i]:w.offsets[i + 1]]) for i in todo]) / model.temperature
-            p = _softmax(z)
+            lo, hi, is_line = lo[todo], hi[todo], is_line[todo]
+            p = _softmax(model.logits([_features(h[a:b]) for a, b in zip(lo, hi, strict=True)]) / model.temperature)
             best = p[:, 1:].argmax(axis=1) + 1
+            found: dict[tuple[int, int], list] = {}
             for i in np.flatnonzero((p.argmax(axis=1) > 0) & (p.max(axis=1) >= model.least)):
-                t, k = todo[i], int(best[i])
-                if model.similarity(k, h[w.offsets[t]:w.offsets[t + 1]]) >= confirm:
-                    families[mine[t]].add(model.classes[k])
-                    notices[mine[t]] += 1
-                    top[mine[t]] = max(top[mine[t]], p[i, k])
+                k = int(best[i])
+                if model.similarity(k, h[lo[i]:hi[i]]) >= confirm:
+                    t = w.first + int(text[lo[i]])
+                    families[t].add(model.classes[k])
+                    top[t] = max(top[t], p[i, k])
+                    found.setdefault((t, k), []).append((int(lo[i]), int(hi[i]), bool(is_line[i])))
+            for (t, _), spans in found.items():
+                notices[t] += _notices(spans)
         yield pa.RecordBatch.from_arrays([
             batch.column(0), pa.array(paragraphs, pa.int64()), pa.array(notices, pa.int64()),
             pa.array([",".join(sorted(s)) if s else UNKNOWN for s in families], pa.string()),

@@ -281,6 +281,42 @@ def test_licenses(spark, empty):
                    5: (0, 0, "unknown"), 6: (1, 1, "Apache-2.0"), 7: (1, 0, "unknown")}
 
 
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software""",
+    "GPL": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.""",
+    "BSD": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:""",
+}
+
+
+def test_wrapped_licenses_and_long_lines(spark):
+    rng = random.Random(3)
+    def words(n):
+        return " ".join(f"w{rng.randrange(500)}" for _ in range(n))
+    texts = {i: words(20) + "\n" + words(15) for i in range(100)}
+    expected = {i: (2, 0, "unknown") for i in texts}
+    for i, (family, notice) in enumerate(WRAPPED.items()):
+        texts[200 + i] = f"{words(10)}\n\n{notice}\n\n{words(30)}"
+        expected[200 + i] = (2 + notice.count("\n") + 1, 1, family)
+        texts[300 + i] = f"{words(3000)} {' '.join(notice.replace('#', '').split())} {words(2000)}"
+        expected[300 + i] = (1, 1, family)
+        texts[400 + i] = notice.replace("\n", "\n\n")  # blank lines part it
+        expected[400 + i] = (notice.count("\n") + 1, 0, "unknown")
+    texts[500] = f"{words(700)} Released under the MIT License. {words(800)} Released under the MIT License. {words(90)}"
+    expected[500] = (1, 2, "MIT")
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_paragraphs, r.n_notices, r.families) for r in license_scan.scan_licenses(docs).collect()}
+    assert got == expected
+
+
 def test_attention_gradient():
     from itemrank.llm import attention_lm as lm
 
