@@ -9,10 +9,12 @@ longest last piece stays.  A character without a piece of its own costs the
 least score minus ``UNK_PENALTY`` and counts as its UTF-8 bytes (byte
 fallback), or, without byte pieces, once per run of such characters.
 
-Blanks become U+2581, one is put in front, and pieces never reach over a
-U+2581, so a text is the sum of its words and a word is counted once per task
-(a cache of ``CACHE`` words, emptied when full).  Characters that stand in no
-longer piece divide words further.
+Blanks become U+2581 and one is put in front.  A text is cut before a U+2581
+only where no piece of the vocabulary can reach over the cut (none has the
+character before it followed by U+2581): with pieces of several blanks, a run of
+blanks stays together with the word after it.  So a text is the sum of its
+words and a word is counted once per task (a cache of ``CACHE`` words, emptied
+when full).  Characters that stand in no longer piece divide words further.
 
 The vocabulary (bounded: the tokenizer's own file) is read on the driver and
 broadcast as a list of pieces and scores.  Nulls and empty texts have 0
@@ -22,6 +24,8 @@ tables give empty results; other columns are not read.
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +34,7 @@ SPACE = "▁"
 UNK_PENALTY = 10.0
 CACHE = 250_000
 _NEVER = float("-inf")
+_BLANKS_AND_WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -58,6 +63,13 @@ class WordCounts(dict):
         self.single = {p for p, _ in pieces if len(p) == 1}
         self.unknown = min((s for _, s in pieces), default=0.0) - UNK_PENALTY
         self.byte_pieces = byte_pieces
+        # characters after which a piece can go on with a blank
+        self.before = {a for p, _ in pieces for a, b in zip(p, p[1:]) if b == SPACE}
+        if byte_pieces or SPACE in self.single:
+            kept = "".join(re.escape(c) for c in sorted(self.before))
+            self.cut = re.compile("(?s)(?<=.)" + (f"(?<![{kept}])" if kept else "") + f"(?={SPACE})")
+        else:
+            self.cut = None  # a run of unknown characters goes on over blanks
         self.divides = "" if any("\n" in p for p, _ in pieces if len(p) > 1) or not byte_pieces else "\n"
 
     def __missing__(self, word: str) -> int:
@@ -105,17 +117,20 @@ class WordCounts(dict):
         marked = text.replace(" ", SPACE)
         if marked[0] != SPACE:
             marked = SPACE + marked
-        total = 0
         if self.divides and self.divides in marked:
             parts = marked.split(self.divides)
-            total += (len(parts) - 1) * self["\n"]
-            for part in parts:
-                words = part.split(SPACE)
-                if words[0]:
-                    total += self[words[0]]
-                total += sum([self[SPACE + w] for w in words[1:]])
-            return total
-        return sum([self[SPACE + w] for w in marked.split(SPACE)[1:]])
+            return (len(parts) - 1) * self["\n"] + sum([self._of_part(p) for p in parts if p])
+        return self._of_part(marked)
+
+    def _of_part(self, part: str) -> int:
+        if self.cut is None:
+            return self[part]
+        if self.before - {SPACE}:
+            return sum([self[w] for w in self.cut.split(part)])
+        if SPACE in self.before and SPACE * 2 in part:
+            return sum([self[w] for w in _BLANKS_AND_WORD.findall(part)])
+        words = part.split(SPACE)
+        return (self[words[0]] if words[0] else 0) + sum([self[SPACE + w] for w in words[1:]])
 
 
 def token_counts(docs: DataFrame, vocabulary: tuple[list[tuple[str, float]], bool] | None = None) -> DataFrame:

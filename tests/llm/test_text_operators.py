@@ -234,6 +234,39 @@ def test_token_ties_without_byte_pieces(seed):
         assert counts.of_text(text) == len(tokenizer.encode(text, add_special_tokens=False).ids), text
 
 
+def test_token_counts_of_indented_texts():
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    pieces, byte_pieces = token_counts.read_vocabulary()
+    model = models.Unigram([("<unk>", 0.0), *pieces, *[(f"<0x{i:02X}>", 0.0) for i in range(256)]], 0, byte_pieces)
+    tokenizer = Tokenizer(model)
+    tokenizer.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False)
+    counts = token_counts.WordCounts(pieces, byte_pieces)
+    rng = random.Random(2)
+    texts = ["def f():\n    return x", "x        y", "a  b", "  ", " " * 50, "\n    \n", "x  \n  y"]
+    texts += ["".join(rng.choice(["x", "return", "é日", "\n", "\t", " ", "  ", " " * 4, " " * 19]) for _ in range(30))
+              for _ in range(300)]
+    for text in texts:
+        assert counts.of_text(text) == len(tokenizer.encode(text, add_special_tokens=False).ids), text
+    assert [counts.of_text(t) for t in texts[:2]] == [8, 3]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_token_ties_with_pieces_over_blanks(seed):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    rng = random.Random(seed)
+    pieces = sorted({"".join(rng.choice("ab▁c") for _ in range(rng.randrange(1, 5))) for _ in range(14)}
+                    - {"▁"} | ({"▁", "a"} if seed % 2 else {"a"}))
+    pieces = [(p, float(-rng.randrange(1, 4) * len(p))) for p in pieces]
+    tokenizer = Tokenizer(models.Unigram([("<unk>", 0.0), *pieces], 0, False))
+    tokenizer.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False)
+    counts = token_counts.WordCounts([*pieces, ("<unk>", 0.0)], False)
+    for _ in range(200):
+        text = "".join(rng.choice("abcdé  ") for _ in range(rng.randrange(0, 14)))
+        assert counts.of_text(text) == len(tokenizer.encode(text, add_special_tokens=False).ids), text
+
+
 def test_lm_scores(docs, rows, empty):
     held = {d: zlib.crc32(str(d).encode()) % 5 == 1 for d, *_ in rows}
     split = [(d, BLANK.findall((t or "").translate(LOWER))) for d, t, *_ in rows]
