@@ -53,6 +53,8 @@ def source_targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, share:
     ``cap * source_size`` is reshared by weight among the rest; the outcome
     has every source at the smaller of its limit and weight times one common
     level, so one pass over the sources in order of limit / weight finds it.
+    That pass is one task over the whole table of sources: their number is
+    bounded by what one task can sort (sources by domain can be too many).
     """
     order = Window.orderBy(F.col("source").isNull(), "source")
     weight = F.array(*[F.lit(float(w)) for w in weights])[(F.row_number().over(order) - 1) % len(weights)]
@@ -78,7 +80,8 @@ def rates(targets: DataFrame, cap: float = CAP, tolerance: float = 1e-9, rounds:
     The dual of one margin falls apart into one multiplier per source:
     gradient ``size * rate - target``, second derivative ``size * rate``.  Each
     iteration writes the table of multipliers; only whether a source is still
-    off its target reaches the driver, so the number of sources is not bounded by it.
+    off its target reaches the driver, so the number of sources is not bounded by it
+    (it is by the one task of ``source_targets``).
     """
     state = targets.select("source", "source_size", "target", F.lit(0.0).alias("lam"))
     rate = F.least(F.exp("lam"), F.lit(float(cap)))
