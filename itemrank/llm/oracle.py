@@ -6,7 +6,7 @@ token counts, mixing); their tests compare them with brute-force versions.
 
 from __future__ import annotations
 
-from . import sharding, warc_revisits
+from . import conversation_trie, sharding, warc_revisits
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANK = r"[^\x20\x09-\x0D]+"
@@ -107,3 +107,35 @@ SELECT record_id, url, ts, outcome, response_id, CASE WHEN outcome = 'resolved'
        CASE WHEN outcome = 'resolved' THEN digest END AS payload_digest,
        CASE WHEN outcome = 'resolved' THEN bytes END AS payload_bytes
 FROM done"""
+
+
+# CRC-32 of a text, bit by bit: the reflected polynomial is a fixed value.
+_CRC32 = ("xor(list_reduce(list_concat([4294967295], range(0, 8 * strlen({s}))), lambda c, i: "
+          "CASE WHEN xor(c, CASE WHEN i % 8 = 0 THEN ascii(substr({s}, CAST(i // 8 AS BIGINT) + 1, 1)) ELSE 0 END) % 2 = 1 "
+          "THEN xor(xor(c, CASE WHEN i % 8 = 0 THEN ascii(substr({s}, CAST(i // 8 AS BIGINT) + 1, 1)) ELSE 0 END) // 2, 3988292384) "
+          "ELSE xor(c, CASE WHEN i % 8 = 0 THEN ascii(substr({s}, CAST(i // 8 AS BIGINT) + 1, 1)) ELSE 0 END) // 2 END), 4294967295)")
+
+SQL["op11_conversation_trie"] = f"""
+WITH own AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                                  ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+             FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+kept AS (SELECT *, {_CRC32.format(s="CAST(conv_id AS VARCHAR)")} % 4 AS h FROM own),
+rebuilt AS (SELECT k.conv_id, list_concat(coalesce(head.turns, [])[1:h], k.turns[h + 1:]) AS turns
+            FROM kept k LEFT JOIN own head ON head.conv_id = k.conv_id - k.conv_id % {conversation_trie.GROUP}),
+prefixes AS (SELECT conv_id, depth, turns[1:depth] AS path, depth = len(turns) AS ends
+             FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)),
+nodes AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ids
+          FROM prefixes GROUP BY path, depth),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+valued AS (SELECT nodes.path, nodes.depth, CASE WHEN children.n IS NULL THEN 1 ELSE 0 END AS leaf,
+                  (n_convs - 1) * CASE WHEN nodes.depth = 0 THEN 0
+                                  ELSE len(regexp_extract_all(nodes.path[nodes.depth].text, '{_BLANK}')) END AS saved
+           FROM nodes LEFT JOIN children USING (path)),
+totals AS (SELECT path[1:d] AS path, sum(leaf) AS leaves, sum(saved) AS saved
+           FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM valued) GROUP BY 1)
+SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, x.n_convs,
+       coalesce(children.n, 0) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       sha256(x.ids) AS ends_sha256
+FROM nodes x JOIN totals USING (path) LEFT JOIN children USING (path)
+LEFT JOIN nodes up ON x.depth > 0 AND up.depth = x.depth - 1 AND up.path = x.path[1:x.depth - 1]"""

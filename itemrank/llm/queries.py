@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, license_scan, lm_score, minhash_dedup, mixing, oracle, quality_rules, sharding,
+from . import (conversation_trie, decontaminate, license_scan, lm_score, minhash_dedup, mixing, oracle, quality_rules, sharding,
                substring_dedup, token_counts, warc_revisits)
 from .common import table
 
@@ -52,6 +52,10 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("headers", warc_revisits.header_text(F.col("headers")))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -63,6 +67,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_warc_revisits": op10_warc_revisits,
+    "op11_conversation_trie": op11_conversation_trie,
 }
 
 ORACLE_SQL: dict[str, str] = dict(oracle.SQL)
