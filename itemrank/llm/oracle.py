@@ -139,3 +139,17 @@ SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id
        sha256(x.ids) AS ends_sha256
 FROM nodes x JOIN totals USING (path) LEFT JOIN children USING (path)
 LEFT JOIN nodes up ON x.depth > 0 AND up.depth = x.depth - 1 AND up.path = x.path[1:x.depth - 1]"""
+
+SQL["op12_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+                  CAST(list_inner_product(a.vector, b.vector) AS BIGINT) AS s
+           FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positive AS (SELECT a, b, s FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+met AS (SELECT p.a, p.b, p.s, n.b AS nb, n.s AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b) AS rank
+        FROM positive p JOIN scored n ON n.a = p.a AND NOT n.same AND 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s)
+SELECT a AS anchor_id, b AS positive_id, CAST(rank AS INT) AS rank, nb AS negative_id, s AS positive_score, ns AS negative_score
+FROM met WHERE rank <= 5"""

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (conversation_trie, decontaminate, license_scan, lm_score, minhash_dedup, mixing, oracle, quality_rules, sharding,
-               substring_dedup, token_counts, warc_revisits)
+from . import (conversation_trie, decontaminate, hard_negatives, license_scan, lm_score, minhash_dedup, mixing, oracle,
+               quality_qda, quality_rules, sharding, substring_dedup, token_counts, warc_revisits)
 from .common import table
 
 
@@ -56,6 +56,14 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(hard_negatives.scaled_vectors(table(spark, sf_dir, "embeddings")))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_qda.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -68,6 +76,8 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_warc_revisits": op10_warc_revisits,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = dict(oracle.SQL)
