@@ -46,6 +46,9 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+from . import routed
+
 # The per-block-pair function runs in executor Python workers: ship this
 # module's code with the task (pickle by value) so executors need no install.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -61,6 +64,7 @@ ENTRIES_PER_BLOCK = 2_000_000
 DENSE_CELLS = 8_000_000        # use dense BLAS when (|I|+|J|)·keys fits this
 MERGE_CHUNK_PAIRS = 4_000_000  # key-matched pairs per merge chunk (~160 MB of columns)
 DENSE_SHARE = 64               # keys with c_a·c_b > na·nb / 64 go through BLAS
+SENT_ENTRIES = 32_000_000      # entries times blocks up to which every item is sent to every block (0.5 GB)
 HOT_ENTRIES = ENTRIES_PER_BLOCK // 8  # items with more non-zeros skip the blocked path
 
 
@@ -275,10 +279,15 @@ def _run_per_group(rows: DataFrame, n_groups: int, task, max_partitions: int) ->
     return placed.mapInPandas(per_partition, OUT_SCHEMA)
 
 
-def _profile(vectors: DataFrame) -> dict:
-    """Item count, non-zeros, largest item and smallest weight (one aggregate job)."""
-    per_item = vectors.groupBy("item_id").agg(F.count("*").alias("c"), F.min("weight").alias("wmin"))
-    row = per_item.agg(F.count("*").alias("n"), F.sum("c").alias("nnz"), F.max("c").alias("cmax"),
+def _sizes(vectors: DataFrame) -> DataFrame:
+    """Per item: non-zeros, smallest weight and squared norm."""
+    return vectors.groupBy("item_id").agg(F.count("*").alias("c"), F.min("weight").alias("wmin"),
+                                          F.sum(F.col("weight") * F.col("weight")).alias("norm"))
+
+
+def _profile(sizes: DataFrame) -> dict:
+    """Item count, non-zeros, largest item and smallest weight."""
+    row = sizes.agg(F.count("*").alias("n"), F.sum("c").alias("nnz"), F.max("c").alias("cmax"),
                        F.min("wmin").alias("wmin")).first()
     return {"n_items": int(row["n"] or 0), "nnz": int(row["nnz"] or 0),
             "max_item_nnz": int(row["cmax"] or 0), "min_weight": float(row["wmin"] or 0.0)}
@@ -295,6 +304,11 @@ def _blocks_for(n_items: int, nnz: int, parallelism: int, items_per_block: int =
     return nb
 
 
+def _seeker_blocks(n_items: int, nnz: int, parallelism: int) -> int:
+    """Blocks of a routed search: bounded in items and non-zeros, and a task a core where there are enough items."""
+    return max(1, math.ceil(n_items / ITEMS_PER_BLOCK), math.ceil(nnz / ENTRIES_PER_BLOCK), min(parallelism, n_items // 256))
+
+
 def _parallelism(df: DataFrame) -> int:
     """Cores available to the session (falls back to conf where no SparkContext is exposed)."""
     spark = df.sparkSession
@@ -306,7 +320,7 @@ def _parallelism(df: DataFrame) -> int:
 
 
 def block_count(vectors: DataFrame) -> int:
-    prof = _profile(vectors)
+    prof = _profile(_sizes(vectors))
     return _blocks_for(prof["n_items"], prof["nnz"], _parallelism(vectors))
 
 
@@ -397,51 +411,66 @@ def _query_candidates(vectors: DataFrame, queries: DataFrame, k: int, metric: st
 
 def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: int = 6,
                     n_blocks: int | None = None, max_partitions: int = 20000,
-                    hot_entries: int | None = None, queries: DataFrame | None = None) -> DataFrame:
+                    hot_entries: int | None = None, queries: DataFrame | None = None,
+                    indexed: bool | None = None) -> DataFrame:
     """Exact k nearest items for every item in ``vectors(item_id, key, weight)``.
 
     Returns ``(item_id, rank, neighbor_id, score)`` where ``score`` is the
-    rounded squared distance (``l2``) or similarity (``cosine``).  Items with
-    more than ``hot_entries`` non-zeros (default ``HOT_ENTRIES``) are taken out
+    rounded squared distance (``l2``) or similarity (``cosine``).  Non-negative weights go through ``routed`` (an inverted
+    index and bounds decide which items meet; ``indexed`` forces or forbids the
+    index), signed ones through block pairs.
+    Items with more than ``hot_entries`` non-zeros (default ``HOT_ENTRIES``) are taken out
     of the blocked path and handled by ``_hot_candidates``.  With ``queries``
     (a DataFrame of ``item_id``), only those items get neighbour lists — every
     item is still a candidate — at a cost proportional to the query count.
     """
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
-    prof = None
-    if n_blocks is None or hot_entries is not None or queries is not None:
-        # Sizing needs counts; checkpoint the vectors to the shared checkpoint
-        # folder first so the upstream pipeline runs once, lineage is cut and a
-        # lost executor re-reads files instead of recomputing the pipeline.
-        vectors = vectors.checkpoint(eager=True)
-        prof = _profile(vectors)
+    # Sizing needs counts; write the vectors to the shared checkpoint folder
+    # first so the upstream pipeline runs once, lineage is cut and a lost
+    # executor re-reads files instead of recomputing the pipeline.
+    vectors = vectors.select(F.col("item_id").cast("long").alias("item_id"), F.col("key").cast("long").alias("key"),
+                             F.col("weight").cast("double").alias("weight"))
+    vectors = written(vectors, "knn-vectors")
+    prof = _profile(_sizes(vectors))
     hot_limit = HOT_ENTRIES if hot_entries is None else hot_entries
     parallelism = _parallelism(vectors)
-    nb = n_blocks or _blocks_for(prof["n_items"], prof["nnz"], parallelism)
     hot = None
     # The hot path is exact for cosine, and for l2 when weights are
     # non-negative (the smallest-norm rule); signed l2 vectors (dense
     # embeddings, never hot in practice) stay on the blocked path.
-    hot_ok = metric == "cosine" or (prof is not None and prof["min_weight"] >= 0)
-    if prof is not None and prof["max_item_nnz"] > hot_limit and hot_ok:
-        hot = (vectors.groupBy("item_id").agg(F.count("*").alias("c"))
-               .where(F.col("c") > hot_limit).select("item_id").checkpoint(eager=True))
+    nonnegative = prof["min_weight"] >= 0
+    if prof["max_item_nnz"] > hot_limit and (metric == "cosine" or nonnegative):
+        hot = written(_sizes(vectors).where(F.col("c") > hot_limit).select("item_id"), "knn-hot")
     normal = vectors if hot is None else vectors.join(hot, "item_id", "left_anti")
-    if queries is None:
+    if queries is not None:
+        queries = queries.select(F.col("item_id").cast("long").alias("item_id")).distinct().checkpoint(eager=True)
+        n_q = queries.count()
+        q_nnz = prof["nnz"] if n_q >= prof["n_items"] else vectors.join(queries, "item_id", "left_semi").count()
+    if nonnegative:
+        seek = (prof["n_items"], prof["nnz"]) if queries is None else (n_q, q_nnz)
+        nb = n_blocks or _seeker_blocks(*seek, parallelism)
+        if indexed is None:
+            indexed = prof["nnz"] * nb > SENT_ENTRIES
+        if indexed:
+            sizes = written(_sizes(normal).select("item_id", "norm"), "knn-sizes")
+            found = routed.RoutedSearch(normal, sizes, k, metric, decimals, nb, queries)
+        else:
+            found = routed.SentToAll(normal, k, metric, decimals, nb, queries)
+        lists = found.lists(max_partitions)
+        if hot is None:
+            return lists
+        candidates = lists.select("item_id", "neighbor_id", "score")
+    elif queries is None:
+        nb = n_blocks or _blocks_for(prof["n_items"], prof["nnz"], parallelism)
         candidates = _blocked_candidates(normal, k, metric, decimals, nb, max_partitions)
     else:
-        queries = queries.select(F.col("item_id").cast("long").alias("item_id")).distinct()
-        queries = queries.checkpoint(eager=True)
-        n_q = queries.count()
-        q_nnz = prof["nnz"] if n_q >= prof["n_items"] else (
-            vectors.join(queries, "item_id", "left_semi").count())
         nqb = max(1, math.ceil(n_q / ITEMS_PER_BLOCK), math.ceil(q_nnz / ENTRIES_PER_BLOCK))
         nb_c = n_blocks or _blocks_for(prof["n_items"], prof["nnz"], max(1, parallelism // nqb))
         candidates = _query_candidates(normal, queries, k, metric, decimals, nb_c, nqb,
                                        max_partitions)
     if hot is not None:
-        hot_c = _hot_candidates(vectors, hot, k, metric, decimals, prof["min_weight"] >= 0)
+        hot_c = _hot_candidates(vectors, hot, k, metric, decimals, nonnegative)
         if queries is not None:
             hot_c = hot_c.join(queries, "item_id", "left_semi")
         candidates = candidates.unionByName(hot_c)
