@@ -18,36 +18,48 @@ DEPTH = 64
 class FMIndex:
     def __init__(self, sequences: list[np.ndarray], weights: np.ndarray):
         lengths = np.array([len(s) for s in sequences], np.int64)
-        self.n = n = int(lengths.sum() + len(sequences))
+        self._build(np.concatenate([*sequences, np.zeros(0, np.int64)]), lengths, weights)
+
+    @classmethod
+    def of(cls, symbols: np.ndarray, lengths: np.ndarray, weights: np.ndarray) -> FMIndex:
+        """An index of sequences that stand one after the other in ``symbols``."""
+        self = cls.__new__(cls)
+        self._build(symbols, lengths, weights)
+        return self
+
+    def _build(self, symbols: np.ndarray, lengths: np.ndarray, weights: np.ndarray) -> None:
+        m = len(lengths)
+        self.n = n = len(symbols) + m
         text = np.zeros(n, np.int64)
+        text[np.arange(len(symbols)) + np.repeat(np.arange(m), lengths)] = symbols
         self.starts = np.cumsum(lengths + 1) - (lengths + 1)
-        for at, s in zip(self.starts, sequences, strict=True):
-            text[at:at + len(s)] = s
         self.lengths, self.text = lengths, text
         self.sigma = int(text.max(initial=0)) + 1
         order = self._sort_suffixes()
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=self.sigma))])
         self._wavelet(text[order - 1])
-        owner = np.repeat(np.arange(len(sequences)), lengths + 1)
+        owner = np.repeat(np.arange(m), lengths + 1)
         self.weight = np.concatenate([[0], np.cumsum(np.asarray(weights, np.int64)[owner[order]])])
         self._common_prefixes(order)
 
     def _sort_suffixes(self) -> np.ndarray:
+        """Rows by their first DEPTH symbols; what is equal that far may stand in any order."""
         rank, step, self._ranks = self.text, 1, [(1, self.text)]
+        order = np.arange(self.n)
         while step < DEPTH:
-            nxt = np.zeros(self.n, np.int64)
-            nxt[:self.n - step] = rank[step:] + 1
-            key = rank * (int(rank.max(initial=0)) + 2) + nxt
-            order = np.argsort(key, kind="stable")
+            key = rank * (int(rank.max(initial=0)) + 2)
+            key[:self.n - step] += rank[step:] + 1
+            order = np.argsort(key)
+            key = key[order]
             new = np.zeros(self.n, np.int64)
-            new[1:] = np.cumsum(key[order][1:] != key[order][:-1])
+            new[1:] = np.cumsum(key[1:] != key[:-1])
             rank = np.empty(self.n, np.int64)
             rank[order] = new
             step *= 2
             self._ranks.append((step, rank))
             if self.n and new[-1] == self.n - 1:
                 break
-        return np.argsort(rank, kind="stable")
+        return order
 
     def _common_prefixes(self, order: np.ndarray) -> None:
         """lcp[i]: common prefix of rows i - 1 and i, up to DEPTH; -1 at the borders; with minima over 2**k rows."""
@@ -114,7 +126,12 @@ class FMIndex:
         return lo, hi
 
     def repeated(self, size: int, least: int = 2) -> list[np.ndarray]:
-        """Per sequence the starts of its runs of ``size`` symbols whose weighted number of occurrences is ``least`` or more.
+        """Per sequence the starts of its runs of ``size`` symbols whose weighted number of occurrences is ``least`` or more."""
+        owner, start = self.repeated_runs(size, least)
+        return np.split(start, np.searchsorted(owner, np.arange(1, len(self.starts)))) if len(self.starts) else []
+
+    def repeated_runs(self, size: int, least: int = 2) -> tuple[np.ndarray, np.ndarray]:
+        """(sequence, start) of every such run, in order.
 
         Matching statistics from right to left: each step prepends the next
         symbol; if too few occurrences are left, the match is cut from the
@@ -124,7 +141,7 @@ class FMIndex:
             raise ValueError(f"size must be below {DEPTH}")
         m = len(self.starts)
         lo, hi, length = np.zeros(m, np.int64), np.full(m, self.n, np.int64), np.zeros(m, np.int64)
-        found: list[list[int]] = [[] for _ in range(m)]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         lcp = self.minima[0]
         for back in range(1, int(self.lengths.max(initial=0)) + 1):
             live = np.flatnonzero(self.lengths >= back)
@@ -151,6 +168,8 @@ class FMIndex:
                     lo[live] = np.where(root, 0, wide[0])
                     hi[live] = np.where(root, self.n, wide[1])
                     length[live] = shorter
-            for i in np.flatnonzero((length >= size) & (self.lengths >= back)):
-                found[i].append(int(self.lengths[i]) - back)
-        return [np.array(f[::-1], np.int64) for f in found]
+            hit = np.flatnonzero((length >= size) & (self.lengths >= back))
+            found.append((hit, self.lengths[hit] - back))
+        owner, start = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((start, owner))
+        return owner[order], start[order]

@@ -21,18 +21,20 @@ index.  No window is dropped on either way, so the result is exact.
 
 Results are intervals of each document's words.  Whole texts are used, at any
 length.  Nulls and empty texts: no words, nothing removed, the hash of the
-empty string.  Repeated rows are occurrences like any others.  A null
-``doc_id`` is an id of its own; rows with one id and different texts are told
-apart by a text hash.  Empty tables give empty results.  Other columns are
+empty string.  Rows are numbered once and told apart by their number: repeated
+rows, null ids and rows that share an id are documents like any others.  Empty
+tables give empty results.  Other columns are
 not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +46,6 @@ SIZE = 35
 GRAM = 8
 HOT = 256
 SHARD_WORDS = 200_000
-_NO_ID = -(1 << 63)
 
 
 def _least_grams(grams: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,10 +71,10 @@ def _slice_hash(sums: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.n
 
 
 def _runs(batches, size, gram):
-    """(doc, text hash, text) -> (key, segment hash, doc, text hash, start, n) per run of windows."""
+    """(row, text) -> (key, segment hash, row, start, n) per run of windows."""
     for batch in batches:
-        ids, hashes = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-        for w in text_chunks(batch.column(2), blank_separated()):
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for w in text_chunks(batch.column(1), blank_separated()):
             counts = w.counts()
             if not (counts >= size).any():
                 continue
@@ -89,9 +90,8 @@ def _runs(batches, size, gram):
             start, doc = at[begin], text[begin]
             yield pa.RecordBatch.from_arrays([
                 as_long(mix(value[start])), as_long(_slice_hash(_prefix_hash(h), start, n + size - 1)),
-                pa.array(ids[w.first + doc], pa.int64()), pa.array(hashes[w.first + doc], pa.int32()),
-                pa.array(start - w.offsets[doc], pa.int32()), pa.array(n, pa.int32())],
-                names=["key", "seg", "did", "th", "start", "n"])
+                pa.array(ids[w.first + doc], pa.int64()), pa.array(start - w.offsets[doc], pa.int32()), pa.array(n, pa.int32())],
+                names=["key", "seg", "row", "start", "n"])
 
 
 _SEGMENT = pa.struct([("key", pa.int64()), ("run", pa.int64()), ("seg", pa.int64()), ("i", pa.int32()), ("weight", pa.int64()),
@@ -127,57 +127,71 @@ def _texts(batches, size):
                                     "words": b" ".join(own).decode()})
                 segments.append(out)
         yield pa.RecordBatch.from_arrays([
-            table["doc_id"], table["did"], table["th"], pa.array(n_words, pa.int64()), pa.array(shas, pa.string()),
-            pa.array([t if a else None for t, a in zip(table["text"].to_pylist(), table["affected"].to_pylist(), strict=True)],
-                     pa.string()),
-            pa.array(segments, pa.list_(_SEGMENT))],
-            names=["doc_id", "did", "th", "n_words", "sha", "text", "segments"])
+            table["doc_id"], table["row"], pa.array(n_words, pa.int64()), pa.array(shas, pa.string()),
+            pc.if_else(table["affected"], table["text"], None), pa.array(segments, pa.list_(_SEGMENT))],
+            names=["doc_id", "row", "n_words", "sha", "text", "segments"])
+
+
+def _solve(pieces: list[tuple], size: int) -> pa.RecordBatch:
+    """One shard: the starts of repeated windows of those segments that have any."""
+    keys, segs, weights = (np.concatenate([p[i] for p in pieces]) for i in (0, 1, 3))
+    words = pc.split_pattern(pa.chunked_array([p[2] for p in pieces]).combine_chunks(), " ")
+    lengths = np.diff(words.offsets.to_numpy()).astype(np.int64)
+    numbers = words.flatten().dictionary_encode().indices.to_numpy().astype(np.int64) + 1
+    owner, start = FMIndex.of(numbers, lengths, weights).repeated_runs(size)
+    some, first = np.unique(owner, return_index=True)
+    offsets = pa.array(np.append(first, len(owner)), pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys[some], pa.int64()), pa.array(segs[some], pa.int64()),
+         pa.ListArray.from_arrays(offsets, pa.array(start, pa.int32()))], names=["key", "seg", "starts"])
 
 
 def _search(batches, size, shard_words):
     """Segments sorted by key -> (key, words hash, starts of repeated windows) of those that have any."""
-
-    def solve(rows):
-        lists = [r[2].encode().split() for r in rows]
-        numbers: dict[bytes, int] = {}
-        seqs = [np.array([numbers.setdefault(x, len(numbers) + 1) for x in s], np.int64) for s in lists]
-        starts = FMIndex(seqs, np.array([r[3] for r in rows])).repeated(size)
-        some = [i for i, s in enumerate(starts) if len(s)]
-        return pa.RecordBatch.from_arrays([
-            pa.array([rows[i][0] for i in some], pa.int64()), pa.array([rows[i][1] for i in some], pa.int64()),
-            pa.array([starts[i].tolist() for i in some], pa.list_(pa.int32()))], names=["key", "seg", "starts"])
-
-    held, words = [], 0
+    held, words, last = [], 0, None
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
-            if words >= shard_words and row[0] != held[-1][0]:
-                yield solve(held)
-                held, words = [], 0
-            held.append(row)
-            words += row[2].count(" ") + 1
+        if not batch.num_rows:
+            continue
+        keys, segs, weights = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 3))
+        texts = batch.column(2)
+        total = np.concatenate([[0], np.cumsum(pc.count_substring(texts, " ").to_numpy().astype(np.int64) + 1)])
+        begins = np.flatnonzero(np.concatenate([[keys[0] != last], keys[1:] != keys[:-1]]))
+        at = 0
+        while True:  # a shard ends where a key ends, once it is full
+            cut = begins[np.searchsorted(begins, np.searchsorted(total, total[at] + shard_words - words)):]
+            stop = int(cut[0]) if len(cut) else batch.num_rows
+            if stop > at:
+                held.append((keys[at:stop], segs[at:stop], texts.slice(at, stop - at), weights[at:stop]))
+                words += int(total[stop] - total[at])
+            if not len(cut):
+                break
+            if held:
+                yield _solve(held, size)
+            held, words, at = [], 0, stop
+        last = keys[-1]
     if held:
-        yield solve(held)
+        yield _solve(held, size)
 
 
 def _remove(batches, size):
     for batch in batches:
         table = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-        removed, shas = [], []
-        for text, sha, hits in zip(table["text"].to_pylist(), table["sha"].to_pylist(), table["hits"].to_pylist(),
-                                   strict=True):
-            if not hits:
-                removed.append(0)
-                shas.append(sha)
-                continue
-            words = (text or "").encode().split()
-            covered = np.zeros(len(words) + 1, np.int64)
-            for h in hits:
-                at = np.asarray(h["starts"], np.int64) + h["start"]
-                covered[at] += 1
-                covered[at + size] -= 1  # places are distinct within one run
-            gone = np.cumsum(covered[:-1]) > 0
-            removed.append(int(gone.sum()))
-            shas.append(hashlib.sha256(b" ".join([x for x, g in zip(words, gone, strict=True) if not g])).hexdigest())
+        hits = table["hits"]
+        runs = hits.flatten()
+        starts = runs.field("starts")
+        each = np.diff(starts.offsets.to_numpy())
+        at = starts.flatten().to_numpy(zero_copy_only=False) + np.repeat(runs.field("start").to_numpy(zero_copy_only=False), each)
+        ends = np.concatenate([[0], np.cumsum(each)])  # places of the runs before a run
+        n_runs = pc.fill_null(pc.list_value_length(hits), 0).to_numpy()
+        border = ends[np.concatenate([[0], np.cumsum(n_runs)])]
+        removed, shas = np.zeros(batch.num_rows, np.int64), table["sha"].to_pylist()
+        for i in np.flatnonzero(border[1:] > border[:-1]):
+            words = (table["text"][i].as_py() or "").encode().split()
+            mine = at[border[i]:border[i + 1]]
+            covered = np.bincount(mine, minlength=len(words) + 1) - np.bincount(mine + size, minlength=len(words) + 1)
+            left = np.cumsum(covered[:-1]) == 0
+            removed[i] = len(words) - left.sum()
+            shas[i] = hashlib.sha256(b" ".join(compress(words, left.tolist()))).hexdigest()
         yield pa.RecordBatch.from_arrays([table["doc_id"], table["n_words"], pa.array(removed, pa.int64()),
                                           pa.array(shas, pa.string())],
                                          names=["doc_id", "n_words", "n_removed", "kept_sha256"])
@@ -189,30 +203,27 @@ class RepeatedWindows:
     def __init__(self, docs: DataFrame, size: int = SIZE, gram: int = GRAM, hot: int = HOT,
                  shard_words: int = SHARD_WORDS):
         self.size = size
-        rows = docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("did"),
-            F.coalesce(F.hash("text"), F.lit(0)).alias("th"), "text")
-        runs = written(rows.where("text is not null").select("did", "th", "text").mapInArrow(
-            lambda it: _runs(it, size, gram), "key long, seg long, did long, th int, start int, n int"), "runs")
+        rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                   F.monotonically_increasing_id().alias("row"), "text"), "rows")
+        runs = written(rows.where("text is not null").select("row", "text").mapInArrow(
+            lambda it: _runs(it, size, gram), "key long, seg long, row long, start int, n int"), "runs")
         # (written, so that a hot key's runs meet it in a join that Spark can split)
         shared = written(runs.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "keys")
         kept = written(runs.join(shared, "key", "left_semi"), "kept-runs")
         segments = kept.groupBy("key", "seg", "n").agg(
-            F.count(F.lit(1)).alias("weight"), F.min(F.struct("did", "th", "start")).alias("at"))
+            F.count(F.lit(1)).alias("weight"), F.min(F.struct("row", "start")).alias("at"))
         segments = written(segments.select("key", "seg", "n", "weight", "at.*"), "segments")
         split = segments.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where(F.col("different") > hot)
-        asked = segments.join(split.select("key", F.lit(True).alias("hot")), "key", "left").groupBy("did", "th").agg(
+        asked = segments.join(split.select("key", F.lit(True).alias("hot")), "key", "left").groupBy("row").agg(
             F.collect_list(F.struct("key", "seg", "start", "n", "weight",
                                     F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked"))
-        affected = kept.groupBy("did", "th").agg(F.lit(True).alias("affected"))
-        plan = affected.join(asked, ["did", "th"], "left")
-        # repeated rows of one document must give its segments once
-        self.texts = written(rows.join(plan, ["did", "th"], "left").select(
-            "doc_id", "did", "th", "text", "affected", "asked").mapInArrow(
+        affected = kept.groupBy("row").agg(F.lit(True).alias("affected"))
+        plan = affected.join(asked, "row", "left")
+        self.texts = written(rows.join(plan, "row", "left").select(
+            "doc_id", "row", "text", F.coalesce("affected", F.lit(False)).alias("affected"), "asked").mapInArrow(
             lambda it: _texts(it, size),
-            "doc_id long, did long, th int, n_words long, sha string, text string, "
+            "doc_id long, row long, n_words long, sha string, text string, "
             "segments array<struct<key long, run long, seg long, i int, weight long, words string>>"), "texts")
-        # (a repeated row gives its pieces again; their weights were above one before, so no count changes sides)
         pieces = self.texts.select(F.explode("segments").alias("s")).select("s.*")
         whole = pieces.where("i < 0").select("key", "seg", "words", "weight")
         # a window of a hot key that only one document holds once can't repeat
@@ -223,20 +234,20 @@ class RepeatedWindows:
         self.kept, self.pieces = kept, pieces
 
     def intervals(self) -> DataFrame:
-        """(did, th, start, starts): repeated windows of each document, run by run."""
+        """(row, start, starts): repeated windows of each document, run by run."""
         found = written(self.searched, "found")
         single = self.pieces.where("i >= 0").select(F.col("key").alias("win"), F.col("run").alias("key"), "seg", "i").join(
             found.select(F.col("key").alias("win")), "win", "left_semi").groupBy("key", "seg").agg(
             F.collect_set("i").alias("starts"))
-        return self.kept.select("key", "seg", "did", "th", "start").join(
-            found.unionByName(single), ["key", "seg"]).select("did", "th", "start", "starts")
+        return self.kept.select("key", "seg", "row", "start").join(
+            found.unionByName(single), ["key", "seg"]).select("row", "start", "starts")
 
 
 def remove_repeats(docs: DataFrame, size: int = SIZE, **options) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) per row of docs."""
     repeats = RepeatedWindows(docs, size, **options)
-    hits = repeats.intervals().groupBy("did", "th").agg(
+    hits = repeats.intervals().groupBy("row").agg(
         F.collect_list(F.struct("start", "starts")).alias("hits"))
-    return repeats.texts.select("doc_id", "did", "th", "n_words", "sha", "text").join(
-        hits, ["did", "th"], "left").select("doc_id", "n_words", "sha", "text", "hits").mapInArrow(
+    return repeats.texts.select("doc_id", "row", "n_words", "sha", "text").join(
+        hits, "row", "left").select("doc_id", "n_words", "sha", "text", "hits").mapInArrow(
         lambda it: _remove(it, size), "doc_id long, n_words long, n_removed long, kept_sha256 string")
