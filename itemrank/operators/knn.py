@@ -293,6 +293,11 @@ def _profile(sizes: DataFrame) -> dict:
             "max_item_nnz": int(row["cmax"] or 0), "min_weight": float(row["wmin"] or 0.0)}
 
 
+def profile(vectors: DataFrame) -> dict:
+    """Size of a vector table: n_items, nnz, max_item_nnz, min_weight."""
+    return _profile(_sizes(vectors))
+
+
 def _blocks_for(n_items: int, nnz: int, parallelism: int, items_per_block: int = ITEMS_PER_BLOCK,
                 entries_per_block: int = ENTRIES_PER_BLOCK) -> int:
     """Enough blocks that no block exceeds the item or non-zero budget, and —
@@ -320,7 +325,7 @@ def _parallelism(df: DataFrame) -> int:
 
 
 def block_count(vectors: DataFrame) -> int:
-    prof = _profile(_sizes(vectors))
+    prof = profile(vectors)
     return _blocks_for(prof["n_items"], prof["nnz"], _parallelism(vectors))
 
 
@@ -412,7 +417,7 @@ def _query_candidates(vectors: DataFrame, queries: DataFrame, k: int, metric: st
 def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: int = 6,
                     n_blocks: int | None = None, max_partitions: int = 20000,
                     hot_entries: int | None = None, queries: DataFrame | None = None,
-                    indexed: bool | None = None) -> DataFrame:
+                    indexed: bool | None = None, candidates: DataFrame | None = None) -> DataFrame:
     """Exact k nearest items for every item in ``vectors(item_id, key, weight)``.
 
     Returns ``(item_id, rank, neighbor_id, score)`` where ``score`` is the
@@ -422,8 +427,12 @@ def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: in
     Items with more than ``hot_entries`` non-zeros (default ``HOT_ENTRIES``) are taken out
     of the blocked path and handled by ``_hot_candidates``.  With ``queries``
     (a DataFrame of ``item_id``), only those items get neighbour lists — every
-    item is still a candidate — at a cost proportional to the query count.
+    item is still a candidate — at a cost proportional to the query count; with
+    ``candidates`` too, only those are offered (non-negative weights and no item
+    beyond ``hot_entries``).
     """
+    if candidates is not None and queries is None:
+        raise ValueError("candidates need queries")
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
     # Sizing needs counts; write the vectors to the shared checkpoint folder
@@ -432,7 +441,7 @@ def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: in
     vectors = vectors.select(F.col("item_id").cast("long").alias("item_id"), F.col("key").cast("long").alias("key"),
                              F.col("weight").cast("double").alias("weight"))
     vectors = written(vectors, "knn-vectors")
-    prof = _profile(_sizes(vectors))
+    prof = profile(vectors)
     hot_limit = HOT_ENTRIES if hot_entries is None else hot_entries
     parallelism = _parallelism(vectors)
     hot = None
@@ -440,6 +449,8 @@ def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: in
     # non-negative (the smallest-norm rule); signed l2 vectors (dense
     # embeddings, never hot in practice) stay on the blocked path.
     nonnegative = prof["min_weight"] >= 0
+    if candidates is not None and (not nonnegative or prof["max_item_nnz"] > hot_limit):
+        raise ValueError("candidates need non-negative weights and no hot item")
     if prof["max_item_nnz"] > hot_limit and (metric == "cosine" or nonnegative):
         hot = written(_sizes(vectors).where(F.col("c") > hot_limit).select("item_id"), "knn-hot")
     normal = vectors if hot is None else vectors.join(hot, "item_id", "left_anti")
@@ -454,30 +465,29 @@ def top_k_neighbors(vectors: DataFrame, k: int, metric: str = "l2", decimals: in
             indexed = prof["nnz"] * nb > SENT_ENTRIES
         if indexed:
             sizes = written(_sizes(normal).select("item_id", "norm"), "knn-sizes")
-            found = routed.RoutedSearch(normal, sizes, k, metric, decimals, nb, queries)
+            found = routed.RoutedSearch(normal, sizes, k, metric, decimals, nb, queries, candidates)
         else:
-            found = routed.SentToAll(normal, k, metric, decimals, nb, queries)
+            found = routed.SentToAll(normal, k, metric, decimals, nb, queries, candidates)
         lists = found.lists(max_partitions)
         if hot is None:
             return lists
-        candidates = lists.select("item_id", "neighbor_id", "score")
+        pairs = lists.select("item_id", "neighbor_id", "score")
     elif queries is None:
         nb = n_blocks or _blocks_for(prof["n_items"], prof["nnz"], parallelism)
-        candidates = _blocked_candidates(normal, k, metric, decimals, nb, max_partitions)
+        pairs = _blocked_candidates(normal, k, metric, decimals, nb, max_partitions)
     else:
         nqb = max(1, math.ceil(n_q / ITEMS_PER_BLOCK), math.ceil(q_nnz / ENTRIES_PER_BLOCK))
         nb_c = n_blocks or _blocks_for(prof["n_items"], prof["nnz"], max(1, parallelism // nqb))
-        candidates = _query_candidates(normal, queries, k, metric, decimals, nb_c, nqb,
-                                       max_partitions)
+        pairs = _query_candidates(normal, queries, k, metric, decimals, nb_c, nqb, max_partitions)
     if hot is not None:
         hot_c = _hot_candidates(vectors, hot, k, metric, decimals, nonnegative)
         if queries is not None:
             hot_c = hot_c.join(queries, "item_id", "left_semi")
-        candidates = candidates.unionByName(hot_c)
+        pairs = pairs.unionByName(hot_c)
     score = F.round("score", decimals)
     order = [score.asc() if metric == "l2" else score.desc(), F.col("neighbor_id").asc()]
     w = Window.partitionBy("item_id").orderBy(*order)
-    return (candidates.withColumn("rank", F.row_number().over(w))
+    return (pairs.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
             .select("item_id", "rank", "neighbor_id", score.alias("score")))
 

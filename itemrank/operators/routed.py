@@ -328,7 +328,8 @@ def _placed(rows: DataFrame, n_blocks: int, max_partitions: int) -> DataFrame:
 class SentToAll:
     """Every item goes to every block, which then decides by its bounds: for few entries times blocks."""
 
-    def __init__(self, vectors: DataFrame, k: int, metric: str, decimals: int, n_blocks: int, seekers: DataFrame | None = None):
+    def __init__(self, vectors: DataFrame, k: int, metric: str, decimals: int, n_blocks: int, seekers: DataFrame | None = None,
+                 candidates: DataFrame | None = None):
         self.k, self.metric, self.decimals, self.n_blocks, self.own = k, metric, decimals, n_blocks, seekers is None
         items = _gathered(vectors, F.struct("key", "weight")).select(
             "item_id", "norm", F.col("e.key").alias("keys"), F.col("e.weight").alias("weights"),
@@ -337,7 +338,8 @@ class SentToAll:
         if seekers is None:
             self.rows = every.withColumn("side", F.when(F.col("blk") == F.col("home"), 0).otherwise(1))
         else:
-            self.rows = every.withColumn("side", F.lit(1)).unionByName(
+            offered = every if candidates is None else every.join(candidates, "item_id", "left_semi")
+            self.rows = offered.withColumn("side", F.lit(1)).unionByName(
                 items.join(seekers, "item_id", "left_semi").withColumn("blk", F.col("home")).withColumn("side", F.lit(0)))
 
     def _rows(self, max_partitions: int) -> DataFrame:
@@ -358,11 +360,16 @@ class SentToAll:
 
 
 class RoutedSearch(SentToAll):
-    """Blocks, routes and search over ``vectors(item_id, key, weight)`` with squared ``norms(item_id, norm)``; ``seekers(item_id)`` get lists, or all items."""
+    """Blocks, routes and search over ``vectors(item_id, key, weight)`` with squared ``norms(item_id, norm)``; ``seekers(item_id)`` get lists, or all items.
+
+    Lists are drawn from ``candidates(item_id)``, or from all items.
+    """
 
     def __init__(self, vectors: DataFrame, norms: DataFrame, k: int, metric: str, decimals: int, n_blocks: int,
-                 seekers: DataFrame | None = None):
+                 seekers: DataFrame | None = None, candidates: DataFrame | None = None):
         self.k, self.metric, self.decimals, self.n_blocks, self.own = k, metric, decimals, n_blocks, seekers is None
+        if candidates is not None:
+            norms = norms.join(candidates, "item_id", "left_semi")
         keys = vectors.groupBy("key").agg(F.count("*").alias("degree"), F.max("weight").alias("top"))
         items = _gathered(vectors.join(keys, "key"), F.struct("degree", "key", "weight", "top"))
         self.seeds, kept = None, F.lit(1)
@@ -386,6 +393,8 @@ class RoutedSearch(SentToAll):
         else:
             self.items = written(items.withColumn("blk", F.lit(-1)), "knn-items")
             self.blocks = written(self._dealt(self.items.drop("blk").join(seekers, "item_id", "left_semi")), "knn-blocks")
+            if candidates is not None:
+                self.items = self.items.join(candidates, "item_id", "left_semi")
 
     def _dealt(self, items: DataFrame) -> DataFrame:
         return items.repartitionByRange(self.n_blocks, "place", "item_id").drop("place").withColumn("blk", F.spark_partition_id())

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
 from . import knn, prep
 
 CF_DECIMALS = 6       # squared distances are ranked after rounding to 1e-6
@@ -30,10 +31,43 @@ def cf_neighbors(latest: DataFrame, k: int = 5, n_blocks: int | None = None,
     (movie_id, rank, neighbor_id, distance).  Exact: every rated movie is a
     candidate, including movies that share no rater (distance = |a|² + |b|²).
     """
-    nn = knn.top_k_neighbors(cf_vectors(latest), k, "l2", CF_DECIMALS, n_blocks,
-                             queries=_as_items(query_items))
-    return nn.select(F.col("item_id").alias("movie_id"), "rank", "neighbor_id",
-                     F.col("score").alias("distance"))
+    return _cf_lists(knn.top_k_neighbors(cf_vectors(latest), k, "l2", CF_DECIMALS, n_blocks,
+                                         queries=_as_items(query_items)))
+
+
+def updated_cf_neighbors(previous: DataFrame, latest: DataFrame, raters: DataFrame, k: int = 5,
+                         full_share: float = 0.5) -> DataFrame:
+    """R1 after some users' ratings changed: the lists of ``previous`` brought up to ``latest``.
+
+    ``raters(user_id)`` are the users with new ratings; ``previous`` are the
+    lists of the matrix before, of the same rated movies (a new one changes
+    every user's scale: that needs a full search).  A changed rating moves its
+    user's scale, so all movies of these users are touched.  Lists to make anew
+    are those of touched movies and those that hold one (a look-up of
+    ``previous`` by neighbour).  Every other list can only be entered by touched
+    movies: its entries, whose distances stand, meet its best ``k`` touched
+    ones.  If more than ``full_share`` of the movies are touched, or one is too
+    large for a task, all lists are made anew.
+    """
+    vectors = written(cf_vectors(latest), "cf-vectors")
+    touched = written(latest.join(raters.select("user_id").distinct(), "user_id", "left_semi")
+                      .select(F.col("movie_id").alias("item_id")).distinct(), "touched")
+    size = knn.profile(vectors)
+    if touched.count() > full_share * size["n_items"] or size["max_item_nnz"] > knn.HOT_ENTRIES:
+        return _cf_lists(knn.top_k_neighbors(vectors, k, "l2", CF_DECIMALS))
+    losing = previous.join(touched.select(F.col("item_id").alias("neighbor_id")), "neighbor_id", "left_semi")
+    anew = written(touched.unionByName(losing.select(F.col("movie_id").alias("item_id"))).distinct(), "anew")
+    rest = vectors.select("item_id").distinct().join(anew, "item_id", "left_anti")
+    made = _cf_lists(knn.top_k_neighbors(vectors, k, "l2", CF_DECIMALS, queries=anew))
+    entering = _cf_lists(knn.top_k_neighbors(vectors, k, "l2", CF_DECIMALS, queries=rest, candidates=touched))
+    kept = previous.join(anew.select(F.col("item_id").alias("movie_id")), "movie_id", "left_anti")
+    best = Window.partitionBy("movie_id").orderBy("distance", "neighbor_id")
+    merged = (kept.unionByName(entering).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k))
+    return made.unionByName(merged.select(made.columns))
+
+
+def _cf_lists(lists: DataFrame) -> DataFrame:
+    return lists.select(F.col("item_id").alias("movie_id"), "rank", "neighbor_id", F.col("score").alias("distance"))
 
 
 def content_vectors(movies: DataFrame, stop_words: bool = True) -> DataFrame:

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, merge, prep, recommend, search, similarity, stats, validate
-from ..streaming import ingest, refresh
+from ..streaming import batching, ingest, refresh
 from ..session import scratch_path
-from ..sources import files, fixtures, store
+from ..sources import event_folder, files, fixtures, store
 from . import params as P
 from .tables import Tables
 
@@ -487,6 +487,40 @@ def stream_model_refresh(spark, sf_dir):
     refresh.run_with_refresh(spark, sf_dir, t.ratings, t.movies, path, 1, P.NEIGHBORS)
     return store.load_model(spark, path)["neighbors"]
 
+
+@register("stream_source_ratings")
+def stream_source_ratings(spark, sf_dir):
+    """Events put into an event folder in two submissions, read through the streaming source and validated."""
+    path = scratch_path(spark, "event-folder")
+    raw = fixtures.table(spark, sf_dir, "events")
+    for part in (0, 1):
+        event_folder.append_events(spark, path, raw.where(F.col("event_id") % 2 == part))
+    res = ingest.run_ingest(spark, sf_dir, Tables(spark, sf_dir).movies, raw_events=event_folder.event_folder_stream(spark, path))
+    return res.valid(spark).drop("batch_id")
+
+
+@register("stream_size_or_time")
+def stream_size_or_time(spark, sf_dir):
+    """ST2: batches of 100 events or of what came in 5 seconds, by lane: their sizes and what set them off."""
+    events = fixtures.rating_events_from(ingest.event_stream(spark, sf_dir))
+    query, path = batching.start(spark, events)
+    try:
+        batching.wait_for(spark, query, path, fixtures.table(spark, sf_dir, "events").count())
+    finally:
+        batching.stop(query)
+    return batching.read_batches(spark, path).groupBy("lane", "batch", "set_off_by").agg(F.count("*").alias("events"))
+
+
+@register("stream_updated_neighbors")
+def stream_updated_neighbors(spark, sf_dir):
+    """ST4: CF neighbours brought up to date after each of several micro-batches, never searched anew."""
+    t = Tables(spark, sf_dir, materialize=True)
+    path = scratch_path(spark, "model")
+    refresh.run_with_refresh(spark, sf_dir, t.ratings, t.movies, path, 1, P.NEIGHBORS,
+                             raw_events=_split_events(spark, sf_dir), full_share=1.0)
+    return store.load_model(spark, path)["neighbors"]
+
+
 # --- fuzzy title search -------------------------------------------------------------
 
 @register("search_title")

@@ -7,6 +7,7 @@ every ranking ends with an id so the order is total.
 
 from __future__ import annotations
 
+from ..streaming import batching
 from . import params as P
 
 FIXTURES = r"""
@@ -449,6 +450,15 @@ SQL["stream_progress"] = "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS num_
 SQL["stream_model_refresh"] = q(CHECK_CTES + cf_ctes("merged_latest", "m") + "\nSELECT movie_id, rank, neighbor_id, distance FROM mcf")
 
 
+SQL["stream_source_ratings"] = SQL["valid_new_ratings"]
+SQL["stream_size_or_time"] = f"""
+WITH lanes AS (SELECT CAST(event_id % {batching.LANES} AS BIGINT) AS lane, count(*) AS n FROM events GROUP BY 1)
+SELECT lane, batch, CASE WHEN (batch + 1) * {batching.SIZE} <= n THEN 'size' ELSE 'time' END AS set_off_by,
+       least({batching.SIZE}, n - batch * {batching.SIZE}) AS events
+FROM (SELECT lane, n, unnest(range(0, (n + {batching.SIZE} - 1) // {batching.SIZE})) AS batch FROM lanes)"""
+SQL["stream_updated_neighbors"] = SQL["stream_model_refresh"]
+
+
 SQL["embedding_neighbors"] = q(f"""
 , ev AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(len(embedding))) AS j
          FROM embeddings)
