@@ -120,7 +120,7 @@ def size_or_time_batches(events: DataFrame, size: int = SIZE, wait_seconds: floa
 
 
 def start(spark: SparkSession, events: DataFrame, sink: str | None = None, size: int = SIZE,
-          wait_seconds: float = WAIT_SECONDS, lanes: int = LANES, poll: str = "1 second") -> tuple[StreamingQuery, str]:
+          wait_seconds: float = WAIT_SECONDS, lanes: int = LANES, poll: str = "2 seconds") -> tuple[StreamingQuery, str]:
     """Start writing batches to ``sink``/batches (idempotent by micro-batch); returns the query and the table's path."""
     sink = sink or scratch_path(spark, "size-or-time")
 
@@ -154,7 +154,7 @@ def wait_for(spark: SparkSession, query: StreamingQuery, path: str, n_events: in
     raise TimeoutError(f"{n_events} events did not come out in {timeout} s")
 
 
-def stop(query: StreamingQuery, timeout: float = 30.0) -> None:
+def stop(query: StreamingQuery, timeout: float = 10.0) -> None:
     """Stop between two triggers: the query looks at its timers all the time, also without events."""
     end = time.monotonic() + timeout
     while query.isActive and query.status["isTriggerActive"] and time.monotonic() < end:
