@@ -49,9 +49,9 @@ levels AS (SELECT depth, address >> ({sharding.BITS} - depth) AS prefix, sum(doc
            FROM sized, (SELECT unnest(range(0, {sharding.BITS + 1}))::INT AS depth) GROUP BY ALL),
 ends AS (SELECT s.doc_id, s.address, s.doc_bytes, min(l.depth) AS depth
          FROM sized s JOIN levels l ON l.prefix = s.address >> ({sharding.BITS} - l.depth)
-         WHERE l.b <= {sharding.LIMIT} OR l.n = 1 OR l.depth = {sharding.BITS} GROUP BY ALL)
+         WHERE l.b <= {sharding.SMALL_LIMIT} OR l.n = 1 OR l.depth = {sharding.BITS} GROUP BY ALL)
 SELECT doc_id, CASE WHEN e.depth = 0 THEN '' ELSE lpad(bin(l.prefix), e.depth, '0') END AS shard, e.depth, doc_bytes,
-       CAST(l.b AS BIGINT) AS shard_bytes, l.n AS shard_docs, l.b > {sharding.LIMIT} AS oversized
+       CAST(l.b AS BIGINT) AS shard_bytes, l.n AS shard_docs, l.b > {sharding.SMALL_LIMIT} AS oversized
 FROM ends e JOIN levels l ON l.depth = e.depth AND l.prefix = e.address >> ({sharding.BITS} - e.depth)"""
 
 SQL["op9_decontamination"] = f"""

@@ -32,7 +32,7 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sharding.shard_table(docs)
+    return sharding.shard_table(docs, sharding.SMALL_LIMIT)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,7 @@ ADDED = ("shard", "depth", "doc_bytes", "shard_bytes", "shard_docs", "oversized"
 BITS = 60
 STEP = 10
 LIMIT = 64 << 20
+SMALL_LIMIT = 1 << 20  # of the registered query: small enough that every given table splits
 
 
 def address(key: str = "doc_id") -> Column:
@@ -73,9 +74,6 @@ def directory(sized: DataFrame, limit: int, step: int = STEP) -> DataFrame:
     return written(out, "directory")
 
 
-ADDED = ("shard", "depth", "doc_bytes", "shard_bytes", "shard_docs", "oversized")
-
-
 def _placed(rows: DataFrame, limit: int, step: int) -> DataFrame:
     """Rows with ``address`` and ``doc_bytes``, with their directory entry ``e``.
 

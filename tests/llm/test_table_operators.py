@@ -244,3 +244,23 @@ def test_pipeline_stages_on_awkward_rows(spark, tmp_path):
             assert docs.columns == [c.split()[0] for c in schema.split(", ")]
         last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
         assert (last.count() > 0) == bool(given)
+
+
+def test_near_dedup_stage_keeps_one_row_of_copies(spark):
+    """Repeated rows and copies leave one row; rows without an id stay unless their text is another's copy."""
+    import corpus_pipeline
+
+    text = [" ".join(f"t{k}w{i}" for i in range(40)) for k in range(5)]
+    rows = [(1, text[0], 7), (1, text[0], 7), (2, text[0] + " tail", 7), (3, text[1], 7), (None, text[2], 7), (None, text[2], 7),
+            (None, text[1], 7), (None, text[3], 7), (4, text[4], 7), (4, text[4] + " other words that differ", 7), (None, None, 7), (5, "", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, at int").repartition(3)
+    got = collections.Counter(tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    assert got == collections.Counter([(1, text[0], 7), (3, text[1], 7), (None, text[2], 7), (None, text[3], 7), (4, text[4], 7),
+                                       (4, text[4] + " other words that differ", 7), (None, None, 7), (5, "", 7)])
+
+
+def test_registered_sharding_splits(spark):
+    from itemrank.llm import queries as llm_queries
+
+    got = llm_queries.op6_sharding(spark, "/root/testdata/sf0.01")
+    assert got.agg(F.countDistinct("shard")).first()[0] > 2 and got.agg(F.max("shard_bytes")).first()[0] <= 1 << 20
