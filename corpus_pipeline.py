@@ -5,9 +5,10 @@ and returns a DataFrame, which is written as Parquet into the shared folder
 and read back as the next stage's ``docs``.  All stages but the last return
 the columns of ``documents``; the last one adds the shard's columns.
 
-A row with a null ``doc_id`` can't be joined to its verdict and is kept by
-the two stages that drop documents only if it is not judged: quality rules
-and decontamination keep it, near-duplicates drop it (it has no id to stay by).
+A row with a null ``doc_id`` can't be joined to its verdict: quality rules and
+decontamination keep it.  Near-duplicates judge it by its text, under an id
+made from the text's hash, above other ids.  Of rows with the same id and the
+same text they keep one.
 """
 
 from __future__ import annotations
@@ -27,9 +28,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
-    kept = minhash_dedup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """One document of each near-duplicate group stays, as one row."""
+    by_text = F.expr("shiftleft(1L, 62) | (xxhash64(text) & (shiftleft(1L, 61) - 1))")
+    rows = written(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("at"),
+                               F.coalesce(F.col("doc_id").cast("long"), by_text).alias("id")), "numbered")
+    kept = minhash_dedup.near_duplicates(rows.select(F.col("id").alias("doc_id"), "row.text")).where("kept").select(
+        F.col("doc_id").alias("id")).distinct()
+    text_hashes = [F.xxhash64(F.lit(seed), "row.text").alias(f"h{seed}") for seed in (1, 2)]
+    first = rows.groupBy("id", *text_hashes).agg(F.min("at").alias("at")).join(kept, "id", "left_semi").select("at")
+    return rows.join(first, "at", "left_semi").select("row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
