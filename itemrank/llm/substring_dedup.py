@@ -204,7 +204,7 @@ class RepeatedWindows:
                  shard_words: int = SHARD_WORDS):
         self.size = size
         rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                   F.monotonically_increasing_id().alias("row"), "text"), "rows")
+                                   F.monotonically_increasing_id().alias("row"), "text"), "rows", "zstd")
         runs = written(rows.where("text is not null").select("row", "text").mapInArrow(
             lambda it: _runs(it, size, gram), "key long, seg long, row long, start int, n int"), "runs")
         # (written, so that a hot key's runs meet it in a join that Spark can split)
@@ -223,7 +223,7 @@ class RepeatedWindows:
             "doc_id", "row", "text", F.coalesce("affected", F.lit(False)).alias("affected"), "asked").mapInArrow(
             lambda it: _texts(it, size),
             "doc_id long, row long, n_words long, sha string, text string, "
-            "segments array<struct<key long, run long, seg long, i int, weight long, words string>>"), "texts")
+            "segments array<struct<key long, run long, seg long, i int, weight long, words string>>"), "texts", "zstd")
         pieces = self.texts.select(F.explode("segments").alias("s")).select("s.*")
         whole = pieces.where("i < 0").select("key", "seg", "words", "weight")
         # a window of a hot key that only one document holds once can't repeat
