@@ -11,12 +11,14 @@ tells licence families from ``unknown``.  It is trained here, by proximal
 gradient descent with an L1 penalty (so most weights are exactly 0), on
 variants of the templates (words dropped, a few corpus words or those that fill
 a window around them) and, for
-``unknown``, on a bounded sample of corpus paragraphs (``sample`` of them, in
-hash order) plus shuffled template words.  A temperature and the least
-probability for a family are then fitted on held-out variants, so that
-``unknown`` is calibrated.  A predicted family is confirmed by comparison with
-its templates: the share of a template's word pairs that the passage holds,
-in order, must reach ``confirm``; unconfirmed passages are ``unknown``.  A notice
+``unknown``, on a bounded sample of corpus passages (``sample`` of them, in
+hash order, drawn from all words of all paragraphs) plus shuffled template
+words.  A temperature and the least probability for a family are then fitted on
+held-out variants, so that ``unknown`` is calibrated.  A predicted family is
+confirmed by comparison with the templates: the share of a template's word
+pairs that the passage holds, in order, must reach ``confirm`` and no other
+family's template may reach more, so that a word which sets two notices apart
+decides between them; unconfirmed passages are ``unknown``.  A notice
 is a confirmed line, or a run of overlapping confirmed windows of one family that
 touches no confirmed line of that family.
 
@@ -43,46 +45,93 @@ from .textops import alphanumeric, ngram_hashes, ragged, text_chunks
 
 BITS = 16
 SAMPLE = 2000
-SAMPLE_WORDS = 60
 CONFIRM = 0.8
 STEPS = (8, 16, 32)
 UNKNOWN = "unknown"
 
 #: Notices of the licence families (fixed values).
 TEMPLATES: dict[str, tuple[str, ...]] = {
+    "AGPL": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+        "SPDX-License-Identifier: Apache-2.0",
     ),
     "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Released under the BSD 3-Clause License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "SPDX-License-Identifier: BSD-3-Clause",
     ),
     "CC-BY": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-4.0",
     ),
     "CC-BY-NC": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
+    ),
+    "CC-BY-ND": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-ND-4.0",
+    ),
+    "CC-BY-SA": (
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
+    ),
+    "EPL": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
+    "EUPL": (
+        "Licensed under the EUPL, Version 1.2 or - as soon they will be approved by the European Commission - subsequent versions of the EUPL",
+        "SPDX-License-Identifier: EUPL-1.2",
     ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "Released under the ISC License.",
+        "SPDX-License-Identifier: ISC",
     ),
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
     ),
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "SPDX-License-Identifier: MIT",
     ),
     "MPL": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
     ),
     "Public-Domain": (
         "This is free and unencumbered software released into the public domain.",
         "To the extent possible under law, the author has waived all copyright under CC0 1.0 Universal.",
+        "SPDX-License-Identifier: CC0-1.0",
+        "SPDX-License-Identifier: Unlicense",
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages",
+        "Released under the zlib License.",
+        "SPDX-License-Identifier: Zlib",
     ),
 }
 
@@ -122,10 +171,20 @@ class LicenseModel:
             out[i] += self.weights[f].sum(axis=0) / np.sqrt(max(1, len(f)))
         return out
 
-    def similarity(self, klass: int, h: np.ndarray) -> float:
-        """Greatest share of a template's word pairs (ordered) that the paragraph holds."""
-        own = ngram_hashes(h, 2)
-        return max((float(np.isin(p, own).mean()) for k, p in self.pairs if k == klass and len(p)), default=0.0)
+    def similarities(self, h: np.ndarray) -> np.ndarray:
+        """By class: the greatest share of a template's word pairs (ordered) that the passage holds."""
+        own, out = ngram_hashes(h, 2), np.zeros(len(self.classes))
+        if len(self.pairs):
+            each = np.concatenate([p for _, p in self.pairs])
+            owner = np.repeat(np.arange(len(self.pairs)), [len(p) for _, p in self.pairs])
+            share = np.bincount(owner, weights=np.isin(each, own)) / np.bincount(owner)
+            np.maximum.at(out, [k for k, _ in self.pairs], share)
+        return out
+
+    def confirms(self, klass: int, h: np.ndarray, confirm: float) -> bool:
+        """Whether a template of the class is found, and none of another class better."""
+        found = self.similarities(h)
+        return bool(found[klass] >= confirm and found[klass] >= found.max())
 
     def fewest(self, confirm: float) -> int:
         """The least number of different template pairs with which a passage can be confirmed."""
@@ -135,24 +194,30 @@ class LicenseModel:
         return min((needed(p) for _, p in self.pairs if len(p)), default=1)
 
 
-def _training_rows(corpus: list[str], classes: list[str], rng) -> tuple[list[str], np.ndarray]:
+def _training_rows(corpus: list[str], probe: LicenseModel, rng) -> tuple[list[str], np.ndarray]:
+    classes = probe.classes
     filler = [w for p in corpus for w in p.split()] or ["text"]
 
     def around(words, most):
         before, after = (list(rng.choice(filler, rng.integers(0, most + 1))) for _ in range(2))
         return " ".join([*before, *words, *after])
 
+    def variant(words, klass):
+        """The notice without a word or two, if it is still its family's."""
+        kept = [w for w in words if rng.random() > 0.05]
+        found = probe.similarities(_word_hashes([" ".join(kept)])[0])
+        return kept if found[klass] > np.delete(found, klass).max() else words
+
     texts, labels = [], []
     for family, notices in TEMPLATES.items():
         for notice in notices:
             words, size = notice.split(), len(_word_hashes([notice])[0])
             for _ in range(40):
-                kept = [w for w in words if rng.random() > 0.05]
-                texts.append(around(kept, 4))
+                texts.append(around(variant(words, classes.index(family)), 4))
                 labels.append(classes.index(family))
             room = 2 * next(s for s in STEPS if s >= size) - size
             for _ in range(40):  # as they stand in a window
-                kept = [w for w in words if rng.random() > 0.05]
+                kept = variant(words, classes.index(family))
                 more = list(rng.choice(filler, rng.integers(0, room + 1)))
                 at = int(rng.integers(0, len(more) + 1))
                 texts.append(" ".join([*more[:at], *kept, *more[at:]]))
@@ -167,14 +232,14 @@ def _training_rows(corpus: list[str], classes: list[str], rng) -> tuple[list[str
 
 
 def train(corpus: list[str], seed: int = 7, rounds: int = 120, l1: float = 2e-5) -> LicenseModel:
-    """Fit on template variants and corpus paragraphs (those that hold a whole template's pairs are left out)."""
+    """Fit on template variants and corpus passages (those that hold half of a template's pairs are left out)."""
     rng = np.random.default_rng(seed)
     classes = [UNKNOWN, *sorted(TEMPLATES)]
     pairs = [(classes.index(f), ngram_hashes(h, 2)) for f in sorted(TEMPLATES) for h in _word_hashes(list(TEMPLATES[f]))]
     probe = LicenseModel(classes, np.zeros((0, 0)), np.zeros(0), pairs=pairs)
     plain = [p for p, h in zip(corpus, _word_hashes(corpus), strict=True)
-             if max((probe.similarity(k, h) for k in range(1, len(classes))), default=0) < 0.5]
-    texts, labels = _training_rows(plain, classes, rng)
+             if probe.similarities(h).max() < 0.5]
+    texts, labels = _training_rows(plain, probe, rng)
     lists = [_features(h) for h in _word_hashes(texts)]
     held = rng.random(len(texts)) < 0.2
     size, k = 1 << BITS, len(classes)
@@ -218,15 +283,22 @@ def train(corpus: list[str], seed: int = 7, rounds: int = 120, l1: float = 2e-5)
     return LicenseModel(classes, full, b, float(temperature), least, pairs)
 
 
-def sample_paragraphs(docs: DataFrame, sample: int = SAMPLE) -> list[str]:
-    """At most ``sample`` corpus paragraphs of at most ``SAMPLE_WORDS`` words, one a document, in hash order of the id.
+def sample_passages(docs: DataFrame, sample: int = SAMPLE) -> list[str]:
+    """At most ``sample`` different passages of ``2 * STEPS[-1]`` words, in hash order, from all paragraphs' words.
 
-    Only training reads this sample; scoring reads every paragraph whole.
+    Only training reads this sample; scoring reads every paragraph whole.  The
+    passages are counted first, and only about twice the sample, picked by
+    their hash, is sorted and sent on, whatever the input's size.
     """
-    rows = docs.where("length(text) > 0").select("doc_id", F.element_at(F.filter(
-        F.split("text", "\n"), lambda x: F.length(F.trim(x)) > 0), -1).alias("p"))
-    some = rows.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "p").limit(sample).collect()
-    return sorted(" ".join(r["p"].split()[:SAMPLE_WORDS]) for r in some if r["p"])
+    size = 2 * STEPS[-1]
+    passages = docs.select(F.explode(F.split("text", "\n")).alias("line")).selectExpr(
+        "filter(split(line, '[ \\\\t\\\\x0B\\\\f\\\\r]+'), w -> w <> '') as words").where("size(words) > 0").selectExpr(
+        f"explode(transform(sequence(0, (size(words) - 1) div {size}), i -> slice(words, cast(i * {size} + 1 as int), {size}))) as words")
+    n = passages.count()
+    share = min(1.0, 2 * sample / max(1, n))
+    picked = passages.select(F.array_join("words", " ").alias("p")).withColumn("h", F.xxhash64("p")).where(
+        F.pmod("h", F.lit(1 << 40)) < int(share * (1 << 40))).groupBy("h", "p").count()
+    return sorted(r["p"] for r in picked.orderBy("h", "p").limit(sample).select("p").collect())
 
 
 def _runs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -292,7 +364,7 @@ def _scan(batches, shared, confirm):
             found: dict[tuple[int, int], list] = {}
             for i in np.flatnonzero((p.argmax(axis=1) > 0) & (p.max(axis=1) >= model.least)):
                 k = int(best[i])
-                if model.similarity(k, h[lo[i]:hi[i]]) >= confirm:
+                if model.confirms(k, h[lo[i]:hi[i]], confirm):
                     t = w.first + int(text[lo[i]])
                     families[t].add(model.classes[k])
                     top[t] = max(top[t], p[i, k])
@@ -311,7 +383,7 @@ def scan_licenses(docs: DataFrame, sample: int = SAMPLE, confirm: float = CONFIR
 
     ``families``: confirmed licence families in order, comma-joined, or ``unknown``.
     """
-    model = train(sample_paragraphs(docs, sample))
+    model = train(sample_passages(docs, sample))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         lambda it: _scan(it, shared, confirm),
