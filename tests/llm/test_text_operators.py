@@ -387,3 +387,22 @@ def test_windows_give_a_distribution():
         first = got[:-1] if last == 2 else first
         assert np.allclose(first, got[:-1])
     assert total == pytest.approx(1.0, abs=1e-5)
+
+
+@pytest.mark.parametrize("scale", [1, 40, 400])
+def test_later_tokens_never_change_earlier_ones(scale):
+    """Also with weights so strong that scores are in the hundreds; probabilities of all ids still add up to one."""
+    from itemrank.llm import attention_lm as lm
+
+    shape, rng = lm.Shape(4, 4, 6, 16), np.random.default_rng(5)
+    p = {k: (v * scale).astype(np.float32) for k, v in lm.start(shape, np.arange(16) + 1.0).items()}
+    p["near"] = rng.normal(0, scale, p["near"].shape).astype(np.float32)
+    head = rng.integers(2, 18, 30)
+    total, first = 0.0, None
+    for last in range(2, 2 + shape.ids):
+        x, y, _ = lm.blocks([np.array([*head, last], np.int32)])
+        got = lm.log_probabilities(p, shape, x, y).ravel()[y.ravel() >= 0]
+        total += np.exp(got[-1])
+        first = got[:-1] if first is None else first
+        assert np.isfinite(got).all() and np.array_equal(first, got[:-1])
+    assert total == pytest.approx(1.0, abs=1e-4)
