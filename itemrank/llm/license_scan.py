@@ -198,8 +198,11 @@ def _training_rows(corpus: list[str], probe: LicenseModel, rng) -> tuple[list[st
     classes = probe.classes
     filler = [w for p in corpus for w in p.split()] or ["text"]
 
+    def some(words, n):
+        return [words[i] for i in rng.integers(0, len(words), n)]
+
     def around(words, most):
-        before, after = (list(rng.choice(filler, rng.integers(0, most + 1))) for _ in range(2))
+        before, after = (some(filler, rng.integers(0, most + 1)) for _ in range(2))
         return " ".join([*before, *words, *after])
 
     def variant(words, klass):
@@ -218,13 +221,13 @@ def _training_rows(corpus: list[str], probe: LicenseModel, rng) -> tuple[list[st
             room = 2 * next(s for s in STEPS if s >= size) - size
             for _ in range(40):  # as they stand in a window
                 kept = variant(words, classes.index(family))
-                more = list(rng.choice(filler, rng.integers(0, room + 1)))
+                more = some(filler, rng.integers(0, room + 1))
                 at = int(rng.integers(0, len(more) + 1))
                 texts.append(" ".join([*more[:at], *kept, *more[at:]]))
                 labels.append(classes.index(family))
     every = [w for ts in TEMPLATES.values() for t in ts for w in t.split()]
     for _ in range(400):  # licence words without a licence
-        texts.append(around(list(rng.choice(every, rng.integers(1, 6))), 12))
+        texts.append(around(some(every, rng.integers(1, 6)), 12))
         labels.append(0)
     texts += corpus
     labels += [0] * len(corpus)
