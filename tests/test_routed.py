@@ -118,3 +118,18 @@ def test_signed_vectors_keep_the_block_pairs(spark, monkeypatch, tiles):
     rng = np.random.default_rng(8)
     dense = (rng.random((40, 30)) < 0.2) * rng.integers(-5, 6, (40, 30)).astype(float)
     assert _lists(knn.top_k_neighbors(_vectors(spark, dense), 3, "l2", 6, n_blocks=2)) == _brute(dense, 3, "l2", 6)
+
+
+@pytest.mark.parametrize("told", [64, 2])
+def test_mixed_users_route_by_what_a_block_can_bring(spark, monkeypatch, told):
+    """Every item shares users with most blocks, but hardly more than one user: sharing alone sends nobody."""
+    monkeypatch.setattr(routed, "KEY_BLOCKS", told, raising=False)
+    rng = np.random.default_rng(12)
+    dense = np.zeros((600, 1200))
+    for i in range(600):
+        dense[i, rng.choice(1200, 4 if i % 100 == 0 else 12, replace=False)] = rng.integers(1, 6, 4 if i % 100 == 0 else 12)
+    rows = [(int(i), int(u), float(dense[i, u])) for i, u in zip(*np.nonzero(dense), strict=True)]
+    search = _search(spark, rows, 3, "l2", 6, 40)
+    if told == 64:
+        assert search.routes().distinct().count() < 0.25 * 600 * 40
+    assert _lists(search.lists()) == _brute(dense, 3, "l2", 6)
