@@ -167,3 +167,30 @@ def test_more_groups_than_partitions_streams_groups(spark):
     for r in got.orderBy("item_id", "rank").collect():
         res.setdefault(r.item_id, []).append(r.neighbor_id)
     assert res == _brute(dense, 4, "l2", 6)
+
+
+@pytest.mark.parametrize("asked", [None, [0, 3, 17, 59, 1000]])
+def test_equal_vectors_are_searched_once(spark, monkeypatch, asked):
+    """Similarity by classes of equal vectors gives the lists of brute force; the search itself meets each vector once."""
+    rng = np.random.default_rng(21)
+    base = (rng.random((12, 20)) < 0.3) * rng.integers(1, 5, (12, 20)).astype(float)
+    base[0] = 0
+    base[0, 19] = 1.0                               # a class that few share a key with
+    dense = base[rng.integers(0, 12, 60)]
+    norms = np.linalg.norm(dense, axis=1, keepdims=True)
+    dense = dense / np.where(norms == 0, 1, norms)
+    expected = {i: v for i, v in _brute(dense, 4, "cosine", 9).items() if v and (asked is None or i in asked)}
+    queries = None if asked is None else spark.createDataFrame([(i,) for i in asked], "item_id long")
+    inner, met = knn.top_k_neighbors, []
+
+    def spy(vectors, *args, **kwargs):
+        met.append(vectors.select("item_id").distinct().count())
+        return inner(vectors, *args, **kwargs)
+
+    monkeypatch.setattr(knn, "top_k_neighbors", spy)
+    monkeypatch.setattr(knn, "CLASS_ITEMS", 8, raising=False)
+    got = {}
+    for r in inner(_vectors(spark, dense), 4, "cosine", 9, queries=queries).orderBy("item_id", "rank").collect():
+        got.setdefault(r.item_id, []).append(r.neighbor_id)
+    assert got == expected
+    assert met and max(met) <= 12
