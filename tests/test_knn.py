@@ -194,3 +194,49 @@ def test_equal_vectors_are_searched_once(spark, monkeypatch, asked):
         got.setdefault(r.item_id, []).append(r.neighbor_id)
     assert got == expected
     assert met and max(met) <= 12
+
+
+@pytest.mark.parametrize("nb", [1, 2, 5])
+def test_block_pairs_are_numbered_without_gaps(spark, monkeypatch, nb):
+    """One block pair a task: the ids of the pairs are 0, 1, ... and no two share a partition."""
+    rng = np.random.default_rng(3)
+    dense = rng.normal(size=(40, 6)).round(3)
+    inner, seen = knn._run_per_group, []
+
+    def spy(rows, n_groups, *args):
+        seen.append((sorted(r.gid for r in rows.select("gid").distinct().collect()), n_groups))
+        return inner(rows, n_groups, *args)
+
+    monkeypatch.setattr(knn, "_run_per_group", spy)
+    got = {}
+    for r in knn.top_k_neighbors(_vectors(spark, dense), 3, "l2", 6, n_blocks=nb).orderBy("item_id", "rank").collect():
+        got.setdefault(r.item_id, []).append(r.neighbor_id)
+    assert got == _brute(dense, 3, "l2", 6)
+    assert seen == [(list(range(nb * (nb + 1) // 2)), nb * (nb + 1) // 2)]
+
+
+def test_projection_finds_an_items_entries_together(spark, monkeypatch):
+    """The projection's dims rows an entry are summed where they are made: no item's entries lie in two partitions."""
+    from pyspark.sql import functions as F
+
+    from itemrank.operators import similarity
+
+    rows = [(i % 30, u, 1.0 + (i * u) % 5, 100) for i in range(30) for u in range(40) if (i + u) % 3]
+    latest = spark.createDataFrame(rows, "movie_id long, user_id long, rating double, timestamp long").repartition(6, "user_id")
+    inner, spread = similarity.projected_vectors, []
+
+    def spy(vectors, *args):
+        placed = vectors.select("item_id", F.spark_partition_id().alias("at")).distinct()
+        spread.append(placed.groupBy("item_id").count().agg(F.max("count")).first()[0])
+        return inner(vectors, *args)
+
+    monkeypatch.setattr(similarity, "projected_vectors", spy)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled",)}
+    try:
+        for k in before:
+            spark.conf.set(k, "false")
+        assert similarity.ann_neighbors(latest, 3).count() == 90
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert spread == [1]
