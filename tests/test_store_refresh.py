@@ -128,3 +128,18 @@ def test_updated_lists_equal_a_full_search_and_touch_few(spark, monkeypatch):
     assert len(asked) == 2 and asked[0][0] < 150 and asked[1][1]
     monkeypatch.undo()
     assert _lists(after) == _lists(similarity.cf_neighbors(frame(changed), 4)) != _lists(before)
+
+
+def test_base_ratings_are_written_once_for_all_publications(spark, tables, monkeypatch):
+    """Every publication reads the base ratings from the same files, not from the lineage of the base tables."""
+    inner, files = refresh.refresh_tables, []
+
+    def spy(ratings, *args):
+        files.append(sorted(ratings.inputFiles()))
+        return inner(ratings, *args)
+
+    monkeypatch.setattr(refresh, "refresh_tables", spy)
+    base = tables.ratings.limit(500).localCheckpoint()
+    refresh.run_with_refresh(spark, SF_SMALL, base, tables.movies, scratch_path(spark, "model"), 3, None,
+                             scratch_path(spark, "log"), _events(spark, 4)())
+    assert len(files) == 2 and files[0] and files[0] == files[1]
