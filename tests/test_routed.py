@@ -133,3 +133,44 @@ def test_mixed_users_route_by_what_a_block_can_bring(spark, monkeypatch, told):
     if told == 64:
         assert search.routes().distinct().count() < 0.25 * 600 * 40
     assert _lists(search.lists()) == _brute(dense, 3, "l2", 6)
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_an_item_is_sent_once_to_the_blocks_of_a_task(spark, monkeypatch, metric):
+    """Items of one community spread over blocks: with four blocks to a task they are sent to fewer tasks than blocks."""
+    monkeypatch.setattr(routed, "CHUNK_CELLS", 200)
+    monkeypatch.setattr(routed, "WAITING_CHUNKS", 2)
+    monkeypatch.setattr(routed, "PART_ENTRIES", 500)
+    rows = _communities(400)
+    vectors = spark.createDataFrame(rows, "item_id long, key long, weight double").cache()
+    norms = knn._sizes(vectors).select("item_id", "norm")
+    decimals = 6 if metric == "l2" else 9
+    search = routed.RoutedSearch(vectors, norms, 3, metric, decimals, 24, together=4)
+    sent = search._rows(20000).where("side = 1")
+    assert sent.count() < 0.7 * search.routes().distinct().count()
+    assert sent.groupBy("item_id", "grp").count().where("count > 1").count() == 0
+    dense = np.zeros((400, 15 * 16))
+    for i, u, w in rows:
+        dense[i, u] = w
+    assert _lists(search.lists()) == _brute(dense, 3, metric, decimals)
+    asked = spark.createDataFrame([(i,) for i in range(0, 400, 7)], "item_id long")
+    search = routed.RoutedSearch(vectors, norms, 3, metric, decimals, 12, asked, together=5)
+    assert _lists(search.lists()) == {i: v for i, v in _brute(dense, 3, metric, decimals).items() if i % 7 == 0 and v}
+
+
+def test_a_part_is_told_a_key_once(spark, monkeypatch):
+    """What a key brings goes to a part of items once, not to each of its items that have the key."""
+    plain = routed._reaching
+
+    def noted(n_blocks):
+        def run(batches):
+            import pyarrow as pa
+            rows = pa.Table.from_batches(batches)
+            told = rows.filter(rows["side"].to_numpy() == 0)
+            assert told.num_rows == len(set(told["key"].to_pylist())) == 15 * 8
+            yield from plain(n_blocks)(rows.combine_chunks().to_batches())
+        return run
+
+    monkeypatch.setattr(routed, "_reaching", noted)
+    search = _search(spark, _communities(200), 3, "l2", 6, 8)
+    assert search.routes().count() > 0
