@@ -406,3 +406,37 @@ def test_later_tokens_never_change_earlier_ones(scale):
         first = got[:-1] if first is None else first
         assert np.isfinite(got).all() and np.array_equal(first, got[:-1])
     assert total == pytest.approx(1.0, abs=1e-4)
+
+
+def test_lm_steps_use_memory_again():
+    """After the first steps a gradient asks the system for hardly any page (before: every array anew at each step)."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, numpy as np
+from itemrank.llm import attention_lm as lm
+if not lm.keep_freed_memory():
+    raise SystemExit(print(0))
+shape, rng = lm.Shape(), np.random.default_rng(0)
+p = lm.start(shape, np.ones(shape.ids))
+x, y, _ = lm.blocks([rng.integers(2, shape.ids + 2, 76) for _ in range(96)])
+for _ in range(5):
+    lm.gradient(p, shape, x, y)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+for _ in range(10):
+    lm.gradient(p, shape, x, y)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before) // 10)
+"""
+    got = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, check=True)
+    assert int(got.stdout.split()[-1]) < 500
+
+
+def test_lm_windows_are_views():
+    from itemrank.llm import attention_lm as lm
+
+    rows = np.arange(4 * lm.HALF * 6, dtype=np.float32).reshape(-1, 6)[:, 2:4]
+    windows = lm._windows(rows)
+    assert np.shares_memory(windows, rows) and windows.shape == (3, 2 * lm.HALF, 2)
+    for i, w in enumerate(windows):
+        assert (w == rows[i * lm.HALF:(i + 2) * lm.HALF]).all()
