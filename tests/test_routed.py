@@ -145,7 +145,7 @@ def test_an_item_is_sent_once_to_the_blocks_of_a_task(spark, monkeypatch, metric
     vectors = spark.createDataFrame(rows, "item_id long, key long, weight double").cache()
     norms = knn._sizes(vectors).select("item_id", "norm")
     decimals = 6 if metric == "l2" else 9
-    search = routed.RoutedSearch(vectors, norms, 3, metric, decimals, 24, together=4)
+    search = routed.RoutedSearch(vectors, norms, 3, metric, decimals, 48, together=4)
     sent = search._rows(20000).where("side = 1")
     assert sent.count() < 0.7 * search.routes().distinct().count()
     assert sent.groupBy("item_id", "grp").count().where("count > 1").count() == 0
