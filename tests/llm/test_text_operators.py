@@ -7,10 +7,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from itemrank.llm import (decontaminate, license_scan, lm_score, minhash_dedup, quality_rules, substring_dedup,
-                          token_counts)
+                          textops, token_counts)
 from itemrank.llm.fmindex import FMIndex
 
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
@@ -440,3 +441,79 @@ def test_lm_windows_are_views():
     assert np.shares_memory(windows, rows) and windows.shape == (3, 2 * lm.HALF, 2)
     for i, w in enumerate(windows):
         assert (w == rows[i * lm.HALF:(i + 2) * lm.HALF]).all()
+
+
+def test_lm_takes_each_exponential_once(monkeypatch):
+    """One exponential per place and key, and one per target and output (before: two, cluster by cluster)."""
+    from itemrank.llm import attention_lm as lm
+
+    shape, rng = lm.Shape(8, 4, 6, 16), np.random.default_rng(0)
+    p = lm.start(shape, np.ones(shape.ids))
+    x, y, _ = lm.blocks([rng.integers(2, shape.ids + 2, k) for k in (5, 20, 33)])
+    taken = []
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def exp(self, z, **more):
+            taken.append(z.size)
+            return np.exp(z, **more)
+
+    monkeypatch.setattr(lm, "np", Counted())
+    lm.gradient(p, shape, x, y)
+    assert sum(taken) <= x.size * 2 * lm.HALF + (y >= 0).sum() * (shape.clusters + shape.members) and len(taken) <= 3
+
+
+def test_lm_no_target_in_a_batch():
+    from itemrank.llm import attention_lm as lm
+
+    shape = lm.Shape(4, 4, 6, 16)
+    p = lm.start(shape, np.ones(shape.ids))
+    x, y, _ = lm.blocks([np.zeros(0, np.int32)])
+    assert lm.log_probabilities(p, shape, x, y).tolist() == [[0.0] * lm.HALF]
+    loss, g = lm.gradient(p, shape, x, y)
+    assert loss == 0 and all(not v.any() for v in g.values())
+
+
+@pytest.mark.parametrize("cache", [3, 1000])
+def test_lm_words_are_looked_up_by_chunk(monkeypatch, cache):
+    """Ids and segments as when each word is encoded by itself, also when the cache is emptied between chunks."""
+    monkeypatch.setattr(lm_score, "CACHE", cache)
+    monkeypatch.setattr(textops.text_chunks, "__defaults__", (False, 64))
+    rng = random.Random(2)
+    words = ["The", "quick", "\u00c9t\u00e9", "x" * 70, "\u4e2d\u6587", "a_b", "#"]
+    texts = [None, "", " \t\n", *(" ".join(rng.choices(words, k=k)) for k in (1, 31, 32, 33, 64, 100, 5, 5, 5))]
+    subwords = lm_score.Subwords(lm_score.TOKENIZER)
+    expected = []
+    for t in texts:
+        w = BLANK.findall((t or "").translate(LOWER))
+        parts = [w[i:i + 32] for i in range(0, len(w), 32)] or [[]]
+        expected += [([i for x in s for i in subwords.encoding.encode_ordinary(" " + x)], k == len(parts) - 1)
+                     for k, s in enumerate(parts)]
+    got = []
+    for batch in lm_score._segments([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])],
+                                    lm_score.TOKENIZER):
+        got += [(r["ids"], r["last"]) for r in batch.to_pylist()]
+    assert got == expected
+    encoded = []
+
+    class Counted:
+        def encode_ordinary(self, word):
+            encoded.append(word)
+            return subwords.encoding.encode_ordinary(word)
+
+    kept = lm_score.Subwords(lm_score.TOKENIZER)
+    kept.encoding = Counted()
+    for w in textops.text_chunks(pa.array(["a b a b a c", "c b a"] * 50), textops.blank_separated(), chunk=16):
+        kept.encode(w, w.hashes())
+    assert len(encoded) == 3 and len(kept.known) == 3
+
+
+def test_lm_streams_close_texts():
+    from itemrank.llm import attention_lm as lm
+
+    shape = lm.Shape(4, 4, 6, 16)
+    v = lm_score.Vocabulary({5: 9, 7: 4}, 1, shape, 20)
+    got = v.streams(np.array([5, 7, 9, 5]), np.array([0, 2, 2, 3, 4]), np.array([False, True, True, False]))
+    assert [s.tolist() for s in got] == [[4, 5], [3], [2, 3], [4]]
