@@ -465,6 +465,53 @@ def test_lm_takes_each_exponential_once(monkeypatch):
     assert sum(taken) <= x.size * 2 * lm.HALF + (y >= 0).sum() * (shape.clusters + shape.members) and len(taken) <= 3
 
 
+def test_lm_attention_place_by_place():
+    """Queries, keys, values and output by their own weights, one place and one key at a time."""
+    from itemrank.llm import attention_lm as lm
+
+    shape, rng = lm.Shape(4, 4, 6, 16), np.random.default_rng(7)
+    p = {k: rng.normal(0, .5, v.shape) for k, v in lm.start(shape, np.ones(16)).items()}
+    text = rng.integers(2, 18, 37)
+    x, y, _ = lm.blocks([text])
+    e = p["embed"][x.ravel()] + p["pair"][lm._pair_slots(x, shape.pairs)]
+    q, k, v = np.split(e @ p["qkv"], 3, axis=1)
+    expected = []
+    for i, target in enumerate(text - 2, start=lm.HALF):  # the stream begins after an empty block
+        keys = [j for j in range(i // lm.HALF * lm.HALF - lm.HALF, i + 1) if j >= lm.HALF]
+        w = np.exp([q[i] @ k[j] / np.sqrt(6) + p["near"][i - j] for j in keys])
+        h = e[i] + np.tanh((w / w.sum()) @ v[keys] @ p["out"])
+        c, m = divmod(target, shape.members)
+        first, second = np.exp(h @ p["w1"] + p["b1"]), np.exp(h @ p["w2"][c] + p["b2"][c])
+        expected.append(np.log(first[c] / first.sum() * second[m] / second.sum()))
+    assert np.allclose(lm.log_probabilities(p, shape, x, y)[y >= 0], expected, atol=1e-6)
+
+
+def test_lm_row_gradients_are_summed_by_column(monkeypatch):
+    """No list of all cells (places times width) is made to sum the gradients of vectors by id, as it was before."""
+    from itemrank.llm import attention_lm as lm
+
+    shape, rng = lm.Shape(8, 4, 6, 16), np.random.default_rng(0)
+    p = lm.start(shape, np.ones(shape.ids))
+    x, y, _ = lm.blocks([rng.integers(2, shape.ids + 2, k) for k in (50, 20, 33)])
+    sizes = []
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def bincount(self, ids, *a, **more):
+            sizes.append(len(ids))
+            return np.bincount(ids, *a, **more)
+
+    monkeypatch.setattr(lm, "np", Counted())
+    lm.gradient(p, shape, x, y)
+    assert sizes and max(sizes) <= x.size
+    de, ids = rng.normal(size=(40, 3)), rng.integers(0, 5, 40)
+    expected = np.zeros((7, 3))
+    np.add.at(expected, ids, de)
+    assert np.allclose(lm._row_sums(np.ascontiguousarray(de.T), ids, 7, np.float64), expected)
+
+
 def test_lm_no_target_in_a_batch():
     from itemrank.llm import attention_lm as lm
 
