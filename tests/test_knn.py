@@ -240,3 +240,14 @@ def test_projection_finds_an_items_entries_together(spark, monkeypatch):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert spread == [1]
+
+
+def test_items_are_sized_once(spark, monkeypatch):
+    inner, calls = knn._sizes, []
+    monkeypatch.setattr(knn, "_sizes", lambda vectors: calls.append(1) or inner(vectors))
+    dense = np.random.default_rng(2).integers(0, 3, (30, 12)).astype(float)
+    got = knn.top_k_neighbors(_vectors(spark, dense), 3, "l2", 6, n_blocks=3, indexed=True, hot_entries=9)
+    res = {}
+    for r in got.orderBy("item_id", "rank").collect():
+        res.setdefault(r.item_id, []).append(r.neighbor_id)
+    assert res == _brute(dense, 3, "l2", 6) and len(calls) == 1

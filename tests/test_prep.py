@@ -82,3 +82,30 @@ def test_unicode_tokens_keep_accented_words(spark):
     assert got == ["amélie", "poulain", "drama"]
     ascii_tokens = df.select(text.tokens(F.col("doc"), unicode=False).alias("t")).first().t
     assert ascii_tokens == ["am", "lie", "poulain", "drama"]
+
+
+def _exchanges(df, of="hashpartitioning("):
+    return df._jdf.queryExecution().executedPlan().toString().count(of)
+
+
+def test_latest_rating_moves_the_facts_once(spark):
+    rows = [(1, 1, 3.0, 5), (1, 1, 4.0, 5), (1, 1, 1.0, 2), (1, 2, 2.0, 1), (None, 1, 2.5, 1), (None, 1, 3.5, 2), (2, None, 1.0, 1)]
+    latest = prep.latest_ratings(spark.createDataFrame(rows, "movie_id long, user_id long, rating double, timestamp long"))
+    assert _exchanges(latest) == 1
+    got = {(r.movie_id, r.user_id): (r.rating, r.timestamp) for r in latest.collect()}
+    assert got == {(1, 1): (4.0, 5), (1, 2): (2.0, 1), (None, 1): (3.5, 2), (2, None): (1.0, 1)}
+
+
+def test_scaled_cells_are_moved_once(spark):
+    rows = [(1, 1, 4.0), (2, 1, 1.0), (1, 2, 5.0), (2, 2, 5.0), (3, 3, 2.0), (None, 3, 1.0), (3, None, 5.0)]
+    latest = spark.createDataFrame(rows, "movie_id long, user_id long, rating double")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many users
+    try:
+        got = prep.normalized_ratings(latest)
+        assert _exchanges(got, "hashpartitioning(user_id") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    scale = {r.user_id: (r.mean, r.sd) for r in prep.user_scale(latest).collect()}
+    cells = {(r.movie_id, r.user_id): (r.z, r.w) for r in got.collect()}
+    assert cells == {(m, u): ((r - scale[u][0]) / scale[u][1], r / scale[u][1]) for m, u, r in rows if u is not None}
