@@ -251,3 +251,30 @@ def test_items_are_sized_once(spark, monkeypatch):
     for r in got.orderBy("item_id", "rank").collect():
         res.setdefault(r.item_id, []).append(r.neighbor_id)
     assert res == _brute(dense, 3, "l2", 6) and len(calls) == 1
+
+
+def test_signed_items_are_sent_as_one_row(spark, monkeypatch):
+    """A copy of an item is one row, whatever its entries; equal ids add up, and an item without a number has no distance."""
+    monkeypatch.setattr(knn, "WHOLE_TILE", (7, 5))
+    dense = np.random.default_rng(5).normal(size=(40, 6)).round(1)
+    dense[3] = dense[4] = dense[5]
+    rows = [(i, k, float(dense[i, k])) for i in range(40) for k in range(6)]
+    rows += [(50, 0, 1.0), (50, 1, None), (51, 0, float("nan"))]
+    inner, sent = knn._run_per_group, []
+
+    def spy(rows, *args):
+        sent.append(rows.count())
+        return inner(rows, *args)
+
+    monkeypatch.setattr(knn, "_run_per_group", spy)
+    got = {}
+    vectors = spark.createDataFrame(rows, "item_id long, key long, weight double")
+    for r in knn.top_k_neighbors(vectors, 3, "l2", 6, n_blocks=3).orderBy("item_id", "rank").collect():
+        got.setdefault(r.item_id, []).append(r.neighbor_id)
+    assert sent == [42 * 3]
+    assert got == _brute(dense, 3, "l2", 6)
+
+
+def test_blocks_of_whole_items_are_few():
+    """Replication grows with the blocks: 720000 vectors of 64 numbers are copied 24 times, not 88."""
+    assert knn._blocks_for(720_000, 720_000 * 64, 12, knn.WHOLE_ITEMS) <= 24
