@@ -148,3 +148,29 @@ def test_fallback_sources_match_plain_split(tables):
             assert sources == ["popular"] and c == 10
         else:
             assert sources == ["cold_start"] and c == 5
+
+
+def test_approximate_search_sends_few_windows_twice(spark, monkeypatch):
+    """Eight pairs of windows a task: only the windows between two tasks travel twice, and the lists stay the same."""
+    from itemrank.operators import knn
+
+    rows = [(m, (m * 7 + u * u) % 90, 1.0 + (m * u) % 5, 100) for m in range(200) for u in range(6)]
+    latest = spark.createDataFrame(rows, "movie_id long, user_id long, rating double, timestamp long").dropDuplicates(
+        ["movie_id", "user_id"]).cache()
+    inner, sent = knn._run_per_group, []
+
+    def spy(rows, *args):
+        sent.append(rows.count())
+        return inner(rows, *args)
+
+    monkeypatch.setattr(knn, "_run_per_group", spy)
+    monkeypatch.setattr(knn, "_parallelism", lambda df: 1)
+
+    def lists(low):
+        got = similarity.ann_neighbors(latest, 3, window=10, low_norms=low).orderBy("movie_id", "rank").collect()
+        return [(r.movie_id, r["rank"], r.neighbor_id) for r in got]
+
+    one, low = lists(0), lists(4)
+    assert sent == [2 * (200 + 2 * 10), 2 * (200 + 2 * 10) + 4 * 2 * 3]
+    monkeypatch.setattr(similarity, "ANN_WINDOWS", 1)
+    assert (lists(0), lists(4)) == (one, low)
