@@ -143,3 +143,32 @@ def test_base_ratings_are_written_once_for_all_publications(spark, tables, monke
     refresh.run_with_refresh(spark, SF_SMALL, base, tables.movies, scratch_path(spark, "model"), 3, None,
                              scratch_path(spark, "log"), _events(spark, 4)())
     assert len(files) == 2 and files[0] and files[0] == files[1]
+
+
+def test_features_and_neighbours_share_the_scaled_cells(spark, monkeypatch):
+    inner, calls = refresh.prep.normalized_ratings, []
+    monkeypatch.setattr(refresh.prep, "normalized_ratings", lambda latest: calls.append(1) or inner(latest))
+    rows = [(u, m, 1.0 + (u * m) % 4, 10) for u in range(9) for m in range(12) if (u + m) % 3]
+    ratings = spark.createDataFrame(rows, "user_id long, movie_id long, rating double, timestamp long")
+    tables = refresh.refresh_tables(ratings, ratings.limit(0), 3)
+    assert tables["features"].count() == len(rows) and tables["neighbors"].count() == 12 * 3
+    assert len(calls) == 1
+
+
+@pytest.mark.parametrize("every", [False, True])
+def test_searches_of_an_update_share_the_stored_items(spark, monkeypatch, every):
+    """Vectors and items are written once for both searches; there is one search where every list is made anew."""
+    from itemrank.operators import knn, routed
+
+    rows = [(m, 10 * (m // 10) + u, 0.5 + (m * u) % 9 / 2) for m in range(60) for u in range(10) if (m + u) % 3]
+    latest = spark.createDataFrame(rows, "movie_id long, user_id long, rating double").cache()
+    raters = spark.createDataFrame([(u,) for u in range(60 if every else 2)], "user_id long")
+    before = similarity.cf_neighbors(latest, 3).checkpoint()
+    names, asked, write, search = [], [], knn.written, knn.top_k_neighbors
+    for module in (knn, routed):
+        monkeypatch.setattr(module, "written", lambda df, name: names.append(name) or write(df, name))
+    monkeypatch.setattr(knn, "SENT_ENTRIES", 0)
+    monkeypatch.setattr(knn, "top_k_neighbors", lambda *a, **kw: asked.append(1) or search(*a, **kw))
+    after = similarity.updated_cf_neighbors(before, latest, raters, 3, 1.0)
+    assert _lists(after) == _lists(before)
+    assert (names.count("knn-vectors"), names.count("knn-items"), len(asked)) == (1, 1, 1 if every else 2)
